@@ -9,34 +9,29 @@ together, in rows of bounded length.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.points import series_size
 from tideline.model import DIMENSIONS, MAX_SERIES_ROW_POINTS
-from tideline.operators.keyed import PERIOD_MS, null_safe_join, running_before
+from tideline.operators.keyed import PERIODS_MS, null_safe_join, running_total
 
 
-def with_first_position(chunks: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
+def with_first_position(chunks: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) -> DataFrame:
     """Add ``first_pos``: how many points of the series come before the chunk.
 
     Positions are worked out on chunk headers alone and joined back by chunk, a key that is
     spread evenly however large a series is. Rows that share identity, start and id share
     their position.
     """
+    chunks = chunks.drop("first_pos")
     headers = chunks.groupBy(*DIMENSIONS, "start", "chunk_id").agg(
         F.sum("n_points").alias("_size")
     )
-    positions = running_before(
-        headers,
-        keys=DIMENSIONS,
-        time="start",
-        within=lambda w: w.orderBy("start", "chunk_id").rowsBetween(Window.unboundedPreceding, -1),
-        total=F.sum,
-        merge=lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
-        value="_size",
-        name="first_pos",
-        period_ms=period_ms,
+    positions = running_total(
+        headers, DIMENSIONS, "start", ["start", "chunk_id"], "_size", "first_pos", periods_ms
     ).drop("_size")
     return null_safe_join(chunks, positions, [*DIMENSIONS, "start", "chunk_id"], "inner")
 
@@ -44,7 +39,7 @@ def with_first_position(chunks: DataFrame, period_ms: int = PERIOD_MS) -> DataFr
 def join_chunks(
     chunks: DataFrame,
     max_points: int = MAX_SERIES_ROW_POINTS,
-    period_ms: int = PERIOD_MS,
+    periods_ms: Sequence[int] = PERIODS_MS,
 ) -> DataFrame:
     """Series rows: chunk columns and ``first_pos``.
 
@@ -52,7 +47,7 @@ def join_chunks(
     of about that length; ``first_pos`` orders them and no point is lost. The rows are chunks
     again, so joining joined data changes nothing.
     """
-    rows = with_first_position(chunks, period_ms).withColumn(
+    rows = with_first_position(chunks, periods_ms).withColumn(
         "_row", F.call_function("div", F.col("first_pos"), F.lit(max_points))
     )
     parts = F.array_sort(F.collect_list(F.struct("start", "chunk_id", "first_pos", "end", "points")))
@@ -84,9 +79,9 @@ def indexed_points(series: DataFrame) -> DataFrame:
     )
 
 
-def joined_points(chunks: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
+def joined_points(chunks: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) -> DataFrame:
     """Points of the joined series with their position, without ever forming series rows."""
-    return indexed_points(with_first_position(chunks, period_ms))
+    return indexed_points(with_first_position(chunks, periods_ms))
 
 
 def series_summary(chunks: DataFrame) -> DataFrame:

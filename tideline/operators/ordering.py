@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.model import DIMENSIONS
-from tideline.operators.keyed import PERIOD_MS, running_before
+from tideline.operators.keyed import PERIODS_MS, running_before
 
 
 def order_series(frame: DataFrame) -> DataFrame:
@@ -14,7 +16,7 @@ def order_series(frame: DataFrame) -> DataFrame:
     return frame.orderBy(F.asc_nulls_first("start"), "chunk_id")
 
 
-def chunk_overlaps(chunks: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
+def chunk_overlaps(chunks: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) -> DataFrame:
     """Chunks that begin before an earlier-starting chunk of their series has ended.
 
     One row per such chunk, next to the earlier one that reaches furthest: every chunk that
@@ -34,7 +36,7 @@ def chunk_overlaps(chunks: DataFrame, period_ms: int = PERIOD_MS) -> DataFrame:
         merge=F.greatest,
         value="_reach",
         name="_earlier",
-        period_ms=period_ms,
+        periods_ms=periods_ms,
     )
     return reached.where(F.col("_earlier.end") >= F.col("start")).select(
         *DIMENSIONS,

@@ -63,7 +63,8 @@ def _chunked(name: str, period: str, tie: str, spread: str) -> str:
   FROM {name}_cut),
 {name}_chunks AS (
   SELECT {DIMS}, chunk_id, min("timestamp") AS start, max("timestamp") AS "end",
-         count(*) AS n_points, avg(value) AS mean_value, max(value) AS max_value,
+         count(*) AS n_points, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS mean_value,
+         max(value) AS max_value,
          min(value) AS min_value
   FROM {name}_points GROUP BY {DIMS}, chunk_id)"""
 
@@ -206,10 +207,10 @@ SELECT {DIMS}, chunk_id,
        row_number() OVER (PARTITION BY chunk_id ORDER BY pos) - 1 AS pos, "timestamp", value
 FROM points WHERE "timestamp" BETWEEN {q.RANGE_FROM_MS} AND {q.RANGE_TO_MS}""",
     "record_to_series": _MIXED + f"""
-SELECT {DIMS}, chunk_id, CAST(size AS BIGINT) AS n_points, "timestamp", round(value, 6) AS value
+SELECT {DIMS}, chunk_id, CAST(size AS BIGINT) AS n_points, "timestamp", value
 FROM series LEFT JOIN series_points USING (chunk_id)""",
     "function_point": _EVENTS + f"""
-SELECT {DIMS}, chunk_id, start + ("end" - start) // 2 AS "timestamp", round(mean_value, 6) AS value
+SELECT {DIMS}, chunk_id, start + ("end" - start) // 2 AS "timestamp", mean_value AS value
 FROM chunks""",
     "delta_decode": _EVENTS + """,
 steps AS (
@@ -280,8 +281,8 @@ SELECT chunk_id, c.n_points + 1 AS n_points, pos, "timestamp", value
 FROM longer JOIN chunks c USING (chunk_id)""",
     "indexed_points": _EVENTS + _joined("points", "chunks"),
     # Aggregates and actions
-    "mean": "SELECT round(avg(value), 6) AS mean FROM events",
-    "approx_mean": "SELECT round(avg(value), 6) AS approx_mean FROM events",
+    "mean": "SELECT round(avg(value), 9) AS mean FROM events",
+    "approx_mean": "SELECT round(avg(value), 9) AS approx_mean FROM events",
     "min": "SELECT min(value) AS min FROM events",
     "max": "SELECT max(value) AS max FROM events",
     "slopes": _EVENTS + f" SELECT {DIMS}, {_SLOPE} AS slope_per_day FROM obs GROUP BY {DIMS}",

@@ -102,13 +102,12 @@ def record_to_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.select(*DIMENSIONS, "chunk_id", "n_points", point).select(
         *DIMENSIONS, "chunk_id", "n_points",
         F.col("_point.timestamp").alias("timestamp"),
-        F.round("_point.value", 6).alias("value"),
+        F.col("_point.value").alias("value"),
     )
 
 
 def function_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = sources.function_points(tables.function_records(spark, sf_dir))
-    return points.withColumn("value", F.round("value", 6))
+    return sources.function_points(tables.function_records(spark, sf_dir))
 
 
 def delta_decode_(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,12 +257,12 @@ def indexed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = aggregates.mean(tables.event_chunks(spark, sf_dir))
-    return frame.select(F.round("mean", 6).alias("mean"))
+    return frame.select(F.round("mean", 9).alias("mean"))
 
 
 def approx_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = aggregates.approx_mean(tables.event_chunks(spark, sf_dir))
-    return frame.select(F.round("approx_mean", 6).alias("approx_mean"))
+    return frame.select(F.round("approx_mean", 9).alias("approx_mean"))
 
 
 def minimum(spark: SparkSession, sf_dir: str) -> DataFrame:

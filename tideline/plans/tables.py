@@ -124,13 +124,22 @@ def interleaved_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mean_value() -> Column:
+    """Mean of a chunk's values, summed in whole hundredths: the same in any order."""
+    hundredths = F.aggregate(
+        "points.value",
+        F.lit(0).cast("bigint"),
+        lambda total, v: total + F.round(v * 100).cast("bigint"),
+    )
+    return hundredths.cast("double") / 100 / F.array_size("points.value")
+
+
 def function_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per day chunk a record without points that holds the mean of its values."""
-    total = F.aggregate("points.value", F.lit(0.0), lambda acc, v: acc + v)
     return event_chunks(spark, sf_dir).select(
         *DIMENSIONS, "chunk_id", "start", "end",
         F.filter("points", lambda p: F.lit(False)).alias("points"),
-        (total / F.array_size("points.value")).alias("function_value"),
+        mean_value().alias("function_value"),
     )
 
 
@@ -141,11 +150,10 @@ def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     kind = F.pmod(whole_div("start", DAY_MS), F.lit(3))
     nothing = F.filter("points", lambda p: F.lit(False))
-    total = F.aggregate("points.value", F.lit(0.0), lambda acc, v: acc + v)
     return event_chunks(spark, sf_dir).select(
         *DIMENSIONS, "chunk_id", "start", "end",
         F.when(kind == 0, F.col("points")).otherwise(nothing).alias("points"),
-        F.when(kind == 1, total / F.array_size("points.value")).alias("function_value"),
+        F.when(kind == 1, mean_value()).alias("function_value"),
         F.lit(None).cast("string").alias("data_as_json"),
         F.lit("collector").alias("agent"),
     )
