@@ -86,7 +86,7 @@ def _stored(
             path = new_path(spark, name)
             if path is None:
                 return derive(spark, sf_dir)
-            write_chunks(derive(spark, sf_dir), path)
+            write_chunks(derive(spark, sf_dir), path, ranged=True)
             _written[key] = path
     return read_chunks(spark, _written[key])
 

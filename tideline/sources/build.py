@@ -12,6 +12,39 @@ from tideline.model import DIMENSIONS, MAX_CHUNK_POINTS
 from tideline.operators.keyed import PERIODS_MS, null_safe_join, running_total
 
 
+def _with_chunk_of_period(
+    rows: DataFrame,
+    unit: Sequence[str],
+    spread: str,
+    too_long: DataFrame,
+    max_points: int,
+    periods_ms: Sequence[int],
+) -> DataFrame:
+    """Add ``_part`` and ``_way``, which tell the chunks of one period apart.
+
+    The points of the periods in ``too_long`` are counted by slices. A chunk begins with the
+    slice that starts past the bound; a slice larger than the bound is dealt out ``_ways``.
+    """
+    sizes = (
+        null_safe_join(rows, too_long, unit, "left_semi")
+        .groupBy(*unit, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    cuts = (
+        running_total(sizes, unit, "_slice", ["_slice"], "_n", "_earlier", periods_ms)
+        .select(
+            *unit, "_slice",
+            F.call_function("div", F.col("_earlier"), F.lit(max_points)).alias("_part"),
+            F.ceil(F.col("_n") / max_points).alias("_ways"),
+        )
+        .where((F.col("_part") > 0) | (F.col("_ways") > 1))
+    )
+    return (
+        null_safe_join(rows, cuts, [*unit, "_slice"])
+        .withColumn("_part", F.coalesce("_part", F.lit(0)))
+        .withColumn("_way", F.coalesce(F.pmod(F.col(spread), F.col("_ways")), F.lit(0)))
+    )
+
+
 def build_chunks(
     observations: DataFrame,
     period: Column,
@@ -23,10 +56,9 @@ def build_chunks(
     """One chunk per series and period, or several where it holds more than ``max_points``.
 
     ``tie_break`` names integer columns that order points of equal time; the first one also
-    spreads points that share one slice of time. Points are counted before they are moved:
-    periods past the bound are counted again by slices, and every slice says which chunk of
-    its period its points belong to. Nothing larger than a chunk is gathered in one place. The
-    usual case of no such period costs one narrow count; AQE drops the rest at run time.
+    spreads points that share one slice of time. Points are counted before they are moved, so
+    nothing larger than a chunk is gathered in one place. The count runs at once, as a job of
+    its own: where no period is too long, which one narrow scan tells, points are moved once.
     """
     unit = [*DIMENSIONS, "_period"]
     rows = observations.select(
@@ -39,28 +71,23 @@ def build_chunks(
         .where(F.col("_all") > max_points)
         .select(*unit)
     )
-    sizes = (
-        null_safe_join(rows, too_long, unit, "left_semi")
-        .groupBy(*unit, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    )
-    cuts = (
-        running_total(sizes, unit, "_slice", ["_slice"], "_n", "_earlier", periods_ms)
-        .select(
-            *unit, "_slice",
-            F.call_function("div", F.col("_earlier"), F.lit(max_points)).alias("_part"),
-            F.ceil(F.col("_n") / max_points).alias("_ways"),
+    # What tells chunks apart, in the order a chunk table is laid out. The hash of the identity
+    # stands in for the other dimensions, of which any may be a constant null.
+    chunk = ["metric", "_period", "_series"]
+    if too_long.isEmpty():
+        placed = rows.withColumns({"_part": F.lit(0), "_way": F.lit(0)})
+    else:
+        placed = _with_chunk_of_period(
+            rows, unit, tie_break[0], too_long, max_points, periods_ms
         )
-        .where((F.col("_part") > 0) | (F.col("_ways") > 1))
-    )
-    placed = null_safe_join(rows, cuts, [*unit, "_slice"]).select(
-        *unit, "timestamp", *tie_break, "value",
-        F.coalesce("_part", F.lit(0)).alias("_part"),
-        F.coalesce(F.pmod(F.col(tie_break[0]), F.col("_ways")), F.lit(0)).alias("_way"),
-    )
+        chunk += ["_part", "_way"]
+    # Range partitions serve the grouping and the layout at once: no shuffle between here and
+    # the files that ``write_chunks`` writes.
+    ranged = placed.withColumn("_series", F.xxhash64(*DIMENSIONS)).repartitionByRange(*chunk)
     ordered = F.array_sort(F.collect_list(F.struct("timestamp", *tie_break, "value")))
     names = [F.coalesce(F.col(d), F.lit("")) for d in DIMENSIONS]
     return (
-        placed.groupBy(*unit, "_part", "_way")
+        ranged.groupBy(*unit, "_series", "_part", "_way")
         .agg(
             F.min("timestamp").alias("start"),
             F.max("timestamp").alias("end"),

@@ -21,16 +21,20 @@ from tideline.operators.joining import join_chunks
 CHUNK_COLUMNS = (*DIMENSIONS, "chunk_id", "start", "end", "n_points", "points")
 
 
-def write_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_chunks(
+    chunks: DataFrame, path: str, mode: str = "errorifexists", ranged: bool = False
+) -> None:
     """Write a chunk table laid out for predicates on metric and time.
 
     Range partitioning by metric and start gives every file a narrow range of both, so the
     footer statistics prune files and row groups. A metric holding most of the chunks is
-    split over many files by its start times.
+    split over many files by its start times. ``ranged`` says that the chunks come in such
+    partitions already, as freshly built ones do.
     """
     order = ["metric", "start", "chunk_id"]
-    laid_out = chunks.repartitionByRange(*order).sortWithinPartitions(*order)
-    laid_out.write.mode(mode).parquet(path)
+    if not ranged:
+        chunks = chunks.repartitionByRange(*order)
+    chunks.sortWithinPartitions(*order).write.mode(mode).parquet(path)
 
 
 def read_chunks(spark: SparkSession, *paths: str) -> DataFrame:
