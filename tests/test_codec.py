@@ -43,19 +43,37 @@ STEPS = st.one_of(
 )
 
 
-@settings(max_examples=400, deadline=None)
-@given(st.integers(0, 40), st.lists(STEPS, max_size=60), st.sampled_from([0, 1, 5, 10, 25]))
-def test_encode_follows_the_rules(first, steps, tolerance):
-    times = np.cumsum([first, *steps]).astype(np.int64)
-    expected = encode_by_rule(times.tolist(), tolerance)
-    assert _offsets(times, tolerance).tolist() == expected
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.integers(0, 10**12), st.lists(st.integers(-5, 5), max_size=40), st.sampled_from([0, 10]))
-def test_decode_follows_the_rules(start, offsets, tolerance):
-    found = _times(start, np.array(offsets, dtype=np.int64), tolerance).tolist()
-    assert found == decode_by_rule(start, offsets, tolerance)
+def flat(lists):
+    bounds = np.cumsum([0, *map(len, lists)])
+    return np.array([n for one in lists for n in one], dtype=np.int64), bounds
+
+
+def split(numbers, bounds):
+    return [numbers[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+CHUNKS = st.lists(st.tuples(st.integers(0, 40), st.lists(STEPS, max_size=40)), max_size=6)
+
+
+@settings(max_examples=500, deadline=None)
+@given(CHUNKS, st.integers(0, 3), st.sampled_from([0, 1, 5, 10, 25]))
+def test_encode_follows_the_rules(chunks, empty, tolerance):
+    times = [np.cumsum([first, *steps]).tolist() for first, steps in chunks] + [[]] * empty
+    numbers, bounds = flat(times)
+    expected = [encode_by_rule(one, tolerance) for one in times]
+    assert split(_offsets(numbers, bounds, tolerance), bounds) == expected
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 10**12), st.lists(st.integers(-5, 5), max_size=30)), max_size=6),
+    st.sampled_from([0, 10]),
+)
+def test_decode_follows_the_rules(chunks, tolerance):
+    numbers, bounds = flat([offsets for _, offsets in chunks])
+    starts = np.array([start for start, _ in chunks], dtype=np.int64)
+    expected = [decode_by_rule(start, offsets, tolerance) for start, offsets in chunks]
+    assert split(_times(starts, numbers, bounds, tolerance), bounds) == expected
 
 
 def test_decode_example(spark):

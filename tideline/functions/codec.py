@@ -6,56 +6,90 @@ encodes to next to nothing. Encoding is lossy by design: offsets that stay withi
 tolerance of the one before are left out.
 
 Both directions need running state along a chunk, which array expressions can only carry by
-copying the output at every step. They run as Arrow-batched functions on whole arrays
-instead: linear in the chunk, inside the row, without a shuffle.
+copying the output at every step. They run as Arrow functions on whole batches of arrays
+instead: linear in the points, inside the row, without a shuffle.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.points import point
+from tideline.functions.points import empty_points, point
 
 # Fixed value: default tolerance in milliseconds. The decoder also starts from it.
 TOLERANCE_MS = 10
 
 
-def _offsets(times: np.ndarray, tolerance: int) -> np.ndarray:
-    """Offsets of one chunk, 0 where the point is left to the offset before it."""
+def _before(numbers: np.ndarray, first: np.ndarray, initial: int) -> np.ndarray:
+    """The number before each one in its chunk, ``initial`` for the first of a chunk."""
+    shifted = np.empty_like(numbers)
+    shifted[1:] = numbers[:-1]
+    shifted[first] = initial
+    return shifted
+
+
+def _offsets(times: np.ndarray, bounds: np.ndarray, tolerance: int) -> np.ndarray:
+    """Offsets of the points of many chunks, 0 where a point is left to the offset before it.
+
+    Chunk ``i`` holds ``times[bounds[i]:bounds[i + 1]]``.
+    """
     if times.size == 0:
         return times
-    steps = np.zeros_like(times)
-    # A step from timestamp 0 counts as no step, like the one to the first point.
-    steps[1:] = np.where(times[:-1] == 0, 0, np.diff(times))
-    changed = np.abs(np.diff(steps, prepend=0)) > tolerance
+    sizes = np.diff(bounds)
+    first = bounds[:-1][sizes > 0]
+    chunk = np.repeat(np.arange(sizes.size), sizes)
+    # The first point of a chunk has no step, nor has a point after one at timestamp 0.
+    last_times = _before(times, first, 0)
+    steps = np.where(last_times == 0, 0, times - last_times)
+    changed = np.abs(steps - _before(steps, first, 0)) > tolerance
     # How far a point is ahead of one tolerance per point. A point is stored when it has fallen
     # behind the last stored one by more than half a tolerance, which can only happen where the
     # lead shrinks: every other point is decided without looking at the ones before it.
-    lead = times - tolerance * np.arange(times.size)
-    shrinks = np.diff(lead, prepend=tolerance) < 0
+    lead = times - tolerance * (np.arange(times.size) - bounds[chunk])
+    shrinks = lead < _before(lead, first, tolerance)
     stored = changed.copy()
-    if (shrinks & ~changed).any():
-        last_lead = tolerance
-        for i in np.flatnonzero(changed | shrinks):
-            if changed[i] or last_lead - lead[i] > tolerance // 2:
-                stored[i] = True
-                last_lead = lead[i]
+    open_chunks = np.zeros(sizes.size, dtype=bool)
+    open_chunks[chunk[shrinks & ~changed]] = True
+    candidates = np.flatnonzero((changed | shrinks) & open_chunks[chunk])
+    current, stored_lead = -1, tolerance
+    for i, c, sure, ahead in zip(
+        candidates.tolist(), chunk[candidates].tolist(),
+        changed[candidates].tolist(), lead[candidates].tolist(),
+    ):
+        if c != current:
+            current, stored_lead = c, tolerance
+        if sure or stored_lead - ahead > tolerance // 2:
+            stored[i], stored_lead = True, ahead
     return np.where(stored, steps, 0)
 
 
-def _times(start: int, offsets: np.ndarray, tolerance: int) -> np.ndarray:
-    """Timestamps of one chunk from its start and offsets."""
+def _times(
+    starts: np.ndarray, offsets: np.ndarray, bounds: np.ndarray, tolerance: int
+) -> np.ndarray:
+    """Timestamps of the points of many chunks from their starts and offsets."""
     if offsets.size == 0:
         return offsets
-    steps = offsets.copy()
-    steps[0] = 0
-    known = np.maximum.accumulate(np.where(steps != 0, np.arange(steps.size), 0))
-    steps = np.where(known == 0, tolerance, steps[known])
-    steps[0] = 0
-    return start + np.cumsum(steps)
+    sizes = np.diff(bounds)
+    begin = np.repeat(bounds[:-1], sizes)
+    index = np.arange(offsets.size)
+    is_first = index == begin
+    known = np.maximum.accumulate(np.where((offsets != 0) & ~is_first, index, begin))
+    steps = np.where(is_first, 0, np.where(known == begin, tolerance, offsets[known]))
+    walked = np.cumsum(steps)
+    return np.repeat(starts, sizes) + walked - walked[begin]
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all lists one after the other, and where each list begins and ends."""
+    bounds = np.asarray(lists.offsets, dtype=np.int64)
+    return np.asarray(lists.flatten(), dtype=np.int64), bounds - bounds[0]
+
+
+def _lists(numbers: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(numbers, pa.int64()))
 
 
 def delta_encode(chunks: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
@@ -63,14 +97,14 @@ def delta_encode(chunks: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
     if tolerance < 0:
         raise ValueError("tolerance must not be negative")
 
-    @F.pandas_udf("array<bigint>")
-    def encode(times: pd.Series) -> pd.Series:
-        return times.map(lambda t: _offsets(np.asarray(t, dtype=np.int64), tolerance),
-                         na_action="ignore")
+    @F.arrow_udf("array<bigint>")
+    def encode(times: pa.Array) -> pa.Array:
+        numbers, bounds = _flat(times)
+        return _lists(_offsets(numbers, bounds, tolerance), bounds)
 
     present = F.filter("points", lambda p: p.isNotNull())
     return (
-        chunks.withColumn("points", present)
+        chunks.withColumn("points", F.coalesce(present, empty_points()))
         .withColumn("offsets", encode(F.col("points.timestamp")))
         .withColumn("values", F.col("points.value"))
         .drop("points")
@@ -87,14 +121,14 @@ def delta_decode(encoded: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame
     if tolerance < 0:
         raise ValueError("tolerance must not be negative")
 
-    @F.pandas_udf("array<bigint>")
-    def decode(start: pd.Series, offsets: pd.Series) -> pd.Series:
-        return pd.Series([
-            None if o is None else _times(s, np.asarray(o, dtype=np.int64), tolerance)
-            for s, o in zip(start, offsets)
-        ])
+    @F.arrow_udf("array<bigint>")
+    def decode(starts: pa.Array, offsets: pa.Array) -> pa.Array:
+        numbers, bounds = _flat(offsets)
+        firsts = np.asarray(starts, dtype=np.int64)
+        return _lists(_times(firsts, numbers, bounds, tolerance), bounds)
 
-    times = decode(F.col("start"), F.coalesce("offsets", F.array().cast("array<bigint>")))
+    nothing = F.array().cast("array<bigint>")
+    times = decode(F.coalesce("start", F.lit(0)), F.coalesce("offsets", nothing))
     return (
         encoded.withColumn("_times", times)
         .withColumn("points", F.zip_with("_times", "values", point))

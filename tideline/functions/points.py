@@ -77,7 +77,7 @@ def sort_points(points: Column | str = "points") -> Column:
             p["timestamp"].alias("timestamp"), i.alias("pos"), p["value"].alias("value")
         ),
     )
-    return F.transform(F.array_sort(numbered), lambda p: point(p["timestamp"], p["value"]))
+    return F.transform(F.sort_array(numbered), lambda p: point(p["timestamp"], p["value"]))
 
 
 def append_points(other: Column, points: Column | str = "points") -> Column:

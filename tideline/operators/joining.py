@@ -50,7 +50,7 @@ def join_chunks(
     rows = with_first_position(chunks, periods_ms).withColumn(
         "_row", F.call_function("div", F.col("first_pos"), F.lit(max_points))
     )
-    parts = F.array_sort(F.collect_list(F.struct("start", "chunk_id", "first_pos", "end", "points")))
+    parts = F.sort_array(F.collect_list(F.struct("start", "chunk_id", "first_pos", "end", "points")))
     joined = (
         rows.groupBy(*DIMENSIONS, "_row")
         .agg(parts.alias("_parts"))

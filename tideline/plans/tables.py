@@ -86,7 +86,7 @@ def _stored(
             path = new_path(spark, name)
             if path is None:
                 return derive(spark, sf_dir)
-            write_chunks(derive(spark, sf_dir), path, ranged=True)
+            write_chunks(derive(spark, sf_dir), path)
             _written[key] = path
     return read_chunks(spark, _written[key])
 
@@ -183,7 +183,7 @@ def sampled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(1_700_000_000_000) + number * 60_000 + F.pmod("user_id", F.lit(16))).alias("timestamp"),
         "value",
     )
-    gathered = F.array_sort(F.collect_list(F.struct("timestamp", "value")))
+    gathered = F.sort_array(F.collect_list(F.struct("timestamp", "value")))
     return (
         rows.groupBy("first_id")
         .agg(gathered.alias("points"))

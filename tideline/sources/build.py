@@ -12,6 +12,11 @@ from tideline.model import DIMENSIONS, MAX_CHUNK_POINTS
 from tideline.operators.keyed import PERIODS_MS, null_safe_join, running_total
 
 
+# Periods past the bound are broadcast up to this number: some hundred bytes each, 2 MB in all.
+# Beyond it Spark chooses the join.
+BROADCAST_PERIODS = 10_000
+
+
 def _with_chunk_of_period(
     rows: DataFrame,
     unit: Sequence[str],
@@ -20,15 +25,15 @@ def _with_chunk_of_period(
     max_points: int,
     periods_ms: Sequence[int],
 ) -> DataFrame:
-    """Add ``_part`` and ``_way``, which tell the chunks of one period apart.
+    """Rows with ``_part`` and ``_way``, which tell the chunks of one period apart.
 
     The points of the periods in ``too_long`` are counted by slices. A chunk begins with the
     slice that starts past the bound; a slice larger than the bound is dealt out ``_ways``.
+    Points of all other periods pass by and take no part in the join with the slices.
     """
-    sizes = (
-        null_safe_join(rows, too_long, unit, "left_semi")
-        .groupBy(*unit, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    )
+    long_rows = null_safe_join(rows, too_long, unit, "left_semi")
+    other_rows = null_safe_join(rows, too_long, unit, "left_anti")
+    sizes = long_rows.groupBy(*unit, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     cuts = (
         running_total(sizes, unit, "_slice", ["_slice"], "_n", "_earlier", periods_ms)
         .select(
@@ -38,11 +43,19 @@ def _with_chunk_of_period(
         )
         .where((F.col("_part") > 0) | (F.col("_ways") > 1))
     )
-    return (
-        null_safe_join(rows, cuts, [*unit, "_slice"])
+    placed = (
+        null_safe_join(long_rows, cuts, [*unit, "_slice"])
         .withColumn("_part", F.coalesce("_part", F.lit(0)))
         .withColumn("_way", F.coalesce(F.pmod(F.col(spread), F.col("_ways")), F.lit(0)))
+        .drop("_ways")
     )
+    return placed.unionByName(_whole(other_rows))
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Rows whose periods are one chunk each."""
+    nothing = F.lit(0).cast("bigint")
+    return rows.withColumns({"_part": nothing, "_way": nothing})
 
 
 def build_chunks(
@@ -71,23 +84,21 @@ def build_chunks(
         .where(F.col("_all") > max_points)
         .select(*unit)
     )
-    # What tells chunks apart, in the order a chunk table is laid out. The hash of the identity
-    # stands in for the other dimensions, of which any may be a constant null.
-    chunk = ["metric", "_period", "_series"]
-    if too_long.isEmpty():
-        placed = rows.withColumns({"_part": F.lit(0), "_way": F.lit(0)})
+    n_too_long = too_long.count()
+    if n_too_long == 0:
+        placed = _whole(rows)
     else:
+        if n_too_long <= BROADCAST_PERIODS:
+            too_long = F.broadcast(too_long)
         placed = _with_chunk_of_period(
             rows, unit, tie_break[0], too_long, max_points, periods_ms
         )
-        chunk += ["_part", "_way"]
-    # Range partitions serve the grouping and the layout at once: no shuffle between here and
-    # the files that ``write_chunks`` writes.
-    ranged = placed.withColumn("_series", F.xxhash64(*DIMENSIONS)).repartitionByRange(*chunk)
-    ordered = F.array_sort(F.collect_list(F.struct("timestamp", *tie_break, "value")))
+    # The hash decides nothing, it leads the grouping keys so that sorting by them is cheap.
+    hashed = placed.withColumn("_series", F.xxhash64(*DIMENSIONS))
+    ordered = F.sort_array(F.collect_list(F.struct("timestamp", *tie_break, "value")))
     names = [F.coalesce(F.col(d), F.lit("")) for d in DIMENSIONS]
     return (
-        ranged.groupBy(*unit, "_series", "_part", "_way")
+        hashed.groupBy("_series", "_period", "_part", "_way", *DIMENSIONS)
         .agg(
             F.min("timestamp").alias("start"),
             F.max("timestamp").alias("end"),
