@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 import tempfile
 from types import SimpleNamespace
 
@@ -161,6 +164,38 @@ def test_chunk_table_round_trip(spark, three):
         sources.write_chunks(three, path)
 
 
+def test_chunk_tables_of_other_origin(spark, three):
+    path = new_path(spark, "other")
+    three.drop("n_points", "function_value", "ag", "process").withColumn("extra", F.lit(1)).write.parquet(path)
+    found = sources.read_chunks(spark, path)
+    assert found.columns == CHUNKS.names
+    assert sorted(map(str, found.collect())) == sorted(map(str, three.collect()))
+
+
+def test_tasks_need_no_installed_package(tmp_path):
+    """Started elsewhere, with the package known to the driver only."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {root!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "import __spark_entry__ as entries\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "for name in ('delta_round_trip', 'udf_filter', 'convert_with'):\n"
+        "    assert entries.queries()[name](spark, '/root/testdata/sf0.001').count() > 0\n"
+        "print('all ran')\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "SPARK_CONF_DIR")}
+    environment["SPARK_CONF_DIR"] = str(tmp_path)  # no defaults, hence no shared folder either
+    done = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True,
+        text=True, timeout=300,
+    )
+    assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
 def test_extract_round_trip(spark, three):
     path = write_extract(three, new_path(spark, "extract"))
     found = read_extract(spark, path)

@@ -34,7 +34,18 @@ def write_chunks(chunks: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 
 def read_chunks(spark: SparkSession, *paths: str) -> DataFrame:
-    return spark.read.schema(CHUNKS).parquet(*paths)
+    """Chunk tables as one frame.
+
+    Tables of other origin may lack dimensions or ``function_value``, which are null then, and
+    ``n_points``, which is taken from the arrays at the price of reading their timestamps.
+    """
+    stored = spark.read.parquet(*paths)
+    missing = [f for f in CHUNKS.fields if f.name not in stored.columns]
+    supplied = {
+        f.name: series_size("points") if f.name == "n_points" else F.lit(None).cast(f.dataType)
+        for f in missing
+    }
+    return stored.withColumns(supplied).select(*CHUNKS.names)
 
 
 def query_chunks(chunks: DataFrame, predicate: Column | str | None = None) -> DataFrame:
