@@ -120,7 +120,7 @@ def test_summary_of_an_empty_series(make_chunks):
     assert (row.n_chunks, row.series_start, row.series_end, row.n_points) == (1, 0, 0, 0)
 
 
-def test_stored_chunks_hold_the_reference_invariants(spark, sf_dir):
+def test_stored_chunks_hold_their_invariants(spark, sf_dir):
     """Points of a chunk lie within its bounds in strictly rising order."""
     chunks = tables.event_chunks(spark, sf_dir)
     times = F.col("points.timestamp")
