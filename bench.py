@@ -48,6 +48,7 @@ def main() -> None:
     run(tables.table(spark, sf_dir, "events").groupBy("event_type").count())
     seconds["build_event_chunks"] = timed(lambda: tables.event_chunks(spark, sf_dir))
     seconds["build_lineitem_chunks"] = timed(lambda: tables.lineitem_chunks(spark, sf_dir))
+    seconds["build_sampled_chunks"] = timed(lambda: tables.sampled_chunks(spark, sf_dir))
 
     for name, query in QUERIES.items():
         seconds[name] = timed(lambda: run(query(spark, sf_dir)))

@@ -227,7 +227,7 @@ def build_by_rule(rows, period_ms, max_points, slice_ms):
     periods = {}
     for metric, host, t, number, value in rows:
         periods.setdefault((metric, host, t // period_ms), []).append((t, number, value))
-    chunks = {}
+    chunks, copies = {}, {}
     for key, points in periods.items():
         sizes = {}
         for t, *_ in points:
@@ -235,7 +235,9 @@ def build_by_rule(rows, period_ms, max_points, slice_ms):
         for t, number, value in points:
             before = sum(n for s, n in sizes.items() if s < t // slice_ms)
             ways = math.ceil(sizes[t // slice_ms] / max_points)
-            chunks.setdefault((*key, before // max_points, number % ways), []).append((t, number, value))
+            copy = copies[key, t, number, value] = copies.get((key, t, number, value), -1) + 1
+            way = (number + copy // max_points) % ways
+            chunks.setdefault((*key, before // max_points, way), []).append((t, number, value))
     return {k: [(t, v) for t, _, v in sorted(points)] for k, points in chunks.items()}
 
 
@@ -248,6 +250,8 @@ def test_building_splits_long_periods(spark, max_points, slice_ms):
         host = None if metric == "hot" else rng.choice([None, "h"])
         burst = 50_000 if metric == "hot" and rng.random() < 0.3 else rng.randrange(-100_000, 100_000)
         rows.append((metric, host, burst, i, float(i)))
+    # Copies of a single row, many more than a chunk may hold, and some of a few others.
+    rows += [("hot", None, 50_000, 1, 1.0)] * 900 + rows[:40] * 2
     frame = spark.createDataFrame(
         rows, "metric string, host string, timestamp bigint, number bigint, value double"
     ).select("*", *[F.lit(None).cast("string").alias(d) for d in DIMENSIONS[2:]])

@@ -45,19 +45,22 @@ def _chunked(name: str, period: str, tie: str, spread: str) -> str:
     """CTEs ``{name}_points`` (with chunk and position) and ``{name}_chunks`` (headers).
 
     A period holding more points than a chunk may is cut where a whole slice of a second
-    starts past the bound; a slice that is itself too large is dealt out by ``spread``.
+    starts past the bound; a slice that is itself too large is dealt out by ``spread``, and so
+    are equal rows that are too many for one chunk.
     """
+    way = f"({spread} + copy // {MAX_CHUNK_POINTS}) % ways"
     return f"""
 {name}_cut AS (
   SELECT *, {period} AS period,
          coalesce(count(*) OVER (PARTITION BY {DIMS}, {period} ORDER BY "timestamp" // 1000
                   RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {MAX_CHUNK_POINTS} AS part,
          CAST(ceil(count(*) OVER (PARTITION BY {DIMS}, {period}, "timestamp" // 1000)
-              / {MAX_CHUNK_POINTS}.0) AS BIGINT) AS ways
+              / {MAX_CHUNK_POINTS}.0) AS BIGINT) AS ways,
+         row_number() OVER (PARTITION BY {DIMS}, "timestamp", {tie}, value) - 1 AS copy
   FROM {name}_obs),
 {name}_points AS (
-  SELECT {DIMS}, concat_ws('|', {_NAMES}, period, part, {spread} % ways) AS chunk_id,
-         row_number() OVER (PARTITION BY {DIMS}, period, part, {spread} % ways
+  SELECT {DIMS}, concat_ws('|', {_NAMES}, period, part, {way}) AS chunk_id,
+         row_number() OVER (PARTITION BY {DIMS}, period, part, {way}
                             ORDER BY "timestamp", {tie}, value) - 1 AS pos,
          "timestamp", value
   FROM {name}_cut),
@@ -125,12 +128,24 @@ _HALF_BOUNDS = f"""
 SELECT {DIMS}, arg_min("timestamp", pos) AS series_start, arg_max("timestamp", pos) AS series_end
 FROM ({_joined("half_points", "half_chunks")}) GROUP BY {DIMS}"""
 
-_SAMPLES = """WITH RECURSIVE samples AS (
-  SELECT 'sampled|' || (event_id - event_id % 500) AS chunk_id,
-         row_number() OVER (PARTITION BY event_id - event_id % 500
-           ORDER BY 1700000000000 + event_id * 60000 + user_id % 16, value) - 1 AS pos,
-         1700000000000 + event_id * 60000 + user_id % 16 AS t, value
-  FROM events)"""
+_SAMPLE_OBSERVATIONS = """
+SELECT event_id,
+       'sampled' AS metric,
+       CAST(NULL AS VARCHAR) AS host,
+       CAST(NULL AS VARCHAR) AS measurement,
+       CAST(NULL AS VARCHAR) AS process,
+       CAST(NULL AS VARCHAR) AS ag,
+       CAST(NULL AS VARCHAR) AS "group",
+       1700000000000 + event_id * 60000 + user_id % 16 AS "timestamp",
+       value
+FROM events
+"""
+_SAMPLES = (
+    f"WITH RECURSIVE sample_obs AS ({_SAMPLE_OBSERVATIONS}),"
+    + _chunked("sample", "event_id // 500", "event_id", "event_id")
+    + """, samples AS MATERIALIZED (
+  SELECT chunk_id, pos, "timestamp" AS t, value FROM sample_points)"""
+)
 
 
 def _encode(points: str) -> str:

@@ -72,6 +72,23 @@ def derive_lineitem_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_chunks(rows, period=F.col("year"), tie_break=["l_orderkey", "l_linenumber"])
 
 
+def derive_sampled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as near-regular samples: one a minute by event number, off by up to 15 ms.
+
+    Chunks of 500 samples. This is the kind of series the offset codec is made for.
+    """
+    number = F.col("event_id")
+    nothing = F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "events").select(
+        F.lit("sampled").alias("metric"),
+        *[nothing.alias(d) for d in DIMENSIONS[1:]],
+        (F.lit(1_700_000_000_000) + number * 60_000 + F.pmod("user_id", F.lit(16))).alias("timestamp"),
+        "value",
+        "event_id",
+    )
+    return build_chunks(rows, period=whole_div("event_id", 500), tie_break=["event_id"])
+
+
 def _stored(
     spark: SparkSession, sf_dir: str, name: str, derive: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
@@ -99,6 +116,10 @@ def lineitem_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "lineitem", derive_lineitem_chunks)
 
 
+def sampled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "sampled", derive_sampled_chunks)
+
+
 def interleaved_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day chunk dealt out into two by odd and even timestamps; both halves are kept."""
     halves = F.array(*[
@@ -170,29 +191,3 @@ def offset_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform(steps, lambda s: F.when(s % 4 == 0, F.lit(0)).otherwise(s)).alias("offsets"),
         F.col("points.value").alias("values"),
     )
-
-
-def sampled_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as near-regular samples: one a minute by event number, off by up to 15 ms.
-
-    Chunks of 500 samples. This is the kind of series the offset codec is made for.
-    """
-    number = F.col("event_id")
-    rows = table(spark, sf_dir, "events").select(
-        (number - F.pmod(number, F.lit(500))).alias("first_id"),
-        (F.lit(1_700_000_000_000) + number * 60_000 + F.pmod("user_id", F.lit(16))).alias("timestamp"),
-        "value",
-    )
-    gathered = F.sort_array(F.collect_list(F.struct("timestamp", "value")))
-    return (
-        rows.groupBy("first_id")
-        .agg(gathered.alias("points"))
-        .select(
-            F.concat(F.lit("sampled|"), "first_id").alias("chunk_id"),
-            series_start("points").alias("start"),
-            series_end("points").alias("end"),
-            "points",
-        )
-    )
-
-

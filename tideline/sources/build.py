@@ -29,11 +29,15 @@ def _with_chunk_of_period(
 
     The points of the periods in ``too_long`` are counted by slices. A chunk begins with the
     slice that starts past the bound; a slice larger than the bound is dealt out ``_ways``.
-    Points of all other periods pass by and take no part in the join with the slices.
+    Equal rows become one with its number of ``_copies`` before anything is shuffled, and
+    several if they are too many for one chunk. Points of all other periods pass by.
     """
-    long_rows = null_safe_join(rows, too_long, unit, "left_semi")
     other_rows = null_safe_join(rows, too_long, unit, "left_anti")
-    sizes = long_rows.groupBy(*unit, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    long_rows = (
+        null_safe_join(rows, too_long, unit, "left_semi")
+        .groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_all_copies"))
+    )
+    sizes = long_rows.groupBy(*unit, "_slice").agg(F.sum("_all_copies").alias("_n"))
     cuts = (
         running_total(sizes, unit, "_slice", ["_slice"], "_n", "_earlier", periods_ms)
         .select(
@@ -43,13 +47,19 @@ def _with_chunk_of_period(
         )
         .where((F.col("_part") > 0) | (F.col("_ways") > 1))
     )
+    portion = F.col("_portion")
+    last_portion = F.call_function("div", F.col("_all_copies") - 1, F.lit(max_points))
     placed = (
         null_safe_join(long_rows, cuts, [*unit, "_slice"])
-        .withColumn("_part", F.coalesce("_part", F.lit(0)))
-        .withColumn("_way", F.coalesce(F.pmod(F.col(spread), F.col("_ways")), F.lit(0)))
-        .drop("_ways")
+        .withColumn("_portion", F.explode(F.sequence(F.lit(0).cast("bigint"), last_portion)))
+        .select(
+            *rows.columns,
+            F.coalesce("_part", F.lit(0)).alias("_part"),
+            F.coalesce(F.pmod(F.col(spread) + portion, F.col("_ways")), F.lit(0)).alias("_way"),
+            F.least(F.col("_all_copies") - portion * max_points, F.lit(max_points)).alias("_copies"),
+        )
     )
-    return placed.unionByName(_whole(other_rows))
+    return placed.unionByName(_whole(other_rows).withColumn("_copies", F.lit(1).cast("bigint")))
 
 
 def _whole(rows: DataFrame) -> DataFrame:
@@ -93,24 +103,32 @@ def build_chunks(
         placed = _with_chunk_of_period(
             rows, unit, tie_break[0], too_long, max_points, periods_ms
         )
+    copied = "_copies" in placed.columns
     # The hash decides nothing, it leads the grouping keys so that sorting by them is cheap.
     hashed = placed.withColumn("_series", F.xxhash64(*DIMENSIONS))
-    ordered = F.sort_array(F.collect_list(F.struct("timestamp", *tie_break, "value")))
+    entry = F.struct("timestamp", *tie_break, "value", *(["_copies"] if copied else []))
+    if copied:
+        points = F.flatten(F.transform("_entries", lambda e: F.array_repeat(
+            point(e["timestamp"], e["value"]), e["_copies"].cast("int")
+        )))
+    else:
+        points = F.transform("_entries", lambda e: point(e["timestamp"], e["value"]))
     names = [F.coalesce(F.col(d), F.lit("")) for d in DIMENSIONS]
     return (
         hashed.groupBy("_series", "_period", "_part", "_way", *DIMENSIONS)
         .agg(
             F.min("timestamp").alias("start"),
             F.max("timestamp").alias("end"),
-            ordered.alias("_points"),
+            (F.sum("_copies") if copied else F.count(F.lit(1))).alias("n_points"),
+            F.sort_array(F.collect_list(entry)).alias("_entries"),
         )
         .select(
             *DIMENSIONS,
             F.concat_ws("|", *names, "_period", "_part", "_way").alias("chunk_id"),
             "start",
             "end",
-            F.array_size("_points").cast("bigint").alias("n_points"),
-            F.transform("_points", lambda p: point(p["timestamp"], p["value"])).alias("points"),
+            "n_points",
+            points.alias("points"),
             F.lit(None).cast("double").alias("function_value"),
         )
     )
