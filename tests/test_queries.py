@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on whole tables at two scales."""
+"""Every registered query against its SQL, on whole tables."""
 
 from __future__ import annotations
 
@@ -29,18 +29,16 @@ def test_every_query_has_sql():
     assert set(entries.oracle_sql()) == set(entries.queries())
 
 
-@pytest.mark.parametrize("scale", ["sf_small", "sf_dir"])
 @pytest.mark.parametrize("name", sorted(entries.queries()))
-def test_query_matches_sql(spark, request, name, scale):
-    folder = request.getfixturevalue(scale)
-    frame = entries.queries()[name](spark, folder)
+def test_query_matches_sql(spark, sf_dir, name):
+    frame = entries.queries()[name](spark, sf_dir)
     columns = sorted(frame.columns)
     found = _rows(frame.select(*[f"`{c}`" for c in columns]).collect())
 
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')"
         )
     result = connection.sql(entries.oracle_sql()[name])
     assert sorted(result.columns) == columns

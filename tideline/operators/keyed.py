@@ -52,7 +52,8 @@ def running_before(
     the total of earlier periods with the one inside the period (either may be null).
     """
     if not periods_ms:
-        return rows.withColumn(name, total(F.col(value)).over(within(Window.partitionBy(*keys))))
+        earlier_rows = total(F.col(value)).over(within(Window.partitionBy(*keys)))
+        return rows.withColumn(name, merge(F.lit(None), earlier_rows))
     *coarser, finest = periods_ms
     period, inside, before, subtotal = (
         f"_{part}_{len(periods_ms)}" for part in ("period", "inside", "before", "subtotal")
