@@ -8,8 +8,10 @@ joined to connected components.
 
 Steps: one pass over the texts makes signatures; equal sets collapse into classes; a band bucket
 names its smallest member as leader, and every class is checked against its smallest leader;
-then the pairs of one bucket that still lie in different components are checked, until all are.
-Copies so cost no pair at all, near copies one pair per member.
+then every bucket that still holds several components names a few members at random, and the others
+are checked against those outside their own component; last, all pairs of one bucket that
+still lie in different components are. Copies so cost no pair at all and near copies a few pairs per
+member: a large family is one component before its pairs could be listed.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ FUNCTIONS = 80
 BANDS = 32
 ROWS = 2 * FUNCTIONS // BANDS
 PERCENT = 80
+LEADERS = 4          # members of a bucket that a turn compares with its other components
+LEADER_TURNS = 2
 _random = np.random.Generator(np.random.PCG64(411))
 _A = _random.integers(0, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _random.integers(0, 2**63, FUNCTIONS, dtype=np.uint64)
@@ -145,6 +149,14 @@ def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     return stored(joined.mapInArrow(_confirmed(percent), "a bigint, b bigint"))
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components: band, doc, n, part."""
+    placed = members.join(labels, members.doc == labels.id, "left").select(
+        "band", "doc", "n", F.coalesce("component_id", "doc").alias("part"))
+    split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    return stored(placed.join(split.select("band"), "band", "left_semi"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
     """Component of every document under similarity of word-shingle sets.
 
@@ -167,20 +179,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     first = (members.where("leader < doc").groupBy(F.col("doc").alias("b"), F.col("n").alias("n_b"))
              .agg(F.min("leader").alias("a")).join(sizes, "a"))
     links = _links(base, first, size, percent)
-    labels = components(links)
-
-    placed = members.join(labels, members.doc == labels.id, "left").select(
-        "band", "doc", "n", F.coalesce("component_id", "doc").alias("part"))
-    split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    open_ = stored(placed.join(split.select("band"), "band", "left_semi"))
+    for turn in range(LEADER_TURNS):
+        open_ = _open(members, components(links))
+        leaders = open_.groupBy("band").agg(F.array(*[
+            F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "doc").alias("order"), "doc", "n", "part")) for k in range(LEADERS)
+        ]).alias("leaders")).select("band", F.explode(F.array_distinct("leaders")).alias("l"))
+        pairs = (open_.join(leaders, "band").where(F.col("part") != F.col("l.part"))
+                 .select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b"),
+                         F.col("n").alias("n_a"), F.col("l.n").alias("n_b")).dropDuplicates(["a", "b"]))
+        links = stored(links.unionByName(_links(base, pairs, size, percent)))
+    open_ = _open(members, components(links))
     left = open_.select("band", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
     right = open_.select("band", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
     across = (left.join(right, "band").where("a < b and part_a <> part_b")
               .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-              .select("a", "b", "n_a", "n_b").distinct()
-              .join(first.select("a", "b"), ["a", "b"], "left_anti"))
-    more = _links(base, across, size, percent)
-    labels = components(links.unionByName(more))
+              .select("a", "b", "n_a", "n_b").distinct())
+    labels = components(links.unionByName(_links(base, across, size, percent)))
 
     ranked = classes.join(labels, classes.rep == labels.id, "left").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component_id", "rep").alias("component_id"))

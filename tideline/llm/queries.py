@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.decontaminate import overlaps
 from tideline.llm.embeddings import near_vectors
+from tideline.llm.html import main_texts
 from tideline.llm.minhash import near_duplicates
 from tideline.llm.quality import resample
 from tideline.llm.shared import table
@@ -13,6 +14,10 @@ from tideline.llm.urls import op5_url_filters
 from tideline.llm.warc import op10_warc
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -30,6 +35,7 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_html": op2_html,
     "op4_minhash": op4_minhash,
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
