@@ -7,11 +7,14 @@ kept; all but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.llm.decontaminate import decontaminated
 from tideline.llm.minhash import near_duplicates
+from tideline.llm.pieces import decoded, encoded
 from tideline.llm.quality import resample
 from tideline.llm.shared import stored, table
+from tideline.llm.suffix import without_repeats
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,15 +28,30 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
 
 
+def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 bytes and more that documents of smaller id hold too."""
+    cut = without_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    back = decoded(encoded(docs))
+    return back.select(*docs.columns, "ids", F.size("ids").cast("bigint").alias("n_tokens"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+
+
 STAGES = [
     ("quality", quality),
     ("near_dedup", near_dedup),
+    ("repeat_dedup", repeat_dedup),
     ("decontaminate", decontaminate),
+    ("tokenize", tokenize),
 ]
 
 #: Fitting, connected components and Viterbi have no SQL; the tests hold the stages against brute force.

@@ -8,16 +8,26 @@ from tideline.llm.decontaminate import overlaps
 from tideline.llm.embeddings import near_vectors
 from tideline.llm.html import main_texts
 from tideline.llm.minhash import near_duplicates
+from tideline.llm.pieces import op3_sentencepiece as encode_documents
 from tideline.llm.quality import resample
 from tideline.llm.shared import table
+from tideline.llm.suffix import removal_digests
 from tideline.llm.urls import op5_url_filters
 from tideline.llm.warc import op10_warc
 
 
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(table(spark, sf_dir, "documents"))
+
+
 def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
 
@@ -35,7 +45,9 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array": op1_suffix_array,
     "op2_html": op2_html,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_minhash": op4_minhash,
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
