@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut at every space; a word is what stands between two, with the mark U+2581 in front. The
-lattice of a word has an edge for every substring that is a piece: substrings of at most the longest
+A text is cut at every space, and between two bytes that stand side by side in no piece, where no
+path could cross; a word is what stands between two cuts, with the mark U+2581 in front if it
+follows a space or begins the text. The lattice of a word has an edge for every substring that is a piece: substrings of at most the longest
 piece's length are exploded and equi-joined with the piece table, edges are grouped by word, and
 the best path is folded with Spark's higher-order ``aggregate``: the largest sum of piece scores; of
 equal sums the edge that starts first. A character that no piece covers is an edge of its UTF-8 bytes.
@@ -26,7 +27,7 @@ from tideline.llm.words import BASE, _BYTES, _power_tables, list_array, mix, sli
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-COMMON_WORDS = 300_000
+COMMON_WORDS = 1_000_000
 STRETCH = 512              # longer words are encoded in stretches of so many characters
 BYTE_PENALTY = 1e12        # what an edge of bytes costs, more than any piece
 WORD_FIELDS = "hash bigint, part int, word string"
@@ -50,12 +51,12 @@ def piece_rows(model_path: str = MODEL) -> list[tuple[str, int, float, int]]:
 
 
 def _substrings(word: Column, longest: int) -> Column:
-    """Array of (start, stop, piece) of all substrings up to ``longest`` characters."""
+    """Array of (start, stop, piece) of all substrings up to ``longest`` characters, by stop and start."""
     size = F.length(word)
-    one = lambda start: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), size - start)),
-        lambda n: F.struct(start.alias("start"), (start + n).alias("stop"), F.substring(word, start + 1, n).alias("piece")))
-    return F.flatten(F.transform(F.sequence(F.lit(0), size - 1), one))
+    one = lambda stop: F.transform(
+        F.sequence(F.greatest(stop - longest, F.lit(0)), stop - 1),
+        lambda start: F.struct(start.alias("start"), stop.alias("stop"), F.substring(word, start + 1, stop - start).alias("piece")))
+    return F.flatten(F.transform(F.sequence(F.lit(1), size), one))
 
 
 def _edge(longest: int) -> Column:
@@ -64,14 +65,19 @@ def _edge(longest: int) -> Column:
 
 
 def _with_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``words`` with a row per substring; piece_id and score are null where it is no piece."""
+    """``words`` with a row per edge: a substring that is a piece, or a character that is none, as its
+    bytes (id -1 - start). Rows without a word stay as they are, with a null id."""
     exploded = words.withColumn("__s", _edge(longest))
     # A mark further on is a character of the text, not a space: it is left to the edge of bytes.
     piece = F.when(((F.col("part") == 0) & (F.col("__s.start") == 0)) | ~F.col("__s.piece").startswith(MARK), F.col("__s.piece"))
     exploded = exploded.select(*words.columns, "__s.start", "__s.stop", piece.alias("__piece"))
     # The piece table is a fixed vocabulary, read from the model file.
     table = F.broadcast(pieces.where("byte < 0").select(F.col("piece").alias("__piece"), "piece_id", "score"))
-    return exploded.join(table, "__piece", "left").drop("__piece")
+    joined = exploded.join(table, "__piece", "left")
+    bare = F.col("piece_id").isNull() & (F.col("stop") - F.col("start") == 1)
+    kept = joined.where(F.col("piece_id").isNotNull() | F.coalesce(bare, F.lit(True)))
+    return kept.select(*words.columns, "start", "stop", F.when(bare, -1 - F.col("start")).otherwise(F.col("piece_id")).alias("id"),
+                       F.when(bare, F.lit(-BYTE_PENALTY)).otherwise(F.col("score")).alias("score"))
 
 
 def _best_path(edges: Column, size: Column) -> Column:
@@ -102,53 +108,58 @@ def _best_path(edges: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(size, F.lit(1), F.lit(-1)), start, walk, lambda s: s["ids"])
 
 
-def _characters(word: Column) -> Column:
-    """Edges of single characters as bytes."""
-    return F.transform(F.sequence(F.lit(0), F.length(word) - 1), lambda k: F.struct(
-        k.alias("start"), (k + 1).alias("stop"), (-1 - k).alias("id"), F.lit(-BYTE_PENALTY).alias("score")))
-
-
-def _sorted_edges(matched: Column, word: Column) -> Column:
-    edges = F.concat(F.transform(matched, lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"), e["id"].alias("id"), e["score"].alias("score"))),
-                     _characters(word))
-    keyed = F.transform(edges, lambda e: F.struct(e["stop"].alias("stop"), e["start"].alias("start"), e["id"].alias("id"), e["score"].alias("score")))
-    return F.array_sort(keyed)
-
-
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """Ids of distinct words (hash, part, word) as ``path``: explode, equi-join, group by word, fold."""
     edges = _with_edges(words.repartition("hash", "part"), pieces, longest)
-    matched = F.collect_list(F.when(F.col("piece_id").isNotNull(), F.struct(
-        "start", "stop", F.col("piece_id").alias("id"), "score")))
+    matched = F.sort_array(F.collect_list(F.struct("stop", "start", "id", "score")))
     grouped = edges.groupBy("hash", "part", "word").agg(matched.alias("matched"))
-    return grouped.select("hash", "part", "word", _best_path(_sorted_edges(F.col("matched"), F.col("word")), F.length("word")).alias("path"))
+    return grouped.select("hash", "part", "word", _best_path(F.col("matched"), F.length("word")).alias("path"))
 
 
 # ---------------------------------------------------------------- words of texts
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(hash, row, start, stop) of every word of every non-empty text; words may be empty."""
+def pair_table(rows: list[tuple[str, int, float, int]]) -> np.ndarray:
+    """Which bytes stand side by side in some piece."""
+    pairs = np.zeros((256, 256), bool)
+    for piece, _, _, byte in rows:
+        if byte < 0:
+            raw = np.frombuffer(piece.encode(), np.uint8)
+            pairs[raw[:-1], raw[1:]] = True
+    return pairs
+
+
+def _words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(hash, row, start, stop, whether the mark goes before) of every word of every non-empty text; words
+    may be empty."""
     space = np.flatnonzero(data == 32)
     full = np.flatnonzero(np.diff(offsets) > 0)
-    start = np.sort(np.concatenate((space + 1, offsets[full])), kind="stable")
-    stop = np.sort(np.concatenate((space, offsets[full + 1])), kind="stable")
+    cut = np.zeros(len(data), bool)
+    if len(data) > 1:
+        cut[1:] = ~pairs[data[:-1], data[1:]] & (data[1:] & 0xC0 != 0x80) & (data[1:] != 32) & (data[:-1] != 32)
+    cut[offsets[full]] = False
+    cut = np.flatnonzero(cut)
+    begins = np.concatenate((space + 1, offsets[full]))
+    start = np.concatenate((begins, cut))
+    marked = np.arange(len(start)) < len(begins)
+    order = np.argsort(start, kind="stable")
+    start, marked = start[order], marked[order]
+    stop = np.sort(np.concatenate((space, offsets[full + 1], cut)), kind="stable")
     powers, inverse = _power_tables(len(data) + 2)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTES[data] * powers[:len(data)], out=sums[1:])
-    hashes = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64) * np.uint64(BASE))
-    row = np.repeat(full, np.diff(np.concatenate((np.searchsorted(space, offsets[full]), [len(space)]))) + 1)
-    return hashes, row, start, stop
+    size = (stop - start).astype(np.uint64) * np.uint64(2) + marked
+    hashes = mix((sums[stop] - sums[start]) * inverse[start] + size * np.uint64(BASE))
+    many = sum(np.diff(np.concatenate((np.searchsorted(at, offsets[full]), [len(at)]))) for at in (space, cut)) + 1
+    return hashes, np.repeat(full, many), start, stop, marked
 
 
-def _word_rows(hashes: np.ndarray, texts: list[str]) -> list[tuple[int, int, str]]:
+def _word_rows(hashes: np.ndarray, texts: list[str], marked: list[bool]) -> list[tuple[int, int, str]]:
+    """(hash, part, word); part is 0 only where the word begins with a mark of its own."""
     rows = []
-    for value, text in zip(hashes.view(np.int64).tolist(), texts):
-        if len(text) < STRETCH:
-            rows.append((value, 0, MARK + text))
-        else:
-            marked = MARK + text
-            rows += [(value, k, marked[at:at + STRETCH]) for k, at in enumerate(range(0, len(marked), STRETCH))]
+    for value, text, mark in zip(hashes.view(np.int64).tolist(), texts, marked):
+        word = MARK + text if mark else text
+        rows += [(value, k, word[at:at + STRETCH]) for k, at in enumerate(range(0, len(word), STRETCH), 0 if mark else 1)]
     return rows
 
 
@@ -157,26 +168,29 @@ def _texts(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[str]:
     return [blob[a:b].decode("utf-8", "replace") for a, b in zip(start.tolist(), stop.tolist())]
 
 
-def _repeated_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words that a batch has more than once: hash, word, n."""
-    for batch in batches:
-        data, offsets = text_buffers(batch.column(0))
-        for first, last in slices(offsets, 1 << 23):
-            low = offsets[first]
-            part = data[low:offsets[last]]
-            hashes, _, start, stop = _words(part, offsets[first:last + 1] - low)
-            value, at, n = np.unique(hashes, return_index=True, return_counts=True)
-            keep = (n > 1) & (stop[at] - start[at] < STRETCH)
-            at = at[keep]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(value[keep].view(np.int64)), pa.array(_texts(part, start[at], stop[at]), pa.string()), pa.array(n[keep])],
-                names=["hash", "word", "n"])
+def _repeated_words(shared):
+    """Words that a slice has more than once: hash, part, word, n."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffers(batch.column(0))
+            for first, last in slices(offsets, 1 << 23):
+                low = offsets[first]
+                part = data[low:offsets[last]]
+                hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, shared.value)
+                value, at, n = np.unique(hashes, return_index=True, return_counts=True)
+                keep = (n > 1) & (stop[at] - start[at] < STRETCH)
+                at, n = at[keep], n[keep]
+                rows = _word_rows(value[keep], _texts(part, start[at], stop[at]), marked[at].tolist())
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
+                    pa.array([r[2] for r in rows], pa.string()), pa.array(n, pa.int64())], names=["hash", "part", "word", "n"])
+    return run
 
 
-def common_words(texts: DataFrame, limit: int = COMMON_WORDS) -> DataFrame:
-    """Up to ``limit`` words of most occurrences: hash, part (0), word with the mark."""
-    counted = stored(texts.select("text").mapInArrow(_repeated_words, "hash bigint, word string, n bigint")
-                     .groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("n")))
+def common_words(texts: DataFrame, pairs, limit: int = COMMON_WORDS) -> DataFrame:
+    """Up to ``limit`` words of most occurrences: hash, part, word."""
+    counted = stored(texts.select("text").mapInArrow(_repeated_words(pairs), f"{WORD_FIELDS}, n bigint")
+                     .groupBy("hash", "part", "word").agg(F.sum("n").alias("n")))
     levels = counted.groupBy(F.least("n", F.lit(100_000)).alias("level")).count().orderBy(F.desc("level")).collect()
     least, held = None, 0
     for row in levels:       # at most 100,000 levels
@@ -185,7 +199,7 @@ def common_words(texts: DataFrame, limit: int = COMMON_WORDS) -> DataFrame:
             break
         least = row["level"]
     chosen = counted.where(F.col("n") >= least) if least is not None else counted.limit(0)
-    return chosen.select("hash", F.lit(0).alias("part"), F.concat(F.lit(MARK), "word").alias("word"))
+    return chosen.select("hash", "part", "word")
 
 
 class Paths:
@@ -225,25 +239,34 @@ def _paths(rows: list[tuple[int, int, str, list[int]]], byte_ids: np.ndarray) ->
     return Paths(np.array(hashes, np.uint64), np.array(ends, np.int64), np.array(ids, np.int32))
 
 
+def _finished(byte_ids: np.ndarray):
+    """Paths (hash, part, word, path) of words of one part as ids."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [_expanded(word, path, byte_ids) for word, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["hash", "ids"])
+    return run
+
+
 # ---------------------------------------------------------------- the stream of one task: words, then their documents
 
 
 def _stream(shared):
     """For each batch of documents a row for every word that is not common, then the documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Paths(*shared.value[:3])
+        known, pairs = Paths(*shared.value[:3]), shared.value[4]
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            rare: dict[int, str] = {}
+            rare: dict[int, tuple[str, bool]] = {}
             for first, last in slices(offsets):
                 low = offsets[first]
                 part = data[low:offsets[last]]
-                hashes, _, start, stop = _words(part, offsets[first:last + 1] - low)
+                hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, pairs)
                 left = np.flatnonzero(~known.find(hashes)[1])
                 value, at = np.unique(hashes[left], return_index=True)
                 at = left[at]
-                rare.update(zip(value.tolist(), _texts(part, start[at], stop[at])))
-            rows = _word_rows(np.array(list(rare), np.uint64), list(rare.values()))
+                rare.update(zip(value.tolist(), zip(_texts(part, start[at], stop[at]), marked[at].tolist())))
+            rows = _word_rows(np.array(list(rare), np.uint64), [r[0] for r in rare.values()], [r[1] for r in rare.values()])
             none = pa.nulls(len(rows), batch.column(0).type)
             if rows:
                 yield pa.RecordBatch.from_arrays([
@@ -261,7 +284,7 @@ _EDGES = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("id",
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (hash, part, word, row, text, start, stop, piece_id, score) of one word together as one row."""
+    """Rows (hash, part, word, row, text, start, stop, id, score) of one word together as one row."""
     names = ["hash", "part", "word", "row", "text", "matched"]
     held: list[pa.RecordBatch] = []
 
@@ -303,7 +326,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _encoded(shared):
     """Documents with their ids: the words of a batch come first and are kept until its documents are done."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *flat, byte_ids = shared.value
+        *flat, byte_ids, pairs = shared.value
         common, rows, rare, documents = Paths(*flat), [], None, False
         for batch in batches:
             is_word = np.asarray(batch.column(0).is_valid())
@@ -325,7 +348,7 @@ def _encoded(shared):
                 ids, many = [], np.zeros(part.num_rows, np.int64)
                 for first, last in slices(offsets):
                     low = offsets[first]
-                    hashes, row, _, _ = _words(data[low:offsets[last]], offsets[first:last + 1] - low)
+                    hashes, row, _, _, _ = _words(data[low:offsets[last]], offsets[first:last + 1] - low, pairs)
                     got, count = _looked_up(hashes, common, rare)
                     ids.append(got)
                     many[first:last] = np.bincount(row, weights=count, minlength=last - first)
@@ -361,21 +384,26 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     for _, k, _, byte in table:
         if byte >= 0:
             byte_ids[byte] = k
-    words = stored(common_words(docs.select(F.col("text").cast("string").alias("text"))))
-    best = stored(encode_words(words, pieces, longest)).toArrow()     # at most COMMON_WORDS rows
-    rows = list(zip(*(best.column(k).to_pylist() for k in range(4))))
-    common = _paths(rows, byte_ids)
-    shared = spark.sparkContext.broadcast((common.hashes, common.ends, common.ids, byte_ids))
-    del rows, best
+    pairs = pair_table(table)
+    words = stored(common_words(docs.select(F.col("text").cast("string").alias("text")), spark.sparkContext.broadcast(pairs)))
+    found = encode_words(words, pieces, longest).mapInArrow(_finished(byte_ids), "hash bigint, ids array<int>")
+    best = stored(found).toArrow().combine_chunks()     # at most COMMON_WORDS rows
+    hashes, lists = best.column(0).to_numpy().view(np.uint64), best.column(1).combine_chunks()
+    order = np.argsort(hashes)
+    many = np.diff(lists.offsets.to_numpy())
+    flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int32)
+    end = np.cumsum(many[order])
+    ids = flat[np.repeat((np.cumsum(many) - many)[order] - (end - many[order]), many[order]) + np.arange(len(flat))]
+    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs))
 
     kept = [c for c in docs.columns if c != "ids"]
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("string").alias("text"))
     kind = base.schema["row"].dataType.simpleString()
     stream = base.mapInArrow(_stream(shared), f"{WORD_FIELDS}, row {kind}, text string")
-    lattice = _with_edges(stream, pieces, longest).select("hash", "part", "word", "row", "text", "start", "stop", "piece_id", "score")
+    lattice = _with_edges(stream, pieces, longest).select("hash", "part", "word", "row", "text", "start", "stop", "id", "score")
     grouped = lattice.mapInArrow(_gathered, f"{WORD_FIELDS}, row {kind}, text string, "
                                  "matched array<struct<start:int,stop:int,id:int,score:double>>")
-    path = F.when(F.col("hash").isNotNull(), _best_path(_sorted_edges(F.col("matched"), F.col("word")), F.length("word")))
+    path = F.when(F.col("hash").isNotNull(), _best_path(F.col("matched"), F.length("word")))
     folded = grouped.select("hash", "part", "word", "row", "text", path.alias("path"))
     done = folded.mapInArrow(_encoded(shared), f"row {kind}, ids array<int>")
     return done.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "ids")

@@ -10,6 +10,7 @@ from tideline.llm.html import main_texts
 from tideline.llm.minhash import near_duplicates
 from tideline.llm.pieces import op3_sentencepiece as encode_documents
 from tideline.llm.quality import resample
+from tideline.llm.scoring import backoff_scores
 from tideline.llm.shared import table
 from tideline.llm.suffix import removal_digests
 from tideline.llm.urls import op5_url_filters
@@ -36,6 +37,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))[1]
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_url_filters": op5_url_filters,
     "op6_decontamination": op6_decontamination,
     "op7_embeddings": op7_embeddings,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
