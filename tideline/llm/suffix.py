@@ -35,7 +35,8 @@ from tideline.llm.words import BASE, _power_tables, list_array, mix, slices, tex
 
 LENGTH = 50
 ANCHOR = 16                # bytes of an anchor
-SHARD_BYTES = 4 << 20      # text per shard; about a third of it reaches the shard's array
+SHARD_BYTES = 1 << 20      # text per shard, about as much as its segments have; an array takes some 200 bytes per byte
+SHARDS_TASK = 4            # shards that a task sorts one after another
 COUNT_SHARDS = 64
 FILTER_BITS = (16, 30)     # limits of the bit array's size, as powers of two
 HOT = 20_000               # different surroundings of one anchor from which it is dealt by window
@@ -512,7 +513,7 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     sent = base.mapInArrow(_sent(shared, length, shards),
                            "shard int, ids binary, docs binary, times binary, lengths binary, texts binary")
-    sent = sent.repartition(int(min(shards, 1 << 20)), "shard").sortWithinPartitions("shard")
+    sent = sent.repartition(max(shards // SHARDS_TASK, 1), "shard").sortWithinPartitions("shard")
     resolved = stored(sent.mapInArrow(_resolved(length), "id bigint, first int, stop int, least bigint"))
 
     places = base.mapInArrow(_occurrences(shared, length), "id bigint, doc_id bigint, at bigint")
