@@ -4,8 +4,8 @@
              = BACKOFF * f(w) / N       otherwise
 
 Counts cover all documents; a document's own occurrences are left out of f(v w) and f(w), so it is
-scored by what the others hold (of f(w), those occurrences that are backed off). f(v) counts v as a context, with a begin mark before every document; N
-is the number of words. A word that no other document has counts as BACKOFF occurrences. The score
+scored by what the others hold (of f(w), those occurrences that are backed off). f(v) counts v as a
+context, with a begin mark before every document; N is the number of words. A word that no other document has counts as BACKOFF occurrences. The score
 of a document is the sum of ln S over its words.
 
 The n-grams of a block of documents are exploded, sorted and sent to the shard of their context, as
@@ -30,7 +30,7 @@ from tideline.llm.shared import stored
 from tideline.llm.words import BASE, mix, slices, text_buffers, word_hashes
 
 BACKOFF = 0.4
-SHARD_BYTES = 64 << 20     # text per shard
+SHARD_BYTES = 32 << 20     # text per shard; an n-gram takes some 80 bytes there
 BLOCK_BYTES = 16 << 20     # text per block
 HEAVY = 512                # a context with more than 1/HEAVY of all words is dealt out
 BEGIN = np.uint64(0xBE61)  # stands before the first word of a document
@@ -215,16 +215,23 @@ def _scored(shared, shards: int):
             word = np.concatenate([_unpack48(c) for c in _cells(held, 4)])
             doc = np.concatenate([
                 p[np.frombuffer(r, np.uint16 if len(b) <= 1 << 16 else np.uint32)] for p, b, r in zip(place, blocks, _cells(held, 5))]).astype(np.int32)
-            value, at, times = np.unique(context, return_inverse=True, return_counts=True)
-            if len(heavy):
-                spot = np.minimum(np.searchsorted(heavy, value), len(heavy) - 1)
-                times = np.where(heavy[spot] == value, heavy_counts[spot], times)
-            whole = times[at]
             order, others = _less_own(mix(context * np.uint64(BASE) + word), doc)
             found = others > 0
             seen, unseen = order[found], order[~found]
-            got = _sums(doc[seen], np.log(others[found] / whole[seen]), ids)
-            yield _partial(*got)
+            others = np.log(others[found])
+            del order, found
+            by_context = np.argsort(context, kind="stable")
+            first = _runs(context[by_context])
+            times = np.diff(np.append(first, len(context)))
+            if len(heavy):
+                value = context[by_context[first]]
+                spot = np.minimum(np.searchsorted(heavy, value), len(heavy) - 1)
+                times = np.where(heavy[spot] == value, heavy_counts[spot], times)
+            whole = np.empty(len(context))
+            whole[by_context] = np.repeat(np.log(times), np.diff(np.append(first, len(context))))
+            del by_context, first, context
+            yield _partial(*_sums(doc[seen], others - whole[seen], ids))
+            del seen, others, whole
             if len(unseen):
                 word, doc = word[unseen], doc[unseen]
                 shard = _shard(word, shards)
