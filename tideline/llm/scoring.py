@@ -30,7 +30,9 @@ from tideline.llm.shared import stored
 from tideline.llm.words import BASE, mix, slices, text_buffers, word_hashes
 
 BACKOFF = 0.4
-SHARD_BYTES = 32 << 20     # text per shard; an n-gram takes some 80 bytes there
+SHARD_BYTES = 16 << 20     # text per shard; an n-gram takes some 80 bytes there
+SHARDS_TASK = 4            # shards that a task works through one after another, adding up sums per document
+SUMS_HELD = 1 << 20        # documents whose sums a task holds at most
 BLOCK_BYTES = 16 << 20     # text per block
 HEAVY = 512                # a context with more than 1/HEAVY of all words is dealt out
 BEGIN = np.uint64(0xBE61)  # stands before the first word of a document
@@ -200,6 +202,31 @@ def _sums(doc: np.ndarray, value: np.ndarray, ids: np.ndarray) -> tuple[np.ndarr
     return ids[at], score[at], words[at]
 
 
+class _Sums:
+    """Sums per document over several shards; given out when too many documents are held."""
+
+    def __init__(self):
+        self.parts, self.rows = [], 0
+
+    def add(self, ids: np.ndarray, score: np.ndarray, words: np.ndarray) -> tuple | None:
+        self.parts.append((ids, score, words))
+        self.rows += len(ids)
+        if self.rows > SUMS_HELD:
+            merged = self.merged()
+            if len(merged[0]) > SUMS_HELD // 2:
+                return merged
+            self.parts, self.rows = [merged], len(merged[0])
+        return None
+
+    def merged(self) -> tuple | None:
+        if not self.parts:
+            return None
+        ids, score, words = (np.concatenate([p[k] for p in self.parts]) for k in range(3))
+        self.parts, self.rows = [], 0
+        ids, at = np.unique(ids, return_inverse=True)
+        return ids, np.bincount(at, score, len(ids)), np.bincount(at, words, len(ids)).astype(np.int64)
+
+
 def _scored(shared, shards: int):
     """Per shard: partial sums of what it holds, and (shard, words, documents) of what it does not.
 
@@ -207,6 +234,7 @@ def _scored(shared, shards: int):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, heavy_counts, _ = shared.value
+        sums = _Sums()
         for _, held in _groups(batches):
             blocks = [np.frombuffer(c, np.int64) for c in _cells(held, 1)]
             ids, number = np.unique(np.concatenate(blocks), return_inverse=True)
@@ -230,7 +258,9 @@ def _scored(shared, shards: int):
             whole = np.empty(len(context))
             whole[by_context] = np.repeat(np.log(times), np.diff(np.append(first, len(context))))
             del by_context, first, context
-            yield _partial(*_sums(doc[seen], others - whole[seen], ids))
+            full = sums.add(*_sums(doc[seen], others - whole[seen], ids))
+            if full:
+                yield _partial(*full)
             del seen, others, whole
             if len(unseen):
                 word, doc = word[unseen], doc[unseen]
@@ -250,6 +280,9 @@ def _scored(shared, shards: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
                      *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5)]], names=_SCORED)
+        full = sums.merged()
+        if full:
+            yield _partial(*full)
     return run
 
 
@@ -265,6 +298,7 @@ def _partial(ids: np.ndarray, score: np.ndarray, words: np.ndarray) -> pa.Record
 def _backed_off(total: int):
     """Rows (shard, kind, ids, heads, many, docs): kind 0 is the shard's count table, in heads and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
         for _, held in _groups(batches):
             kinds = [k for part in held for k in part.column(1).to_pylist()]
             cells = [list(_cells(held, k)) for k in (2, 3, 4, 5)]
@@ -285,11 +319,19 @@ def _backed_off(total: int):
             own = np.diff(np.append(own_first, len(word)))
             rest = counts[np.searchsorted(words, word)] - np.repeat(own, own)
             value = np.log(BACKOFF * np.maximum(rest, BACKOFF) / total)
-            found = _sums(doc, value, ids)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1]), pa.array(found[2].astype(np.int64))], names=["doc_id", "score", "words"])
+            full = sums.add(*_sums(doc, value, ids))
+            if full:
+                yield _summed(*full)
+        full = sums.merged()
+        if full:
+            yield _summed(*full)
     return run
 
 
+def _summed(ids: np.ndarray, score: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(score), pa.array(words.astype(np.int64))], names=["doc_id", "score", "words"])
+
+
 def backoff_scores(docs: DataFrame) -> DataFrame:
     """Score of every document under the corpus: doc_id, n_words, score, mean_score, perplexity.
 
@@ -304,7 +346,7 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     shards = max(math.ceil(size / SHARD_BYTES), 1)
 
     def dealt(frame: DataFrame) -> DataFrame:
-        return frame.repartition(shards, "shard").sortWithinPartitions("shard")
+        return frame.repartition(math.ceil(shards / SHARDS_TASK), "shard").sortWithinPartitions("shard")
 
     counted = dealt(base.mapInArrow(_counted(shards), "shard int, words binary, counts binary, contexts binary"))
     least = max(size // 6 // HEAVY, 1)      # a word has about six bytes: heavier than its share of them

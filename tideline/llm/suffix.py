@@ -247,8 +247,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, hot: np.ndarray
     border = offsets[1:-1]
     new[border[border < len(low)]] = True
     if hot is not None and len(hot):
-        spot = np.minimum(np.searchsorted(hot, low), len(hot) - 1)
-        is_hot = hot[spot] == low
+        spread = mix(low * np.uint64(BASE))
+        spot = np.minimum(np.searchsorted(hot, spread), len(hot) - 1)
+        is_hot = hot[spot] == spread
         if is_hot.any():
             new |= is_hot
             low = np.where(is_hot, _window_hash(data, length), low)
@@ -262,7 +263,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int, hot: np.ndarray
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(_SYMBOLS[data.astype(np.int64) + 2] * powers[:size], out=sums[1:])
     ids = mix((sums[start + many] - sums[start]) * inverse[start] + many.astype(np.uint64) * np.uint64(BASE))
-    return low[start], ids, np.searchsorted(offsets, start, "right") - 1, start, many
+    # Smallest hashes crowd at the low end: mixed once more, they spread over bits and shards.
+    return mix(low[start] * np.uint64(BASE)), ids, np.searchsorted(offsets, start, "right") - 1, start, many
 
 
 def _joined_blocks(batches: Iterator[pa.RecordBatch], length: int, hot: np.ndarray | None) -> Iterator[tuple]:
@@ -291,13 +293,12 @@ def _anchor_counts(length: int):
     of its documents have them, and how many different segments have them."""
     def pack(parts: list[tuple]) -> pa.RecordBatch:
         anchor, ids, doc = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.argsort(anchor, kind="stable")
+        order = np.lexsort((ids, anchor))
         anchor, ids, doc = anchor[order], ids[order], doc[order]
         first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         shared = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
-        # Different segments of an anchor: exact where there is one, else at most the segments there are.
-        single = np.minimum.reduceat(ids, first) == np.maximum.reduceat(ids, first)
-        many = np.where(single, 1, np.diff(np.append(first, len(anchor)))).astype(np.int32)
+        other = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (ids[1:] != ids[:-1])))
+        many = np.add.reduceat(other.astype(np.int32), first)
         anchor = anchor[first]
         shard = (anchor >> np.uint64(58)).astype(np.int64)
         edge = np.searchsorted(shard, np.arange(COUNT_SHARDS + 1))
