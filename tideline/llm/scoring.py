@@ -37,7 +37,7 @@ BLOCK_BYTES = 16 << 20     # text per block
 HEAVY = 512                # a context with more than 1/HEAVY of all words is dealt out
 BEGIN = np.uint64(0xBE61)  # stands before the first word of a document
 _KEEP = np.uint64(64 - 48)
-PARTIAL = "doc_id bigint, score double, words bigint"
+PARTIAL = "bucket int, sum_ids binary, sum_scores binary, sum_words binary"
 
 
 def _pack48(values: np.ndarray) -> bytes:
@@ -230,7 +230,7 @@ class _Sums:
 def _scored(shared, shards: int):
     """Per shard: partial sums of what it holds, and (shard, words, documents) of what it does not.
 
-    Rows with a shard are for the next exchange, rows with a doc_id are partial sums.
+    Rows with a shard are for the next exchange, rows with a bucket are partial sums.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy, heavy_counts, _ = shared.value
@@ -260,7 +260,7 @@ def _scored(shared, shards: int):
             del by_context, first, context
             full = sums.add(*_sums(doc[seen], others - whole[seen], ids))
             if full:
-                yield _partial(*full)
+                yield _partial(*full, shards)
             del seen, others, whole
             if len(unseen):
                 word, doc = word[unseen], doc[unseen]
@@ -278,24 +278,46 @@ def _scored(shared, shards: int):
                     rows.append((k, ids[used[own]].tobytes(), _pack48(word[first[h:i]]), many[h:i].tobytes(), small.astype(np.uint32).tobytes()))
                 n = len(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.int64()), pa.array([r[0] for r in rows], pa.int32()),
+                    [pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 3, pa.array([r[0] for r in rows], pa.int32()),
                      *[pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5)]], names=_SCORED)
         full = sums.merged()
         if full:
-            yield _partial(*full)
+            yield _partial(*full, shards)
     return run
 
 
-_SCORED = ["doc_id", "score", "words", "shard", "ids", "heads", "many", "docs"]
+_PARTIAL = ["bucket", "sum_ids", "sum_scores", "sum_words"]
+_SCORED = [*_PARTIAL, "shard", "ids", "heads", "many", "docs"]
 
 
-def _partial(ids: np.ndarray, score: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
-    n = len(ids)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(score), pa.array(words.astype(np.int64)), pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 4], names=_SCORED)
+def _columns(ids: np.ndarray, score: np.ndarray, words: np.ndarray, buckets: int) -> list[pa.Array]:
+    """Sums in one row per bucket of documents."""
+    bucket = _shard(ids.view(np.uint64), buckets)
+    order = np.argsort(bucket, kind="stable")
+    ids, score, words = ids[order], score[order], words[order].astype(np.int32)
+    has, a, b = _cuts(bucket[order], buckets)
+    spans = list(zip(a.tolist(), b.tolist()))
+    return [pa.array(has.astype(np.int32)), *[pa.array([v[x:y].tobytes() for x, y in spans], pa.binary()) for v in (ids, score, words)]]
 
 
-def _backed_off(total: int):
+def _partial(ids: np.ndarray, score: np.ndarray, words: np.ndarray, buckets: int) -> pa.RecordBatch:
+    columns = _columns(ids, score, words, buckets)
+    n = len(columns[0])
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), *[pa.nulls(n, pa.binary())] * 4], names=_SCORED)
+
+
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a bucket's documents added up."""
+    for _, held in _groups(batches):
+        ids, score, words = (np.concatenate([np.frombuffer(c, kind) for c in _cells(held, k)])
+                             for k, kind in ((1, np.int64), (2, np.float64), (3, np.int32)))
+        own, at = np.unique(ids, return_inverse=True)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(own), pa.array(np.bincount(at, score, len(own))), pa.array(np.bincount(at, words, len(own)).astype(np.int64))],
+            names=["doc_id", "score", "words"])
+
+
+def _backed_off(total: int, buckets: int):
     """Rows (shard, kind, ids, heads, many, docs): kind 0 is the shard's count table, in heads and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -321,17 +343,13 @@ def _backed_off(total: int):
             value = np.log(BACKOFF * np.maximum(rest, BACKOFF) / total)
             full = sums.add(*_sums(doc, value, ids))
             if full:
-                yield _summed(*full)
+                yield pa.RecordBatch.from_arrays(_columns(*full, buckets), names=_PARTIAL)
         full = sums.merged()
         if full:
-            yield _summed(*full)
+            yield pa.RecordBatch.from_arrays(_columns(*full, buckets), names=_PARTIAL)
     return run
 
 
-def _summed(ids: np.ndarray, score: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(score), pa.array(words.astype(np.int64))], names=["doc_id", "score", "words"])
-
-
 def backoff_scores(docs: DataFrame) -> DataFrame:
     """Score of every document under the corpus: doc_id, n_words, score, mean_score, perplexity.
 
@@ -345,8 +363,8 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     size = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(math.ceil(size / SHARD_BYTES), 1)
 
-    def dealt(frame: DataFrame) -> DataFrame:
-        return frame.repartition(math.ceil(shards / SHARDS_TASK), "shard").sortWithinPartitions("shard")
+    def dealt(frame: DataFrame, key: str = "shard") -> DataFrame:
+        return frame.repartition(math.ceil(shards / SHARDS_TASK), key).sortWithinPartitions(key)
 
     counted = dealt(base.mapInArrow(_counted(shards), "shard int, words binary, counts binary, contexts binary"))
     least = max(size // 6 // HEAVY, 1)      # a word has about six bytes: heavier than its share of them
@@ -366,9 +384,10 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     asked = scored.where("shard is not null").select("shard", F.lit(1).alias("kind"), "ids", "heads", "many", "docs")
     table = tables.select("shard", F.lit(0).alias("kind"), F.col("counts").alias("ids"), F.col("words").alias("heads"),
                           F.lit(None).cast("binary").alias("many"), F.lit(None).cast("binary").alias("docs"))
-    rest = dealt(asked.unionByName(table)).mapInArrow(_backed_off(total), PARTIAL)
+    rest = dealt(asked.unionByName(table)).mapInArrow(_backed_off(total, shards), PARTIAL)
 
-    parts = scored.where("shard is null").select("doc_id", "score", "words").unionByName(rest)
+    parts = dealt(scored.where("shard is null").select(*_PARTIAL).unionByName(rest), "bucket")
+    parts = parts.mapInArrow(_per_document, "doc_id bigint, score double, words bigint")
     # Every document takes part with nothing, so that those without words are there too.
     parts = parts.unionByName(base.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).cast("bigint").alias("words")))
     summed = parts.groupBy("doc_id").agg(F.sum("words").alias("n_words"), F.sum("score").alias("score"))
