@@ -223,7 +223,9 @@ def read_warc(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     starts = F.explode(F.expr(f"sequence(0L, greatest(bytes - 1, 0L), {int(range_bytes)}L)"))
     ranges = manifest.where("bytes > 0").select("file", starts.alias("start"))
     ranges = ranges.select("file", "start", (F.col("start") + range_bytes).alias("stop"))
-    return ranges.repartition("file", "start").mapInArrow(_reader, RECORD)
+    # As many tasks as ranges: a given number is not coalesced, although the rows are tiny.
+    tasks = manifest.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    return ranges.repartition(int(min(tasks, 100_000)), "file", "start").mapInArrow(_reader, RECORD)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
