@@ -12,19 +12,17 @@ from tideline.functions.codec import _offsets, _times, delta_decode, delta_encod
 
 
 def encode_by_rule(times, tolerance):
-    offsets, stored_at, since, last_time, last_step = [], 0, 1, 0, 0
-    for t in times:
-        step = 0 if last_time == 0 else t - last_time
-        same = abs(step - last_step) <= tolerance
-        ahead = stored_at + tolerance * since - t
-        if same and ahead <= tolerance // 2:
-            offsets.append(0)
-            since += 1
-        else:
-            offsets.append(step)
-            since, stored_at = 1, t
-        last_time, last_step = t, step
-    return offsets
+    """Offsets are the steps of the stored points. A point is stored if its step differs from the one before
+    it by more than the tolerance, or if counting on from the last stored point overshoots it."""
+    steps = [0 if not times[k - 1] else times[k] - times[k - 1] for k in range(1, len(times))]
+    steps = [0] * bool(times) + steps
+    stored = []
+    for k, t in enumerate(times):
+        base, passed = (times[stored[-1]], k - stored[-1]) if stored else (0, k + 1)
+        jumps = abs(steps[k] - (steps[k - 1] if k else 0)) > tolerance
+        if jumps or base + tolerance * passed - t > tolerance // 2:
+            stored.append(k)
+    return [steps[k] if k in set(stored) else 0 for k in range(len(times))]
 
 
 def decode_by_rule(start, offsets, tolerance):

@@ -300,3 +300,40 @@ def test_stateless_operators_run_on_a_stream(spark, sf_small):
     found = spark.table("flat")
     assert found.count() > 0
     assert sorted(map(str, found.collect())) == sorted(map(str, work(stored).collect()))
+
+
+def test_headers_follow_their_points(make_chunks):
+    from tideline.functions.points import append_point, replace_points
+    from tideline.operators.aggregates import count_observations
+    from tideline.operators.filters import observations_at
+    from tideline.sources.chunks import scan_time_range
+
+    chunks = make_chunks(({"metric": "m"}, "a", [(10, 1.0), (20, 2.0), (30, 3.0)]))
+    longer = replace_points(chunks, append_point(F.lit(1000).cast("bigint"), F.lit(4.0)))
+    assert longer.select("start", "end", "n_points").first() == (10, 1000, 4)
+    assert observations_at(longer, 1000).count() == 1
+    assert scan_time_range(longer, 900, 2000).select("start", "end", "n_points").first() == (1000, 1000, 1)
+    assert observations_at(longer, 0, float("inf")).count() == 4
+    assert count_observations(longer.drop("n_points")).first()[0] == 4
+
+
+def test_read_chunks_of_unequal_schema(spark, make_chunks, tmp_path):
+    from tideline.operators.aggregates import count_observations
+    from tideline.sources.chunks import read_chunks
+
+    make_chunks(({"metric": "m"}, "a", [(1, 1.0), (2, 2.0)])).write.parquet(str(tmp_path / "full"))
+    make_chunks(({"metric": "n"}, "b", [(1, 1.0), (2, 2.0), (3, 3.0)])).drop("n_points", "host").write.parquet(str(tmp_path / "bare"))
+    for order in (("full", "bare"), ("bare", "full")):
+        assert count_observations(read_chunks(spark, *[str(tmp_path / p) for p in order])).first()[0] == 5
+
+
+def test_codec_nulls(spark):
+    from pyspark.errors import PythonException
+
+    from tideline.functions.codec import delta_decode, delta_encode
+
+    rows = spark.createDataFrame([(1000, [0, None, 60000, None, 5], [1.0] * 5)], "start bigint, offsets array<bigint>, values array<double>")
+    assert delta_decode(rows).select("points.timestamp").first()[0] == [1000, 1010, 61010, 121010, 121015]
+    bad = spark.createDataFrame([([(None, 1.0)],)], "points array<struct<timestamp:bigint,value:double>>")
+    with pytest.raises(PythonException, match="missing"):
+        delta_encode(bad).collect()

@@ -85,7 +85,10 @@ def _times(
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all lists one after the other, and where each list begins and ends."""
     bounds = np.asarray(lists.offsets, dtype=np.int64)
-    return np.asarray(lists.flatten(), dtype=np.int64), bounds - bounds[0]
+    numbers = lists.flatten()
+    if numbers.null_count:
+        raise ValueError("a timestamp is missing")
+    return np.asarray(numbers, dtype=np.int64), bounds - bounds[0]
 
 
 def _lists(numbers: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
@@ -93,7 +96,8 @@ def _lists(numbers: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
 
 
 def delta_encode(chunks: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
-    """Replace ``points`` by ``offsets`` and ``values``. Missing points are skipped."""
+    """Replace ``points`` by ``offsets`` and ``values``. Missing points are skipped; a point without a
+    timestamp fails the query."""
     if tolerance < 0:
         raise ValueError("tolerance must not be negative")
 
@@ -128,7 +132,9 @@ def delta_decode(encoded: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame
         return _lists(_times(firsts, numbers, bounds, tolerance), bounds)
 
     nothing = F.array().cast("array<bigint>")
-    times = decode(F.coalesce("start", F.lit(0)), F.coalesce("offsets", nothing))
+    # An absent offset repeats the last one, as 0 does.
+    known = F.transform(F.coalesce("offsets", nothing), lambda o: F.coalesce(o, F.lit(0).cast("bigint")))
+    times = decode(F.coalesce("start", F.lit(0)), known)
     return (
         encoded.withColumn("_times", times)
         .withColumn("points", F.zip_with("_times", "values", point))

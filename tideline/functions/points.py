@@ -64,9 +64,16 @@ def values_array(points: Column | str = "points") -> Column:
 
 
 def replace_points(frame: DataFrame, points: Column) -> DataFrame:
-    """Give every row other points, and the size that goes with them."""
+    """Give every row other points, and the header that goes with them.
+
+    ``start`` and ``end``, where there are any, become the smallest and largest timestamp, as range
+    scans prune by them. A row without points keeps its bounds.
+    """
     changed = frame.withColumn("points", points)
-    return changed.withColumn("n_points", series_size("points"))
+    times = F.col("points.timestamp")
+    bounds = {"start": F.array_min(times), "end": F.array_max(times)}
+    renewed = {c: F.coalesce(b, F.col(c)) for c, b in bounds.items() if c in frame.columns}
+    return changed.withColumns({**renewed, "n_points": series_size("points")})
 
 
 def sort_points(points: Column | str = "points") -> Column:

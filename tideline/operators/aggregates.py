@@ -39,8 +39,14 @@ def maximum(frame: DataFrame) -> DataFrame:
 
 
 def count_observations(frame: DataFrame) -> DataFrame:
-    """Number of points. Chunk tables answer it from their headers."""
-    size = F.sum("n_points") if "n_points" in frame.columns else F.count(F.lit(1))
+    """Number of points. Chunk tables answer it from their headers, chunks without a size from their
+    points; only flat frames have a row per point."""
+    if "n_points" in frame.columns:
+        size = F.sum("n_points")
+    elif "points" in frame.columns:
+        size = F.sum(F.coalesce(F.array_size("points"), F.lit(0)).cast("bigint"))
+    else:
+        size = F.count(F.lit(1))
     return frame.agg(F.coalesce(size, F.lit(0)).alias("n_observations"))
 
 

@@ -47,7 +47,13 @@ def observations_at(frame: DataFrame, timestamp: float, around: float = 0.0) ->
     a condition on single points cannot do. The bounds are made whole for that, as timestamps
     are; a comparison with fractions would not reach the scan.
     """
-    first, last = math.ceil(timestamp - around), math.floor(timestamp + around)
+    # An infinite bound lies beyond every timestamp.
+    least, most = -(1 << 63), (1 << 63) - 1
+    first = min(max(timestamp - around, least), most)
+    last = min(max(timestamp + around, least), most)
+    if math.isnan(first) or math.isnan(last):
+        raise ValueError("the range needs numbers")
+    first, last = math.ceil(first), math.floor(last)
     if "points" in frame.columns:
         frame = frame.where((F.col("start") <= last) & (F.col("end") >= first))
     return observations(frame).where(F.col("timestamp").between(first, last))

@@ -454,7 +454,7 @@ def udf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def spread(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: bool(v.max() - v.min() > SPREAD_LIMIT))
+        return values.map(lambda v: v is not None and len(v) > 0 and bool(v.max() - v.min() > SPREAD_LIMIT))
 
     chunks = tables.event_chunks(spark, sf_dir)
     return _header(filters.filter_series(chunks, spread(F.col("points.value"))))

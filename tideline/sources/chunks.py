@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,15 @@ def read_chunks(spark: SparkSession, *paths: str) -> DataFrame:
     Tables of other origin may lack dimensions or ``function_value``, which are null then, and
     ``n_points``, which is taken from the arrays at the price of reading their timestamps.
     """
-    stored = spark.read.parquet(*paths)
+    alike: dict[str, list[str]] = {}
+    for path in paths:
+        alike.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
+    # Tables of one schema are one scan; those of another are completed by themselves.
+    return reduce(DataFrame.unionByName, [_completed(spark.read.parquet(*group)) for group in alike.values()])
+
+
+def _completed(stored: DataFrame) -> DataFrame:
+    """One table with all columns of chunks, whatever it lacks."""
     missing = [f for f in CHUNKS.fields if f.name not in stored.columns]
     supplied = {
         f.name: series_size("points") if f.name == "n_points" else F.lit(None).cast(f.dataType)
