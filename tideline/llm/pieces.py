@@ -50,69 +50,53 @@ def piece_rows(model_path: str = MODEL) -> list[tuple[str, int, float, int]]:
     return rows
 
 
-def _substrings(word: Column, longest: int) -> Column:
-    """Array of (start, stop, piece) of all substrings up to ``longest`` characters, by stop and start."""
-    size = F.length(word)
-    one = lambda stop: F.transform(
-        F.sequence(F.greatest(stop - longest, F.lit(0)), stop - 1),
-        lambda start: F.struct(start.alias("start"), stop.alias("stop"), F.substring(word, start + 1, stop - start).alias("piece")))
-    return F.flatten(F.transform(F.sequence(F.lit(1), size), one))
-
-
-def _edge(longest: int) -> Column:
-    """All substrings of a row's ``word``; one empty row where there is no word."""
-    return F.explode_outer(F.when(F.length("word") > 0, _substrings(F.col("word"), longest)))
-
-
 def _with_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``words`` with a row per edge: a substring that is a piece, or a character that is none, as its
-    bytes (id -1 - start). Rows without a word stay as they are, with a null id."""
-    exploded = words.withColumn("__s", _edge(longest))
+    """``words`` with a row per edge, by stop and start: a substring that is a piece, or a character that is
+    none, as its bytes (id -1 - start). Rows without a word stay as they are, with a null id."""
+    size, start, stop = F.length("word"), F.col("start"), F.col("stop")
+    exploded = words.withColumn("stop", F.explode_outer(F.when(size > 0, F.sequence(F.lit(1), size))))
+    exploded = exploded.withColumn("start", F.explode_outer(F.when(stop.isNotNull(), F.sequence(F.greatest(stop - longest, F.lit(0)), stop - 1))))
+    text = F.substring("word", start + 1, stop - start)
     # A mark further on is a character of the text, not a space: it is left to the edge of bytes.
-    piece = F.when(((F.col("part") == 0) & (F.col("__s.start") == 0)) | ~F.col("__s.piece").startswith(MARK), F.col("__s.piece"))
-    exploded = exploded.select(*words.columns, "__s.start", "__s.stop", piece.alias("__piece"))
+    piece = F.when(((F.col("part") == 0) & (start == 0)) | ~text.startswith(MARK), text)
     # The piece table is a fixed vocabulary, read from the model file.
     table = F.broadcast(pieces.where("byte < 0").select(F.col("piece").alias("__piece"), "piece_id", "score"))
-    joined = exploded.join(table, "__piece", "left")
-    bare = F.col("piece_id").isNull() & (F.col("stop") - F.col("start") == 1)
+    joined = exploded.withColumn("__piece", piece).join(table, "__piece", "left")
+    bare = F.col("piece_id").isNull() & (stop - start == 1)
     kept = joined.where(F.col("piece_id").isNotNull() | F.coalesce(bare, F.lit(True)))
-    return kept.select(*words.columns, "start", "stop", F.when(bare, -1 - F.col("start")).otherwise(F.col("piece_id")).alias("id"),
+    return kept.select(*words.columns, "start", "stop", F.when(bare, -1 - start).otherwise(F.col("piece_id")).alias("id"),
                        F.when(bare, F.lit(-BYTE_PENALTY)).otherwise(F.col("score")).alias("score"))
 
 
-def _best_path(edges: Column, size: Column) -> Column:
-    """Ids of the best path through ``edges`` (start, stop, id, score); id -1 - start for bytes.
+def _best_path(matched: Column, size: Column) -> Column:
+    """Ids of the best path through ``matched``, the edges (start, id, score) into every position from 1 on;
+    id -1 - start for bytes.
 
-    Edges come sorted by stop and start. The fold keeps the best arrival per position: positions are
-    reached in order, as every character has an edge of its own.
+    The fold keeps the best arrival per position: no position is without an edge, as every character
+    has one of its own.
     """
-    begin = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(-1).alias("start"), F.lit(0).alias("id")))
-
-    def step(done: Column, e: Column) -> Column:
-        total = F.get(done, e["start"])["total"] + e["score"]
-        arrival = F.struct(total.alias("total"), e["start"].alias("start"), e["id"].alias("id"))
-        last = F.get(done, e["stop"])
-        return (F.when(F.size(done) == e["stop"], F.concat(done, F.array(arrival)))
-                .when(total > last["total"], F.concat(F.slice(done, 1, e["stop"]), F.array(arrival)))
-                .otherwise(done))
+    begin = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("back"), F.lit(0).alias("id")))
 
-    arrivals = F.aggregate(edges, begin, step)
+    def reach(done: Column, edges: Column) -> Column:
+        arrivals = F.transform(edges, lambda e: F.struct(
+            (F.get(done, e["start"])["total"] + e["score"]).alias("total"), (-e["start"]).alias("back"), e["id"].alias("id")))
+        return F.concat(done, F.array(F.array_max(arrivals)))
 
     def walk(state: Column, stop: Column) -> Column:
         at = F.get(state["arrivals"], stop)
         return F.when(state["at"] == stop, F.struct(
-            state["arrivals"].alias("arrivals"), at["start"].alias("at"),
+            state["arrivals"].alias("arrivals"), (-at["back"]).alias("at"),
             F.concat(F.array(at["id"]), state["ids"]).alias("ids"))).otherwise(state)
 
-    start = F.struct(arrivals.alias("arrivals"), size.alias("at"), F.array().cast("array<int>").alias("ids"))
+    start = F.struct(F.aggregate(matched, begin, reach).alias("arrivals"), size.alias("at"), F.array().cast("array<int>").alias("ids"))
     return F.aggregate(F.sequence(size, F.lit(1), F.lit(-1)), start, walk, lambda s: s["ids"])
 
 
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """Ids of distinct words (hash, part, word) as ``path``: explode, equi-join, group by word, fold."""
     edges = _with_edges(words.repartition("hash", "part"), pieces, longest)
-    matched = F.sort_array(F.collect_list(F.struct("stop", "start", "id", "score")))
-    grouped = edges.groupBy("hash", "part", "word").agg(matched.alias("matched"))
+    into = edges.groupBy("hash", "part", "word", "stop").agg(F.collect_list(F.struct("start", "id", "score")).alias("edges"))
+    grouped = into.groupBy("hash", "part", "word").agg(F.sort_array(F.collect_list(F.struct("stop", "edges")))["edges"].alias("matched"))
     return grouped.select("hash", "part", "word", _best_path(F.col("matched"), F.length("word")).alias("path"))
 
 
@@ -280,47 +264,39 @@ def _stream(shared):
     return run
 
 
-_EDGES = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("id", pa.int32()), ("score", pa.float64())]))
+_EDGE = pa.struct([("start", pa.int32()), ("id", pa.int32()), ("score", pa.float64())])
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (hash, part, word, row, text, start, stop, id, score) of one word together as one row."""
+    """Rows (hash, part, word, row, text, stop, start, id, score) of one word together as one row, its edges
+    by stop. A word begins with its only edge of stop 1; rows without a stop are documents."""
     names = ["hash", "part", "word", "row", "text", "matched"]
     held: list[pa.RecordBatch] = []
 
     def close(table: pa.Table) -> Iterator[pa.RecordBatch]:
         for batch in table.combine_chunks().to_batches():
-            value = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            part = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
-            new = np.ones(len(value), bool)
-            new[1:] = (value[1:] != value[:-1]) | (part[1:] != part[:-1]) | (part[1:] < 0)
-            first = np.flatnonzero(new)
-            hit = np.asarray(batch.column(7).is_valid())
-            many = np.add.reduceat(hit.astype(np.int64), first) if len(first) else first
+            stop = batch.column(5).fill_null(0).to_numpy(zero_copy_only=False)
+            head, hit = stop <= 1, stop > 0
+            owner, into = (np.cumsum(head) - 1)[hit], stop[hit]
+            begin = np.flatnonzero(np.concatenate(([True], (into[1:] != into[:-1]) | (owner[1:] != owner[:-1])))[:len(into)])
             edges = batch.filter(pa.array(hit))
-            flat = pa.StructArray.from_arrays(
-                [edges.column(5).cast(pa.int32()), edges.column(6).cast(pa.int32()), edges.column(7).cast(pa.int32()), edges.column(8)],
-                fields=list(_EDGES.value_type))
-            heads = batch.take(pa.array(first))
-            yield pa.RecordBatch.from_arrays([*heads.columns[:5], list_array(flat, many)], names=names)
+            flat = pa.StructArray.from_arrays([edges.column(k).cast(t.type) for k, t in zip((6, 7, 8), _EDGE)], fields=list(_EDGE))
+            per_stop = list_array(flat, np.diff(np.append(begin, len(into))))
+            heads = batch.filter(pa.array(head))
+            matched = list_array(per_stop, np.bincount(owner[begin], minlength=heads.num_rows))
+            yield pa.RecordBatch.from_arrays([*heads.columns[:5], matched], names=names)
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = (batch.column(0)[batch.num_rows - 1].as_py(), batch.column(1)[batch.num_rows - 1].as_py())
-        cut = batch.num_rows
-        if last[0] is not None:      # the last word may go on in the next batch
-            value = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            part = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
-            other = np.flatnonzero((value != last[0]) | (part != last[1]))
-            cut = int(other[-1]) + 1 if len(other) else 0
-        if cut:
-            yield from close(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+        heads = np.flatnonzero(batch.column(5).fill_null(0).to_numpy(zero_copy_only=False) <= 1)
+        cut = int(heads[-1]) if len(heads) else 0      # what begins last may go on in the next batch
+        if cut or len(heads):
+            before = pa.Table.from_batches([*held, batch.slice(0, cut)])
+            if before.num_rows:
+                yield from close(before)
             held = []
-        if cut < batch.num_rows:
-            held.append(batch.slice(cut))
-    if held:
-        yield from close(pa.Table.from_batches(held))
+        held.append(batch.slice(cut))
+    if held and (rest := pa.Table.from_batches(held)).num_rows:
+        yield from close(rest)
 
 
 def _encoded(shared):
@@ -400,9 +376,12 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("string").alias("text"))
     kind = base.schema["row"].dataType.simpleString()
     stream = base.mapInArrow(_stream(shared), f"{WORD_FIELDS}, row {kind}, text string")
-    lattice = _with_edges(stream, pieces, longest).select("hash", "part", "word", "row", "text", "start", "stop", "id", "score")
+    # Only the first edge of a word carries the word itself.
+    first = F.coalesce(F.col("stop") == 1, F.lit(True))
+    own = [F.when(first, F.col(c)).alias(c) for c in ("hash", "part", "word")]
+    lattice = _with_edges(stream, pieces, longest).select(*own, "row", "text", "stop", "start", "id", "score")
     grouped = lattice.mapInArrow(_gathered, f"{WORD_FIELDS}, row {kind}, text string, "
-                                 "matched array<struct<start:int,stop:int,id:int,score:double>>")
+                                 "matched array<array<struct<start:int,id:int,score:double>>>")
     path = F.when(F.col("hash").isNotNull(), _best_path(F.col("matched"), F.length("word")))
     folded = grouped.select("hash", "part", "word", "row", "text", path.alias("path"))
     done = folded.mapInArrow(_encoded(shared), f"row {kind}, ids array<int>")
