@@ -280,7 +280,21 @@ def test_slopes(make_chunks):
 def test_take_and_collect(make_chunks):
     chunks = make_chunks(*[({"metric": f"m{i}"}, f"c{i}", [(i, i)]) for i in (3, 1, 2)])
     assert [r.metric for r in aggregates.take_series(chunks, 2).collect()] == ["m1", "m2"]
-    assert sorted(r.metric for r in aggregates.collect_series(chunks)) == ["m1", "m2", "m3"]
+    assert [r.metric for r in aggregates.collect_series(chunks)] == ["m1", "m2", "m3"]
+    assert [r.chunk_id for r in aggregates.take_chunks(chunks, 2).collect()] == ["c1", "c2"]
+
+
+@pytest.mark.parametrize("bound", [1, 7, 60, 100_000])
+def test_taking_whole_series_under_any_row_bound(make_chunks, bound):
+    chunks = make_chunks(*[
+        ({"metric": m, "host": h}, f"{m}{h}{k}", [(10 * k + i, i) for i in range(10)])
+        for m in ("a", "b", "c") for h in ("x", None) for k in range(3)
+    ])
+    series = joining.join_chunks(chunks, bound)
+    taken = aggregates.take_series(series, 3)
+    assert {(r.metric, r.host) for r in taken.collect()} == {("a", None), ("a", "x"), ("b", None)}
+    found = [(r.metric, r.host, p.timestamp) for r in aggregates.collect_series(taken) for p in r.points]
+    assert found == [(m, h, t) for m, h in (("a", None), ("a", "x"), ("b", None)) for t in range(30)]
 
 
 def test_identity(make_chunks):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.model import DIMENSIONS
 from tideline.operators.flatten import values
+from tideline.operators.keyed import null_safe_join
 
 
 def mean(frame: DataFrame) -> DataFrame:
@@ -75,12 +76,23 @@ def slopes(frame: DataFrame, by: Sequence[str] = DIMENSIONS) -> DataFrame:
     return frame.groupBy(*by).agg(F.coalesce(slope, F.lit(float("nan"))).alias("slope"))
 
 
+def in_series_order(series: DataFrame) -> DataFrame:
+    """Rows by identity, the rows of one series one after another in their order."""
+    within = [c for c in ("first_pos", "start", "chunk_id") if c in series.columns]
+    return series.orderBy(*DIMENSIONS, *within)
+
+
 def take_series(series: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` series in identity order, with all rows of each, however many those are."""
+    chosen = series.select(*DIMENSIONS).distinct().orderBy(*DIMENSIONS).limit(n)
+    return in_series_order(null_safe_join(series, chosen, DIMENSIONS, "left_semi"))
+
+
+def take_chunks(chunks: DataFrame, n: int) -> DataFrame:
     """First ``n`` rows in identity order. Every task keeps no more than ``n`` of its rows."""
-    return series.orderBy(*DIMENSIONS, "chunk_id").limit(n)
+    return chunks.orderBy(*DIMENSIONS, "chunk_id").limit(n)
 
 
 def collect_series(series: DataFrame) -> Iterator[Row]:
-    """Iterate over series rows on the driver, one partition at a time."""
-    return series.toLocalIterator(prefetchPartitions=True)
-
+    """Iterate over series rows on the driver, one partition at a time, series by series."""
+    return in_series_order(series).toLocalIterator(prefetchPartitions=True)

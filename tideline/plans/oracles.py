@@ -6,12 +6,12 @@ Spark plan. ``group``, ``end``, ``time`` and ``timestamp`` are SQL words and alw
 
 from __future__ import annotations
 
-from tideline.model import DIMENSIONS, MAX_CHUNK_POINTS, MAX_SERIES_ROW_POINTS
+from tideline.model import DIMENSIONS, MAX_CHUNK_POINTS
 from tideline.plans import queries as q
 
 _QUOTED = {"group": '"group"', "end": '"end"', "timestamp": '"timestamp"'}
 DIMS = ", ".join(_QUOTED.get(d, d) for d in DIMENSIONS)
-HEADER = f'{DIMS}, chunk_id, start, "end", n_points'
+HEADER = f'{DIMS}, chunk_id, start, "end", n_points, hundredths, phase_ms'
 _NAMES = ", ".join(f"coalesce({_QUOTED.get(d, d)}, '')" for d in DIMENSIONS)
 
 _EVENT_OBSERVATIONS = """
@@ -67,6 +67,8 @@ def _chunked(name: str, period: str, tie: str, spread: str) -> str:
 {name}_chunks AS (
   SELECT {DIMS}, chunk_id, min("timestamp") AS start, max("timestamp") AS "end",
          count(*) AS n_points, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS mean_value,
+         CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS hundredths,
+         CAST(sum("timestamp" % {q.MINUTE_MS}) AS BIGINT) AS phase_ms,
          max(value) AS max_value,
          min(value) AS min_value
   FROM {name}_points GROUP BY {DIMS}, chunk_id)"""
@@ -314,12 +316,14 @@ FROM points GROUP BY chunk_id""",
     "collect_series": _EVENTS + f""",
 placed AS (
   SELECT *, coalesce(sum(n_points) OVER (PARTITION BY {DIMS} ORDER BY start, chunk_id
-            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {MAX_SERIES_ROW_POINTS} AS series_row
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {q.ROW_POINTS} AS series_row
   FROM chunks)
 SELECT {DIMS}, arg_min(chunk_id, (start, chunk_id)) AS chunk_id, min(start) AS start,
-       max("end") AS "end", CAST(sum(n_points) AS BIGINT) AS n_points
+       max("end") AS "end", CAST(sum(n_points) AS BIGINT) AS n_points,
+       CAST(sum(hundredths) AS BIGINT) AS hundredths, CAST(sum(phase_ms) AS BIGINT) AS phase_ms
 FROM placed GROUP BY {DIMS}, series_row""",
-    "take_series": _EVENTS + _SUMMARY + f" ORDER BY {_ORDERED_DIMS} LIMIT {q.TAKE}",
+    "take_series": _EVENTS + f"""
+SELECT * FROM ({_joined("points", "chunks")}) QUALIFY dense_rank() OVER (ORDER BY {_ORDERED_DIMS}) <= {q.TAKE}""",
     "take_chunks": _EVENTS + f"""
 SELECT {HEADER} FROM chunks ORDER BY {_ORDERED_DIMS}, chunk_id LIMIT {q.TAKE}""",
     # Accessors

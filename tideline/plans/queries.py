@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import points as fp
@@ -39,10 +39,21 @@ ALIASES = {"all": "events,lineitem"}
 DAY_MS = tables.DAY_MS
 
 HEADER = (*DIMENSIONS, "chunk_id", "start", "end", "n_points")
+MINUTE_MS = 60_000
+ROW_POINTS = 50     # a bound on series rows that many series exceed
 
 
 def _header(chunks: DataFrame) -> DataFrame:
-    return chunks.select(*HEADER)
+    """Chunks in one line each: header, and sums over the points in whole numbers, so that results
+    depend on every point."""
+    def total(leaf: str, whole: Callable[[Column], Column]) -> Column:
+        return F.aggregate(leaf, F.lit(0).cast("bigint"), lambda a, x: a + whole(x))
+
+    return chunks.select(
+        *HEADER,
+        total("points.value", lambda v: F.round(v * 100).cast("bigint")).alias("hundredths"),
+        total("points.timestamp", lambda t: F.pmod(t, F.lit(MINUTE_MS))).alias("phase_ms"),
+    )
 
 
 def _chunk_points(chunks: DataFrame, *columns: str) -> DataFrame:
@@ -308,18 +319,19 @@ def count_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def collect_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What ``collect_series`` iterates over: the rows of every joined series."""
-    return _header(joining.join_chunks(tables.event_chunks(spark, sf_dir)))
+    """What ``collect_series`` iterates over: the rows of every joined series, several for each."""
+    series = joining.join_chunks(tables.event_chunks(spark, sf_dir), ROW_POINTS)
+    return _header(aggregates.in_series_order(series))
 
 
 def take_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first five series of a joined collection."""
-    series = joining.series_summary(tables.event_chunks(spark, sf_dir))
-    return series.orderBy(*DIMENSIONS).limit(TAKE)
+    """The first five series of a joined collection, several rows each, point by point."""
+    series = joining.join_chunks(tables.event_chunks(spark, sf_dir), ROW_POINTS)
+    return joining.indexed_points(aggregates.take_series(series, TAKE))
 
 
 def take_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _header(aggregates.take_series(tables.event_chunks(spark, sf_dir), TAKE))
+    return _header(aggregates.take_chunks(tables.event_chunks(spark, sf_dir), TAKE))
 
 
 # Accessors
