@@ -160,7 +160,13 @@ def _repeated_words(shared):
             for first, last in slices(offsets, 1 << 23):
                 low = offsets[first]
                 part = data[low:offsets[last]]
-                hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, shared.value)
+                # Hashing holds arrays of many times the bytes: it goes by smaller slices, counting by the whole one.
+                found = []
+                for a, b in slices(offsets[first:last + 1]):
+                    base, end = offsets[first + a] - low, offsets[first + b] - low
+                    hashes, _, start, stop, marked = _words(part[base:end], offsets[first + a:first + b + 1] - low - base, shared.value)
+                    found.append((hashes, start + base, stop + base, marked))
+                hashes, start, stop, marked = (np.concatenate(x) for x in zip(*found))
                 value, at, n = np.unique(hashes, return_index=True, return_counts=True)
                 keep = (n > 1) & (stop[at] - start[at] < STRETCH)
                 at, n = at[keep], n[keep]
