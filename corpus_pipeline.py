@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.decontaminate import decontaminated
 from tideline.llm.minhash import near_duplicates
-from tideline.llm.pieces import decoded, encoded
+from tideline.llm.pieces import encoded
 from tideline.llm.quality import resample
 from tideline.llm.shared import stored, table
 from tideline.llm.suffix import without_repeats
@@ -41,9 +41,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    back = decoded(encoded(docs))
-    return back.select(*docs.columns, "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    back = encoded(docs, exact=True)
+    return back.select(*docs.columns, "ids", F.size("ids").cast("bigint").alias("n_tokens"), "exact")
 
 
 STAGES = [

@@ -15,10 +15,11 @@ rare words there are. Which words are common decides speed only, not results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from tideline.llm.words import BASE, _BYTES, _power_tables, list_array, mix, sli
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 COMMON_WORDS = 1_000_000
+TASK_SLICE = 1 << 18       # bytes hashed at once beside the lattice, where several workers share the memory
 STRETCH = 512              # longer words are encoded in stretches of so many characters
 BYTE_PENALTY = 1e12        # what an edge of bytes costs, more than any piece
 WORD_FIELDS = "hash bigint, part int, word string"
@@ -206,35 +208,41 @@ class Paths:
         return at, self.hashes[at] == hashes
 
 
-def _expanded(word: str, path: list[int], byte_ids: np.ndarray) -> list[int]:
-    if min(path) >= 0:
-        return path
-    out = []
-    for k in path:
-        out += [k] if k >= 0 else [int(byte_ids[b]) for b in word[-1 - k].encode()]
-    return out
+def _with_bytes(words: pa.Array, lists: pa.ListArray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all paths one after another, ids per path): bytes in place of characters without a piece."""
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    many = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    bare = np.flatnonzero(ids < 0)
+    if not len(bare):
+        return ids, many
+    owner = np.repeat(np.arange(len(many)), many)
+    raw = [words[row].as_py()[-1 - k].encode() for row, k in zip(owner[bare].tolist(), ids[bare].tolist())]
+    width = np.ones(len(ids), np.int64)
+    width[bare] = [len(r) for r in raw]
+    out = np.repeat(ids, width)
+    out[np.repeat(ids < 0, width)] = byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
+    return out, np.bincount(owner, weights=width, minlength=len(many)).astype(np.int64)
 
 
-def _paths(rows: list[tuple[int, int, str, list[int]]], byte_ids: np.ndarray) -> Paths:
+def _paths(rows: pa.Table | None, byte_ids: np.ndarray) -> Paths:
     """From (hash, part, word, path) in any order; parts of a word are put together."""
-    rows = sorted(rows, key=lambda r: (r[0] % (1 << 64), r[1]))
-    hashes, ids, ends = [], [], [0]
-    for value, _, word, path in rows:
-        if not hashes or hashes[-1] != value % (1 << 64):
-            hashes.append(value % (1 << 64))
-            ends.append(ends[-1])
-        more = _expanded(word, path, byte_ids)
-        ids += more
-        ends[-1] += len(more)
-    return Paths(np.array(hashes, np.uint64), np.array(ends, np.int64), np.array(ids, np.int32))
+    if rows is None or not rows.num_rows:
+        return Paths(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
+    hashes = rows.column(0).to_numpy().view(np.uint64)
+    order = np.lexsort((rows.column(1).to_numpy(), hashes))
+    rows = rows.take(pa.array(order)).combine_chunks()
+    ids, many = _with_bytes(rows.column(2).combine_chunks(), rows.column(3).combine_chunks(), byte_ids)
+    hashes, end = hashes[order], np.cumsum(many)
+    last = np.append(hashes[1:] != hashes[:-1], True)
+    return Paths(hashes[last], np.concatenate(([0], end[last])), ids.astype(np.int32))
 
 
 def _finished(byte_ids: np.ndarray):
     """Paths (hash, part, word, path) of words of one part as ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [_expanded(word, path, byte_ids) for word, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["hash", "ids"])
+            ids, many = _with_bytes(batch.column(2), batch.column(3), byte_ids)
+            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(pa.array(ids, pa.int32()), many)], names=["hash", "ids"])
     return run
 
 
@@ -248,7 +256,7 @@ def _stream(shared):
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             rare: dict[int, tuple[str, bool]] = {}
-            for first, last in slices(offsets):
+            for first, last in slices(offsets, TASK_SLICE):
                 low = offsets[first]
                 part = data[low:offsets[last]]
                 hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, pairs)
@@ -305,11 +313,13 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close(rest)
 
 
-def _encoded(shared):
-    """Documents with their ids: the words of a batch come first and are kept until its documents are done."""
+def _encoded(shared, exact: bool):
+    """Documents with their ids: the words of a batch come first and are kept until its documents are done.
+    With ``exact`` also whether the ids decode to the text, told here as one more worker would hold its own buffers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *flat, byte_ids, pairs = shared.value
-        common, rows, rare, documents = Paths(*flat), [], None, False
+        *flat, byte_ids, pairs, names = shared.value
+        decode = _decoder(names) if exact else None
+        common, held, rare, documents = Paths(*flat), [], None, False
         for batch in batches:
             is_word = np.asarray(batch.column(0).is_valid())
             cut = [0, *(np.flatnonzero(is_word[1:] != is_word[:-1]) + 1).tolist(), len(is_word)]
@@ -319,23 +329,24 @@ def _encoded(shared):
                 part = batch.slice(a, b - a)
                 if is_word[a]:
                     if documents:
-                        rows, documents = [], False
+                        held, documents = [], False
                     rare = None
-                    rows += zip(*(part.column(k).to_pylist() for k in (0, 1, 2, 5)))
+                    held.append(part.select([0, 1, 2, 5]))
                     continue
                 documents = True
                 if rare is None:
-                    rare = _paths(rows, byte_ids)
+                    rare, held = _paths(pa.Table.from_batches(held) if held else None, byte_ids), []
                 data, offsets = text_buffers(part.column(4))
-                ids, many = [], np.zeros(part.num_rows, np.int64)
-                for first, last in slices(offsets):
+                for first, last in slices(offsets, TASK_SLICE):
                     low = offsets[first]
                     hashes, row, _, _, _ = _words(data[low:offsets[last]], offsets[first:last + 1] - low, pairs)
                     got, count = _looked_up(hashes, common, rare)
-                    ids.append(got)
-                    many[first:last] = np.bincount(row, weights=count, minlength=last - first)
-                yield pa.RecordBatch.from_arrays([
-                    part.column(3), list_array(pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)), many)], names=["row", "ids"])
+                    ids = list_array(pa.array(got, pa.int32()), np.bincount(row, weights=count, minlength=last - first))
+                    columns = [part.column(3).slice(first, last - first), ids]
+                    if exact:
+                        texts = part.column(4).slice(first, last - first).cast(pa.string()).fill_null("")
+                        columns.append(pc.equal(decode(ids), texts))
+                    yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "exact"][:len(columns)])
     return run
 
 
@@ -351,12 +362,13 @@ def _looked_up(hashes: np.ndarray, common: Paths, rare: Paths) -> tuple[np.ndarr
     return flat[np.repeat(start - (end - count), count) + np.arange(int(end[-1]) if len(end) else 0)], count
 
 
-def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
-    """``docs`` with a column ``ids``: piece ids of the whole text; all other columns are kept.
+def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> DataFrame:
+    """``docs`` with a column ``ids``: piece ids of the whole text; all other columns are kept. With ``exact``
+    also a column ``exact``: whether the ids decode to the text, a null text being empty.
 
     Needs text. A null or empty text has no ids. Spaces are kept one by one; decoding gives back the
     text exactly. Words of more than 511 characters are encoded in stretches of 512.
-    A column named ids that is there already is replaced.
+    Columns of these names that are there already are replaced.
     """
     spark = docs.sparkSession
     table = piece_rows(model_path)
@@ -376,9 +388,10 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int32)
     end = np.cumsum(many[order])
     ids = flat[np.repeat((np.cumsum(many) - many)[order] - (end - many[order]), many[order]) + np.arange(len(flat))]
-    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs))
+    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs, piece_bytes(table)))
 
-    kept = [c for c in docs.columns if c != "ids"]
+    added = ["ids", "exact"] if exact else ["ids"]
+    kept = [c for c in docs.columns if c not in added]
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("string").alias("text"))
     kind = base.schema["row"].dataType.simpleString()
     stream = base.mapInArrow(_stream(shared), f"{WORD_FIELDS}, row {kind}, text string")
@@ -390,8 +403,35 @@ def encoded(docs: DataFrame, model_path: str = MODEL) -> DataFrame:
                                  "matched array<array<struct<start:int,id:int,score:double>>>")
     path = F.when(F.col("hash").isNotNull(), _best_path(F.col("matched"), F.length("word")))
     folded = grouped.select("hash", "part", "word", "row", "text", path.alias("path"))
-    done = folded.mapInArrow(_encoded(shared), f"row {kind}, ids array<int>")
-    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "ids")
+    done = folded.mapInArrow(_encoded(shared, exact), f"row {kind}, ids array<int>" + (", exact boolean" if exact else ""))
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *added)
+
+
+def piece_bytes(table: list[tuple[str, int, float, int]]) -> list[bytes]:
+    """What each id decodes to; the mark that begins a piece is a space."""
+    names = [b""] * (max(k for _, k, _, _ in table) + 1)
+    for piece, k, _, byte in table:
+        names[k] = bytes([byte]) if byte >= 0 else (b" " + piece[1:].encode() if piece.startswith(MARK) else piece.encode())
+    return names
+
+
+def _decoder(names: list[bytes]) -> Callable[[pa.ListArray], pa.Array]:
+    """A function from lists of ids to their texts."""
+    width = np.array([len(n) for n in names])
+    first = np.cumsum(width) - width
+    flat = np.frombuffer(b"".join(names), np.uint8)
+
+    def decode(lists: pa.ListArray) -> pa.Array:
+        ends = lists.offsets.to_numpy()
+        ids = lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
+        ids = np.where((ids >= 0) & (ids < len(names)), ids, 0)
+        size = width[ids]
+        end = np.cumsum(size)
+        blob = flat[np.repeat(first[ids] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
+        bounds = np.concatenate(([0], end))[ends - ends[0]].tolist()
+        texts = [blob[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        return pa.array([(t[1:] if t[:1] == b" " else t).decode("utf-8", "replace") for t in texts], pa.string())
+    return decode
 
 
 def decoded(frame: DataFrame, model_path: str = MODEL) -> DataFrame:
@@ -400,30 +440,12 @@ def decoded(frame: DataFrame, model_path: str = MODEL) -> DataFrame:
     Null ids give an empty text; ids that are no piece give nothing. Bytes that are no UTF-8 become
     U+FFFD, as can be only where ids do not come from encoding.
     """
-    table = piece_rows(model_path)
-    names = [b""] * (max(k for _, k, _, _ in table) + 1)
-    for piece, k, _, byte in table:
-        names[k] = bytes([byte]) if byte >= 0 else (b" " + piece[1:].encode() if piece.startswith(MARK) else piece.encode())
-    shared = frame.sparkSession.sparkContext.broadcast(names)       # the fixed vocabulary
+    shared = frame.sparkSession.sparkContext.broadcast(piece_bytes(piece_rows(model_path)))       # the fixed vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        width = np.array([len(n) for n in known])
-        first = np.cumsum(width) - width
-        flat = np.frombuffer(b"".join(known), np.uint8)
+        decode = _decoder(shared.value)
         for batch in batches:
-            lists = batch.column(1)
-            ends = lists.offsets.to_numpy()
-            ids = lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
-            ids = np.where((ids >= 0) & (ids < len(known)), ids, 0)
-            size = width[ids]
-            end = np.cumsum(size)
-            blob = flat[np.repeat(first[ids] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
-            bounds = np.concatenate(([0], end))[ends - ends[0]].tolist()
-            texts = [blob[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([(t[1:] if t[:1] == b" " else t).decode("utf-8", "replace") for t in texts], pa.string())],
-                names=["row", "decoded"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), decode(batch.column(1))], names=["row", "decoded"])
 
     kept = [c for c in frame.columns if c != "decoded"]
     base = frame.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.coalesce("ids", F.array().cast("array<int>")).cast("array<int>").alias("ids"))
@@ -433,6 +455,5 @@ def decoded(frame: DataFrame, model_path: str = MODEL) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, docs: DataFrame, model_path: str = MODEL) -> DataFrame:
     """doc_id, ids, n_tokens and whether decoding gives back the text, per document."""
-    back = decoded(encoded(docs.select("doc_id", "text"), model_path), model_path)
-    return back.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    back = encoded(docs.select("doc_id", "text"), model_path, exact=True)
+    return back.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_tokens"), "exact")
