@@ -203,6 +203,9 @@ def test_pieces(spark, docs, texts, no_docs):
             total = sum(best(pieces.MARK + w)[0] for w in r["text"].split(" "))
             own = sum(score[k] if k not in byte_ids.values() else 0 for k in r["ids"])
             assert own == pytest.approx(total + pieces.BYTE_PENALTY * sum(1 for _ in _bare(r["text"], table)), abs=1)
+    checked = pieces.encoded(frame, exact=True).collect()
+    assert sorted((r["doc_id"], r["ids"]) for r in checked) == sorted((r["doc_id"], r["ids"]) for r in got)
+    assert all(r["exact"] for r in checked)
     assert pieces.encoded(no_docs).count() == 0
 
 
