@@ -315,6 +315,32 @@ def test_main_texts(spark):
         assert (got[page_id]["text"], got[page_id]["n_chars"]) == (text, len(text))
 
 
+def _extracted(spark, rows):
+    frame = spark.createDataFrame([(k, "u", page) for k, page in enumerate(rows)], "page_id bigint, url string, html string")
+    return [r["text"] for r in html.main_texts(frame).orderBy("page_id").collect()]
+
+
+def test_main_texts_without_main_markup(spark):
+    """Pages without article or main, alone and as one in 100 among others; an article behind a long header."""
+    links = "".join(f'<li><a href="/{k}">Go {k}</a></li>' for k in range(8))
+    bodies = [[prose(20) for _ in range(3)] for _ in range(30)]
+    plain = [f'<body><div class="nav"><ul>{links}</ul></div><div class="content"><p>' + "</p><p>".join(b) + "</p></div></body>" for b in bodies]
+    bare = [f'<body><table><tr><td><ul>{links}</ul></td><td><p>' + "</p><p>".join(b) + "</p></td></tr></table></body>" for b in bodies]
+    unsaid = [f"<body><section><p>" + "</p><p>".join(b) + "</p></section></body>" for b in bodies]
+    article = [f"<body><nav><ul>{links}</ul></nav><article><p>{prose(20)}</p></article></body>" for _ in range(900)]
+    late = [f"<body><nav><ul>{links * 300}</ul></nav><article><p>" + "</p><p>".join(b) + "</p></article></body>" for b in bodies]
+    expected = ["\n".join(b) for b in bodies]
+    assert len(late[0]) > 1 << 16
+    for rows in (plain, bare, unsaid, late):
+        assert _extracted(spark, rows) == expected
+    assert _extracted(spark, [*article, *plain[:9]])[900:] == expected[:9]
+
+
+def test_one_label_rejects_nothing():
+    trees = html.fit_trees(np.zeros((5, html.WIDTH), np.float32), np.ones(5))
+    assert html.extract("<body><nav>menu</nav><div><p>Some text.</p></div></body>", trees) == "Some text."
+
+
 @pytest.mark.parametrize("size", [97, 8 << 20])
 def test_warc(spark, tmp_path, size):
     big, fake = prose(400), "x" * 1200 + "\x1f\x8b\x08"

@@ -3,7 +3,8 @@
 Every element of a page becomes a row of features: tag, tokens of class, id and role, depth, text and
 link density of its subtree, place among its siblings, and the same of its parent. Gradient-boosted
 trees give each node the log odds of being boilerplate; they are trained here, on a bounded sample
-of pages whose own markup says what their parts are. Decoding walks each tree from the root down and
+of pages drawn across their templates, labelled by their own markup, or by text and links where that
+says nothing. Decoding walks each tree from the root down and
 picks the labelling of most total evidence in which a boilerplate node has only boilerplate below
 it, so a child can never contradict its ancestor.
 """
@@ -11,15 +12,18 @@ it, so a child can never contradict its ancestor.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TRAIN_PAGES, TRAIN_CHARS = 400, 1 << 16     # bound on the sample that the trees are fitted on, fitting only
+TRAIN_PAGES, TRAIN_NODES = 400, 1000     # pages, and elements of each, that the trees are fitted on, fitting only
+TEMPLATE_SLOTS = 4096                    # pages of a template that stand for it when the sample is drawn
+MAIN_CHARS = 80                          # text outside links from which a page without main markup says where its main text is
 TREES, DEPTH, RATE = 40, 4, 0.3
 SEED = 2
 
@@ -43,6 +47,9 @@ AWAY = ("ad ads advert advertisement banner sponsor promo nav navbar menu breadc
 TOWARDS = "article content main post entry story body text".split()
 AWAY_TAGS = frozenset("nav header footer aside form script style noscript head title template iframe button select textarea svg object menu dialog".split())
 
+#: Elements that hold the parts of a page; the others hold one part.
+HOLDERS = BLOCK - frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote address hr ul ol li dl dt dd figure figcaption".split())
+
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|(!|\?)[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _TOKEN = re.compile(r"[a-z]+|[0-9]+", re.I)
@@ -175,21 +182,58 @@ def node_features(page: Page) -> np.ndarray:
 
 
 def markup_label(page: Page) -> np.ndarray:
-    """What the markup itself says of every element: 1 boilerplate, 0 main text, -1 nothing.
-
-    An element is boilerplate by its tag or by a token of its class, id or role, or by an ancestor
-    that is; main text if it lies in an article or main element and in no boilerplate.
+    """What the page itself says of every element: 1 boilerplate, 0 main text, -1 nothing.
+
+    An element is boilerplate by its tag or by a token of its class, id or role (of html and body the
+    tokens speak for the whole page and are left aside), or by an ancestor that is. Main text is what
+    is no boilerplate and lies in an article or main element. Where these hold no text outside links, it
+    lies in elements with a token of main text, if these hold most text outside links, and else in
+    the smallest part of the page that does; there, blocks of links are not labelled inside the
+    main text and are boilerplate outside.
     """
     n = len(page.tags)
     out = np.full(n, -1)
-    away, main = set(AWAY), np.zeros(n, bool)
+    away, towards, link = set(AWAY), set(TOWARDS), np.zeros(n, bool)
+    marked, named = np.zeros(n, bool), np.zeros(n, bool)
     for k in range(1, n):
-        up = page.parents[k]
-        main[k] = main[up] or page.tags[k] in ("article", "main")
-        if out[up] == 1 or page.tags[k] in AWAY_TAGS or page.tokens[k] & away:
+        up, tag = page.parents[k], page.tags[k]
+        tokens = page.tokens[k] if tag not in ("html", "body") else frozenset()
+        link[k] = link[up] or tag == "a"
+        if out[up] == 1 or tag in AWAY_TAGS or tokens & away:
             out[k] = 1
-        elif main[k]:
-            out[k] = 0
+            continue
+        marked[k] = marked[up] or tag in ("article", "main")
+        named[k] = named[up] or bool(tokens & towards)
+    plain, linked = np.zeros(n), np.zeros(n)
+    for element, text in page.pieces:
+        if out[element] != 1:
+            (linked if link[element] else plain)[element] += len("".join(text.split()))
+    by_mark, by_name, whole = plain[marked].sum(), plain[named].sum(), plain.sum()
+    if by_mark or whole < MAIN_CHARS:
+        out[marked & (out != 1)] = 0
+        return out
+    for k in range(n - 1, 0, -1):
+        plain[page.parents[k]] += plain[k]
+        linked[page.parents[k]] += linked[k]
+    if 2 * by_name > whole:
+        main = named
+    else:
+        at = 0
+        for k in range(1, n):       # in page order, so a part comes after what holds it
+            if page.parents[k] == at and page.tags[k] in HOLDERS and out[k] != 1 and 2 * plain[k] > whole:
+                at = k
+        main = np.zeros(n, bool)
+        main[at] = True
+        for k in range(at + 1, n):
+            main[k] = main[page.parents[k]]
+    above = main.copy()
+    for k in range(n - 1, 0, -1):
+        above[page.parents[k]] |= above[k]
+    links = np.zeros(n, bool)
+    for k in range(1, n):
+        links[k] = links[page.parents[k]] or page.tags[k] in BLOCK and linked[k] > plain[k] and (main[k] or not above[k])
+        if out[k] != 1 and (main[k] or links[k]):
+            out[k] = (-1 if links[k] else 0) if main[k] else 1
     return out
 
 
@@ -212,7 +256,8 @@ class Trees:
 
 
 def fit_trees(x: np.ndarray, y: np.ndarray) -> Trees:
-    """Newton boosting of complete trees of ``DEPTH`` levels, at most 32 cuts per feature."""
+    """Newton boosting of complete trees of ``DEPTH`` levels, at most 32 cuts per feature. No trees if all
+    labels are the same, as these do not tell the classes apart."""
     share = min(max(y.mean(), 1e-3), 1 - 1e-3) if len(y) else 0.5
     base = float(np.log(share / (1 - share)))
     if not len(y) or y.min() == y.max():
@@ -291,28 +336,61 @@ def main_text(page: Page, main: np.ndarray) -> str:
     return "\n".join(line for line in joined if line)
 
 
+def sampled(pages: DataFrame) -> DataFrame:
+    """At most TRAIN_PAGES distinct pages (html), whole: one of each template before a second of any, of
+    the commoner templates first. Pages of a template have the same tokens of class, id and role, digits
+    aside, or the same tags if they have no tokens."""
+    html = F.col("html")
+    known = pages.select(F.col("html").cast("string").alias("html")).where("html is not null")
+    marks = F.regexp_extract_all(html, F.lit(r"(?i)\b(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"']+)"), F.lit(0))
+    tags = F.regexp_extract_all(html, F.lit(r"<[a-zA-Z][a-zA-Z0-9]*"), F.lit(0))
+    marks = F.transform(F.array_distinct(marks), lambda m: F.regexp_replace(F.lower(m), r"[0-9]+|\s+", ""))
+    template = F.xxhash64(F.array_sort(F.array_distinct(F.when(F.size(marks) > 0, marks).otherwise(F.transform(F.array_distinct(tags), F.lower)))))
+    key = F.xxhash64(F.lit(SEED), html)
+    slots = known.select(template.alias("template"), key.alias("key")).groupBy("template", F.pmod("key", F.lit(TEMPLATE_SLOTS)).alias("slot"))
+    slots = slots.agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    of = Window.partitionBy("template")       # at most TEMPLATE_SLOTS rows each
+    ranked = slots.select("key", F.row_number().over(of.orderBy("key")).alias("rank"), F.sum("n").over(of).alias("n"))
+    chosen = [r["key"] for r in ranked.orderBy("rank", F.desc("n"), "key").limit(TRAIN_PAGES).collect()]
+    return known.where(key.isin(chosen)).groupBy(key.alias("key")).agg(F.min("html").alias("html")).select("html")
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labels and packed features of at most TRAIN_NODES elements of every page, drawn over the whole page,
+    half of them of either label where there are so many."""
+    for batch in batches:
+        for cell in batch.column(0):
+            page = Page(cell.as_py())
+            label = markup_label(page)
+            drawn = []
+            for side in sorted((np.flatnonzero(label == v) for v in (0, 1)), key=len):
+                room = (TRAIN_NODES - sum(map(len, drawn))) // (2 - len(drawn))
+                drawn.append(side if len(side) <= room else np.sort(np.random.default_rng(SEED).choice(side, room, False)))
+            at = np.concatenate(drawn)
+            x = node_features(page)[at]
+            yield pa.RecordBatch.from_arrays([pa.array([label[at].astype(np.int8).tobytes()], pa.binary()),
+                                              pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())], names=["y", "x"])
+
+
 def fit(pages: DataFrame) -> Trees:
-    """Trees fitted on at most TRAIN_PAGES pages, those of smallest hash of their html, and of each on
-    its first TRAIN_CHARS characters. Extraction itself always takes whole pages."""
-    known = pages.select(F.col("html").cast("string").alias("html")).where("html is not null").distinct()
-    sample = known.orderBy(F.xxhash64(F.lit(SEED), "html")).limit(TRAIN_PAGES).select(F.substring("html", 1, TRAIN_CHARS).alias("html"))
+    """Trees fitted on the pages of ``sampled``. Extraction itself always takes all elements of all pages."""
     x, y = [], []
-    for row in sample.collect():
-        page = Page(row["html"])
-        label = markup_label(page)
-        keep = label >= 0
-        x.append(node_features(page)[keep])
-        y.append(label[keep])
+    rows = sorted((r["y"], r["x"]) for r in sampled(pages).mapInArrow(_labelled, "y binary, x binary").collect())
+    for labels, packed in rows:
+        y.append(np.frombuffer(labels, np.int8))
+        x.append(np.frombuffer(zlib.decompress(packed), np.float32).reshape(-1, WIDTH))
     if not x:
         return Trees([], -1.0)
     return fit_trees(np.concatenate(x), np.concatenate(y).astype(float))
 
 
 def extract(html: str | None, trees: Trees) -> str:
+    """Main text of one page; without trees, all that its own markup does not call boilerplate."""
     if not html:
         return ""
     page = Page(html)
-    return main_text(page, decode(page, trees.odds(node_features(page))))
+    odds = trees.odds(node_features(page)) if trees.trees else np.where(markup_label(page) == 1, 1.0, -1.0)
+    return main_text(page, decode(page, odds))
 
 
 def main_texts(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
