@@ -209,6 +209,49 @@ def test_pieces(spark, docs, texts, no_docs):
     assert pieces.encoded(no_docs).count() == 0
 
 
+def _best_of_all(text):
+    """Ids of the best path over the full piece table of the model, whole texts at once: spaces are marks, and no
+    word or run of spaces is cut. Bytes cost more than any pieces."""
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    table, byte_ids = {}, {}
+    for k in range(model.get_piece_size()):
+        if model.is_byte(k):
+            byte_ids[int(model.id_to_piece(k)[3:5], 16)] = k
+        elif not (model.is_control(k) or model.is_unknown(k) or model.is_unused(k)):
+            table[model.id_to_piece(k)] = (k, model.get_score(k))
+    word, longest = pieces.MARK + text.replace(" ", pieces.MARK), max(map(len, table))
+    at = [((0, 0), 0, ())]
+    for stop in range(1, len(word) + 1):
+        options = []
+        for start in range(max(0, stop - longest), stop):
+            (bare, total), found = at[start][0], table.get(word[start:stop])
+            if found:
+                options.append(((bare, total + found[1]), -start, (found[0],)))
+            elif stop - start == 1:
+                options.append(((bare - 1, total), -start, tuple(byte_ids[b] for b in word[start].encode())))
+        at.append(max(options))
+    ids, stop = [], len(word)
+    while stop:
+        ids.append(at[stop][2])
+        stop = -at[stop][1]
+    return [k for step in ids[::-1] for k in step]
+
+
+def _check_ids(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in pieces.encoded(frame, exact=True).collect()}
+    for k, text in enumerate(texts):
+        assert got[k]["exact"] and got[k]["ids"] == _best_of_all(text), text[:60]
+
+
+def test_long_words(spark):
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    _check_ids(spark, [
+        "z" * 2001, draw("0123456789abcdef", 4000), draw("ABCDEFGHabcdefgh0123+/", 5000), "ha" * 1500 + " and " + "=" * 777,
+        "f(x){return" * 300, draw("ab\U0001f642", 3000), "x " + draw("etaoin", 511), draw("etaoin", 511), draw("etaoin", 512)])
+
+
 def _bare(text, table):
     """Characters that no piece covers."""
     for word in text.split(" "):

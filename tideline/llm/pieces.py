@@ -10,7 +10,8 @@ equal sums the edge that starts first. A character that no piece covers is an ed
 Words repeat, so the commonest ones (at most COMMON_WORDS) are encoded once, by a grouped join, and
 broadcast. All other words go through the same lattice in the task that reads their document,
 once per batch: the rows of a word stay together there, so nothing is shuffled, however many
-rare words there are. Which words are common decides speed only, not results.
+rare words there are. Which words are common decides speed only, not results. Words over STRETCH
+characters take the same best path, found in the task that needs it in time and memory linear in the word.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 COMMON_WORDS = 1_000_000
 TASK_SLICE = 1 << 18       # bytes hashed at once beside the lattice, where several workers share the memory
-STRETCH = 512              # longer words are encoded in stretches of so many characters
+STRETCH = 512              # longer words go through ``best_ids`` instead of rows of edges
 BYTE_PENALTY = 1e12        # what an edge of bytes costs, more than any piece
 WORD_FIELDS = "hash bigint, part int, word string"
 
@@ -141,12 +142,54 @@ def _words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> tuple[np
 
 
 def _word_rows(hashes: np.ndarray, texts: list[str], marked: list[bool]) -> list[tuple[int, int, str]]:
-    """(hash, part, word); part is 0 only where the word begins with a mark of its own."""
-    rows = []
-    for value, text, mark in zip(hashes.view(np.int64).tolist(), texts, marked):
-        word = MARK + text if mark else text
-        rows += [(value, k, word[at:at + STRETCH]) for k, at in enumerate(range(0, len(word), STRETCH), 0 if mark else 1)]
-    return rows
+    """(hash, part, word) of the words of at most STRETCH characters; part is 0 only where the word begins with a
+    mark of its own."""
+    rows = zip(hashes.view(np.int64).tolist(), texts, marked)
+    return [(value, 0 if mark else 1, MARK + text if mark else text) for value, text, mark in rows if len(text) + mark <= STRETCH]
+
+
+def piece_prefixes(rows: list[tuple[str, int, float, int]]) -> dict[str, tuple[int, float] | None]:
+    """(id, score) of every piece, None of what only begins one."""
+    begun = {piece[:k]: None for piece, _, _, byte in rows if byte < 0 for k in range(1, len(piece))}
+    return begun | {piece: (k, score) for piece, k, score, byte in rows if byte < 0}
+
+
+def best_ids(word: str, marked: bool, pieces: dict[str, tuple[int, float] | None], longest: int, byte_ids: np.ndarray) -> np.ndarray:
+    """Ids of the best path through a word, by the rules of ``_with_edges`` and ``_best_path``. Only the last
+    ``longest`` arrivals are kept; their totals are taken from the oldest one, so they stay exact in any word."""
+    size = len(word)
+    back, into = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
+    totals, ring = [None] * (longest + 1), longest + 1      # arrival at p: totals[p % ring]
+    totals[0] = 0.0
+    for start in range(size):
+        here = start % ring
+        total, totals[here] = totals[here], None
+        if start % ring == 0 and start:
+            totals = [None if t is None else t - total for t in totals]
+            total = 0.0
+        single = False
+        if start == 0 and marked or word[start] != MARK:
+            for stop in range(start + 1, min(start + longest, size) + 1):
+                piece = word[start:stop]
+                if piece not in pieces:
+                    break
+                found = pieces[piece]
+                if found is None:
+                    continue
+                single |= stop == start + 1
+                at, reached = stop % ring, total + found[1]
+                if totals[at] is None or reached > totals[at]:      # of equal sums the edge that starts first
+                    totals[at], back[stop], into[stop] = reached, start, found[0]
+        if not single:
+            at, reached = (start + 1) % ring, total - BYTE_PENALTY
+            if totals[at] is None or reached > totals[at]:
+                totals[at], back[start + 1], into[start + 1] = reached, start, -1
+    steps, at = [], size
+    while at:
+        start = int(back[at])
+        steps.append(into[at:at + 1] if into[at] >= 0 else byte_ids[np.frombuffer(word[start:at].encode(), np.uint8)])
+        at = start
+    return np.concatenate(steps[::-1]).astype(np.int32)
 
 
 def _texts(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[str]:
@@ -207,6 +250,17 @@ class Paths:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
+    def joined(self, other: Paths) -> Paths:
+        """Paths of both; no hash may be in both."""
+        hashes = np.concatenate((self.hashes, other.hashes))
+        order = np.argsort(hashes)
+        many = np.concatenate((np.diff(self.ends), np.diff(other.ends)))
+        flat = np.concatenate((self.ids, other.ids))
+        end = np.cumsum(many[order])
+        begin = (np.cumsum(many) - many)[order] - (end - many[order])
+        ids = flat[np.repeat(begin, many[order]) + np.arange(len(flat))]
+        return Paths(hashes[order], np.concatenate(([0], end)), ids)
+
 
 def _with_bytes(words: pa.Array, lists: pa.ListArray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all paths one after another, ids per path): bytes in place of characters without a piece."""
@@ -225,7 +279,7 @@ def _with_bytes(words: pa.Array, lists: pa.ListArray, byte_ids: np.ndarray) -> t
 
 
 def _paths(rows: pa.Table | None, byte_ids: np.ndarray) -> Paths:
-    """From (hash, part, word, path) in any order; parts of a word are put together."""
+    """From (hash, part, word, path) in any order."""
     if rows is None or not rows.num_rows:
         return Paths(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
     hashes = rows.column(0).to_numpy().view(np.uint64)
@@ -317,8 +371,9 @@ def _encoded(shared, exact: bool):
     """Documents with their ids: the words of a batch come first and are kept until its documents are done.
     With ``exact`` also whether the ids decode to the text, told here as one more worker would hold its own buffers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *flat, byte_ids, pairs, names = shared.value
-        decode = _decoder(names) if exact else None
+        *flat, byte_ids, pairs, table = shared.value
+        decode = _decoder(piece_bytes(table)) if exact else None
+        prefixes, longest = None, max(len(p) for p, _, _, byte in table if byte < 0)
         common, held, rare, documents = Paths(*flat), [], None, False
         for batch in batches:
             is_word = np.asarray(batch.column(0).is_valid())
@@ -339,8 +394,18 @@ def _encoded(shared, exact: bool):
                 data, offsets = text_buffers(part.column(4))
                 for first, last in slices(offsets, TASK_SLICE):
                     low = offsets[first]
-                    hashes, row, _, _, _ = _words(data[low:offsets[last]], offsets[first:last + 1] - low, pairs)
-                    got, count = _looked_up(hashes, common, rare)
+                    sliced = data[low:offsets[last]]
+                    hashes, row, start, stop, marked = _words(sliced, offsets[first:last + 1] - low, pairs)
+                    left = np.flatnonzero(~common.find(hashes)[1])
+                    left = left[~rare.find(hashes[left])[1]]        # words over STRETCH characters
+                    if len(left):
+                        prefixes = prefixes or piece_prefixes(table)
+                        value, at = np.unique(hashes[left], return_index=True)
+                        at = left[at]
+                        spelt = zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())
+                        found = [best_ids(MARK + t if m else t, m, prefixes, longest, byte_ids) for t, m in spelt]
+                        long = Paths(value, np.cumsum([0, *map(len, found)]), np.concatenate(found))
+                    got, count = _looked_up(hashes, common, rare.joined(long) if len(left) else rare)
                     ids = list_array(pa.array(got, pa.int32()), np.bincount(row, weights=count, minlength=last - first))
                     columns = [part.column(3).slice(first, last - first), ids]
                     if exact:
@@ -367,7 +432,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
     also a column ``exact``: whether the ids decode to the text, a null text being empty.
 
     Needs text. A null or empty text has no ids. Spaces are kept one by one; decoding gives back the
-    text exactly. Words of more than 511 characters are encoded in stretches of 512.
+    text exactly.
     Columns of these names that are there already are replaced.
     """
     spark = docs.sparkSession
@@ -388,7 +453,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
     flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int32)
     end = np.cumsum(many[order])
     ids = flat[np.repeat((np.cumsum(many) - many)[order] - (end - many[order]), many[order]) + np.arange(len(flat))]
-    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs, piece_bytes(table)))
+    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs, table))
 
     added = ["ids", "exact"] if exact else ["ids"]
     kept = [c for c in docs.columns if c not in added]
