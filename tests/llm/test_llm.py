@@ -252,6 +252,11 @@ def test_long_words(spark):
         "f(x){return" * 300, draw("ab\U0001f642", 3000), "x " + draw("etaoin", 511), draw("etaoin", 511), draw("etaoin", 512)])
 
 
+def test_runs_of_spaces(spark):
+    _check_ids(spark, [*("a" + " " * k + "b" for k in range(1, 20)), "    indented  twice   x", "ends  ", " ", " " * 40, " " * 1300 + "x",
+                       "x  " + "yz" * 900 + "   z", "\n        return  1;\n   \t  x"])
+
+
 def _bare(text, table):
     """Characters that no piece covers."""
     for word in text.split(" "):

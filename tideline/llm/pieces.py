@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut at every space, and between two bytes that stand side by side in no piece, where no
-path could cross; a word is what stands between two cuts, with the mark U+2581 in front if it
-follows a space or begins the text. The lattice of a word has an edge for every substring that is a piece: substrings of at most the longest
+A text is cut at every space or run of spaces, and between two bytes that stand side by side in no
+piece, where no path could cross; a word is what stands between two cuts, with the run in front of it, and
+one space more if it begins the text. A space is what the pieces call the mark U+2581. The lattice of a word has an edge for every substring that is a piece: substrings of at most the longest
 piece's length are exploded and equi-joined with the piece table, edges are grouped by word, and
 the best path is folded with Spark's higher-order ``aggregate``: the largest sum of piece scores; of
 equal sums the edge that starts first. A character that no piece covers is an edge of its UTF-8 bytes.
@@ -47,8 +47,8 @@ def piece_rows(model_path: str = MODEL) -> list[tuple[str, int, float, int]]:
         if model.is_byte(k):
             rows.append((piece, k, model.get_score(k), int(piece[3:5], 16)))
         elif not (model.is_control(k) or model.is_unknown(k) or model.is_unused(k)):
-            # The mark counts as a space only where a word begins.
-            if MARK not in piece[1:]:
+            # Words are cut before runs of spaces: no piece has a mark behind another character.
+            if MARK not in piece.lstrip(MARK):
                 rows.append((piece, k, model.get_score(k), -1))
     return rows
 
@@ -60,11 +60,10 @@ def _with_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     exploded = words.withColumn("stop", F.explode_outer(F.when(size > 0, F.sequence(F.lit(1), size))))
     exploded = exploded.withColumn("start", F.explode_outer(F.when(stop.isNotNull(), F.sequence(F.greatest(stop - longest, F.lit(0)), stop - 1))))
     text = F.substring("word", start + 1, stop - start)
-    # A mark further on is a character of the text, not a space: it is left to the edge of bytes.
-    piece = F.when(((F.col("part") == 0) & (start == 0)) | ~text.startswith(MARK), text)
-    # The piece table is a fixed vocabulary, read from the model file.
-    table = F.broadcast(pieces.where("byte < 0").select(F.col("piece").alias("__piece"), "piece_id", "score"))
-    joined = exploded.withColumn("__piece", piece).join(table, "__piece", "left")
+    # The piece table is a fixed vocabulary, read from the model file. A mark in a text is a character of it, not a
+    # space: it is in no piece and left to the edge of bytes.
+    table = F.broadcast(pieces.where("byte < 0").select(F.translate("piece", MARK, " ").alias("__piece"), "piece_id", "score"))
+    joined = exploded.withColumn("__piece", text).join(table, "__piece", "left")
     bare = F.col("piece_id").isNull() & (stop - start == 1)
     kept = joined.where(F.col("piece_id").isNotNull() | F.coalesce(bare, F.lit(True)))
     return kept.select(*words.columns, "start", "stop", F.when(bare, -1 - start).otherwise(F.col("piece_id")).alias("id"),
@@ -117,10 +116,13 @@ def pair_table(rows: list[tuple[str, int, float, int]]) -> np.ndarray:
 
 
 def _words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(hash, row, start, stop, whether the mark goes before) of every word of every non-empty text; words
+    """(hash, row, start, stop, whether a space goes before) of every word of every non-empty text; words
     may be empty."""
-    space = np.flatnonzero(data == 32)
     full = np.flatnonzero(np.diff(offsets) > 0)
+    space = data == 32
+    space[1:] &= data[:-1] != 32
+    space[offsets[full]] = False        # the spaces that begin a text belong to its first word
+    space = np.flatnonzero(space)
     cut = np.zeros(len(data), bool)
     if len(data) > 1:
         cut[1:] = ~pairs[data[:-1], data[1:]] & (data[1:] & 0xC0 != 0x80) & (data[1:] != 32) & (data[:-1] != 32)
@@ -142,19 +144,18 @@ def _words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> tuple[np
 
 
 def _word_rows(hashes: np.ndarray, texts: list[str], marked: list[bool]) -> list[tuple[int, int, str]]:
-    """(hash, part, word) of the words of at most STRETCH characters; part is 0 only where the word begins with a
-    mark of its own."""
+    """(hash, part, word) of the words of at most STRETCH characters; part is 0 only where a space goes before."""
     rows = zip(hashes.view(np.int64).tolist(), texts, marked)
-    return [(value, 0 if mark else 1, MARK + text if mark else text) for value, text, mark in rows if len(text) + mark <= STRETCH]
+    return [(value, 0 if mark else 1, " " + text if mark else text) for value, text, mark in rows if len(text) + mark <= STRETCH]
 
 
 def piece_prefixes(rows: list[tuple[str, int, float, int]]) -> dict[str, tuple[int, float] | None]:
-    """(id, score) of every piece, None of what only begins one."""
-    begun = {piece[:k]: None for piece, _, _, byte in rows if byte < 0 for k in range(1, len(piece))}
-    return begun | {piece: (k, score) for piece, k, score, byte in rows if byte < 0}
+    """(id, score) of every piece, None of what only begins one; with spaces for marks."""
+    spelt = {piece.replace(MARK, " "): (k, score) for piece, k, score, byte in rows if byte < 0}
+    return {piece[:k]: None for piece in spelt for k in range(1, len(piece))} | spelt
 
 
-def best_ids(word: str, marked: bool, pieces: dict[str, tuple[int, float] | None], longest: int, byte_ids: np.ndarray) -> np.ndarray:
+def best_ids(word: str, pieces: dict[str, tuple[int, float] | None], longest: int, byte_ids: np.ndarray) -> np.ndarray:
     """Ids of the best path through a word, by the rules of ``_with_edges`` and ``_best_path``. Only the last
     ``longest`` arrivals are kept; their totals are taken from the oldest one, so they stay exact in any word."""
     size = len(word)
@@ -168,18 +169,17 @@ def best_ids(word: str, marked: bool, pieces: dict[str, tuple[int, float] | None
             totals = [None if t is None else t - total for t in totals]
             total = 0.0
         single = False
-        if start == 0 and marked or word[start] != MARK:
-            for stop in range(start + 1, min(start + longest, size) + 1):
-                piece = word[start:stop]
-                if piece not in pieces:
-                    break
-                found = pieces[piece]
-                if found is None:
-                    continue
-                single |= stop == start + 1
-                at, reached = stop % ring, total + found[1]
-                if totals[at] is None or reached > totals[at]:      # of equal sums the edge that starts first
-                    totals[at], back[stop], into[stop] = reached, start, found[0]
+        for stop in range(start + 1, min(start + longest, size) + 1):
+            piece = word[start:stop]
+            if piece not in pieces:
+                break
+            found = pieces[piece]
+            if found is None:
+                continue
+            single |= stop == start + 1
+            at, reached = stop % ring, total + found[1]
+            if totals[at] is None or reached > totals[at]:      # of equal sums the edge that starts first
+                totals[at], back[stop], into[stop] = reached, start, found[0]
         if not single:
             at, reached = (start + 1) % ring, total - BYTE_PENALTY
             if totals[at] is None or reached > totals[at]:
@@ -403,7 +403,7 @@ def _encoded(shared, exact: bool):
                         value, at = np.unique(hashes[left], return_index=True)
                         at = left[at]
                         spelt = zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())
-                        found = [best_ids(MARK + t if m else t, m, prefixes, longest, byte_ids) for t, m in spelt]
+                        found = [best_ids(" " + t if m else t, prefixes, longest, byte_ids) for t, m in spelt]
                         long = Paths(value, np.cumsum([0, *map(len, found)]), np.concatenate(found))
                     got, count = _looked_up(hashes, common, rare.joined(long) if len(left) else rare)
                     ids = list_array(pa.array(got, pa.int32()), np.bincount(row, weights=count, minlength=last - first))
@@ -431,7 +431,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
     """``docs`` with a column ``ids``: piece ids of the whole text; all other columns are kept. With ``exact``
     also a column ``exact``: whether the ids decode to the text, a null text being empty.
 
-    Needs text. A null or empty text has no ids. Spaces are kept one by one; decoding gives back the
+    Needs text. A null or empty text has no ids. Runs of spaces are kept whole; decoding gives back the
     text exactly.
     Columns of these names that are there already are replaced.
     """
@@ -473,10 +473,10 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
 
 
 def piece_bytes(table: list[tuple[str, int, float, int]]) -> list[bytes]:
-    """What each id decodes to; the mark that begins a piece is a space."""
+    """What each id decodes to; a mark is a space."""
     names = [b""] * (max(k for _, k, _, _ in table) + 1)
     for piece, k, _, byte in table:
-        names[k] = bytes([byte]) if byte >= 0 else (b" " + piece[1:].encode() if piece.startswith(MARK) else piece.encode())
+        names[k] = bytes([byte]) if byte >= 0 else piece.replace(MARK, " ").encode()
     return names
 
 
