@@ -317,3 +317,11 @@ def test_distinct_observations(make_chunks):
         ({"metric": "m", "host": "h"}, "c", [(2, 2)]),
     )
     assert identity.distinct_observations(flatten.observations(chunks)).count() == 4
+
+
+@pytest.mark.parametrize("bound", [3, 50, 100_000])
+def test_sorted_points_across_rows(make_chunks, skewed_rows, bound):
+    """Points are in time order along the series, however many rows it is cut into."""
+    got = by_series(joining.sorted_points(joining.join_chunks(make_chunks(*skewed_rows), bound)))
+    expected = {k: sorted(v, key=lambda p: p[0]) for k, v in join_by_rule(skewed_rows).items()}
+    assert got == expected

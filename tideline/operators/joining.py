@@ -84,6 +84,20 @@ def joined_points(chunks: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) ->
     return indexed_points(with_first_position(chunks, periods_ms))
 
 
+def sorted_points(series: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) -> DataFrame:
+    """One row per point with ``pos``, its position in the series ordered by timestamp; points of equal
+    timestamp keep their order.
+
+    ``series`` are rows of ``join_chunks``, however many a series has. Positions are a running count
+    over time, so a long series is not sorted in one row or task.
+    """
+    points = indexed_points(series).withColumn("_one", F.lit(1))
+    counted = running_total(
+        points, DIMENSIONS, "timestamp", ["timestamp", "pos"], "_one", "_sorted", periods_ms
+    )
+    return counted.select(*DIMENSIONS, F.col("_sorted").cast("bigint").alias("pos"), "timestamp", "value")
+
+
 def series_summary(chunks: DataFrame) -> DataFrame:
     """One row per series: start, end and size of the joined series, by position.
 

@@ -240,7 +240,7 @@ def sql_select_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sort_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On joined series of interleaved chunks, whose points are out of order."""
     series = joining.join_chunks(tables.interleaved_chunks(spark, sf_dir))
-    return joining.indexed_points(fp.replace_points(series, fp.sort_points("points")))
+    return joining.sorted_points(series)
 
 
 def append_points(spark: SparkSession, sf_dir: str) -> DataFrame:
