@@ -8,6 +8,7 @@ from tideline.llm.decontaminate import overlaps
 from tideline.llm.embeddings import near_vectors
 from tideline.llm.html import main_texts
 from tideline.llm.minhash import near_duplicates
+from tideline.llm.periods import periodic_runs, run_digests, with_periodic_tails
 from tideline.llm.pieces import op3_sentencepiece as encode_documents
 from tideline.llm.quality import resample
 from tideline.llm.scoring import backoff_scores
@@ -49,6 +50,10 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_suffix_array": op1_suffix_array,
     "op2_html": op2_html,
@@ -60,4 +65,5 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_periodic_runs": op11_periodic_runs,
 }

@@ -117,3 +117,31 @@ def list_array(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def word_bytes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places of the bytes of all words, one after another."""
+    size = ends - starts
+    stop = np.cumsum(size)
+    return np.repeat(starts - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)
+
+
+def exact_ids(data: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 17) -> tuple[np.ndarray, np.ndarray]:
+    """(number of every word, place of the first word of each number): equal numbers for equal bytes only.
+    Hashes group the words; every word is then compared with the first one of its group, byte by byte."""
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    like = first[number]
+    same = bool(np.array_equal((ends - starts)[like], ends - starts))
+    for a in range(0, len(hashes) if same else 0, chunk):
+        part = slice(a, a + chunk)
+        at = word_bytes(starts[part], ends[part])
+        other = at + np.repeat(starts[like[part]] - starts[part], ends[part] - starts[part])
+        if not np.array_equal(data[at], data[other]):
+            same = False
+            break
+    if not same:
+        blob = data.tobytes()
+        spelt = pa.array([blob[a:b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())
+        number = spelt.dictionary_encode().indices.to_numpy().astype(np.int64)
+        first = np.unique(number, return_index=True)[1]
+    return number, first
