@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tideline.llm.decontaminate import overlaps
 from tideline.llm.embeddings import near_vectors
 from tideline.llm.html import main_texts
+from tideline.llm.licenses import license_labels, license_notices
 from tideline.llm.minhash import near_duplicates
 from tideline.llm.periods import periodic_runs, run_digests, with_periodic_tails
 from tideline.llm.pieces import op3_sentencepiece as encode_documents
@@ -54,6 +55,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents"))))
 
 
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(license_notices(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_suffix_array": op1_suffix_array,
     "op2_html": op2_html,
@@ -66,4 +71,5 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_license_scans": op12_license_scans,
 }
