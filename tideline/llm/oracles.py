@@ -12,4 +12,29 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
 FROM p LEFT JOIN m USING (h)
 """
 
-ORACLES: dict[str, str] = {"op10_warc": OP10}
+OP13 = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: list_aggregate(ws[i:i + k - 1], 'string_agg', ' '))) AS phrase
+      FROM w, range(1, 5) AS t(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+size AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT lang, phrase, a, i, list_aggregate(ws[1:i], 'string_agg', ' ') AS first, list_aggregate(ws[i + 1:k], 'string_agg', ' ') AS rest
+        FROM c, range(1, 4) AS t(i) WHERE i < k),
+s AS (SELECT cut.lang, cut.phrase, cut.a, x.f AS l, y.f AS r, 2000000 * cut.a // (x.f + y.f) AS score, i,
+             row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY 2000000 * cut.a // (x.f + y.f), i) AS nth
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.first JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rest),
+inner_ AS (SELECT DISTINCT c.lang, c.a AS longer, list_aggregate(c.ws[i:i + m - 1], 'string_agg', ' ') AS phrase
+           FROM c, range(2, 4) AS t(m), range(1, 4) AS u(i) WHERE m < c.k AND i + m - 1 <= c.k),
+gone AS (SELECT lang, phrase, max(longer) AS longer FROM inner_ GROUP BY ALL),
+kept AS (SELECT s.* FROM s LEFT JOIN gone ON gone.lang = s.lang AND gone.phrase = s.phrase
+         WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 80 * a)),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM r JOIN size ON size.lang = r.lang WHERE rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op10_warc": OP10, "op13_collocations": OP13}

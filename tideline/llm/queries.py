@@ -10,6 +10,7 @@ from tideline.llm.html import main_texts
 from tideline.llm.licenses import license_labels, license_notices
 from tideline.llm.minhash import near_duplicates
 from tideline.llm.periods import periodic_runs, run_digests, with_periodic_tails
+from tideline.llm.phrases import collocations
 from tideline.llm.pieces import op3_sentencepiece as encode_documents
 from tideline.llm.quality import resample
 from tideline.llm.scoring import backoff_scores
@@ -59,6 +60,10 @@ def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_labels(license_notices(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_suffix_array": op1_suffix_array,
     "op2_html": op2_html,
@@ -72,4 +77,5 @@ QUERIES = {
     "op10_warc": op10_warc,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_license_scans": op12_license_scans,
+    "op13_collocations": op13_collocations,
 }
