@@ -1,11 +1,13 @@
 """Phrase collocations: frequent phrases of two to four words, scored by their weakest cut.
 
 A suffix pointer is a word together with the up to three words behind it in its piece of text. Counting
-goes in two passes over the texts. The first counts single words and, in two histograms of fixed size, the
-pairs and the triples of words that lead the pointers. The second sends pointers, equal ones of one slice of text as one
-with their number, to shards by their two leading words, by three where many pointers share two, and by
-all four where many share three; words too rare for any phrase end a pointer. So every shard has its
-phrases whole, but for those shorter than what it was dealt by, whose counts are added up afterwards.
+goes in three passes over the texts. The first counts single words and, in two histograms of fixed size, the
+pairs and the triples of words that lead the pointers. The second counts hashes of 32 bits of the pairs of frequent words. The
+third sends pointers, equal ones of one slice of text as one with their number, to shards by their two leading words,
+by three where many pointers share two, and by all four where many share three. A pointer ends at the first word, and
+before the first pair, that is too rare for any phrase, as two filters of at most FILTER_BITS say; a filter may let more through, which
+changes no result. So every shard has its phrases whole, but for those shorter than what it was dealt by, whose
+counts are added up afterwards.
 
 A shard sorts its pointers with multikey three-way quicksort, down to four words: each partition is cut by
 a pivot word into smaller, equal and larger; the size of an equal partition is the count of the words
@@ -38,14 +40,15 @@ SLICE = 8 << 20          # bytes of text whose pointers are put together
 SHARD_WORDS = 1 << 20    # words per shard, about
 SMALL = 512              # pointers of a partition that is sorted as it is
 LEADS = 1 << 16          # buckets of a histogram of leading words
-FILTER_BITS = 1 << 28    # most bits of the filter of frequent words: 32 MB
+FILTER_BITS = 1 << 28    # most bits of a filter: 32 MB
 CHUNK_BITS = 1 << 19
-PENDING = 400_000        # counted words held before they are added up
+PENDING = 1_000_000        # counted words held before they are added up
 
 _CUTS = np.zeros(256, bool)
 _CUTS[[*b".,;:!?", 10, 11, 12, 13]] = True
 _BETWEEN = _CUTS.copy()
 _BETWEEN[[32, 9]] = True
+PAIRS = "shard int, first bigint, steps binary, counts binary"
 POINTERS = "shard int, lang string, whole int, words binary, ids binary, counts binary"
 
 
@@ -135,21 +138,36 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(at).cast(pa.large_string()), pa.array(row[at])], schema=schema)
 
 
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of words (lang, word)."""
+    for batch in batches:
+        langs, codes = _languages(batch.column(0))
+        data, offsets = text_buffers(batch.column(1))
+        for first, last in slices(offsets, SLICE_BYTES):
+            low = offsets[first]
+            hashes, rows, _, _ = word_hashes(data[low:offsets[last]], offsets[first:last + 1] - low, lower=False, between=np.zeros(256, bool))
+            yield pa.RecordBatch.from_arrays([pa.array((_lang_key(langs)[codes[first + rows]] + hashes).view(np.int64))], names=["key"])
+
+
 def _filter_places(bits: int):
-    """The bit of every frequent word: chunk, bit within it."""
+    """The bit of every key: chunk, bit within it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, codes = _languages(batch.column(0))
-            data, offsets = text_buffers(batch.column(1))
-            none = np.zeros(256, bool)
-            for first, last in slices(offsets, SLICE_BYTES):
-                low = offsets[first]
-                hashes, rows, _, _ = word_hashes(data[low:offsets[last]], offsets[first:last + 1] - low, lower=False, between=none)
-                place = (mix(_lang_key(langs)[codes[first + rows]] + hashes) % np.uint64(bits)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array((place // CHUNK_BITS).astype(np.int32)), pa.array((place % CHUNK_BITS).astype(np.int32))], names=["chunk", "bit"])
+            place = _place(batch.column(0).to_numpy().view(np.uint64), bits)
+            yield pa.RecordBatch.from_arrays([pa.array((place // CHUNK_BITS).astype(np.int32)), pa.array((place % CHUNK_BITS).astype(np.int32))], names=["chunk", "bit"])
     return run
 
 
+def _place(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(keys) % np.uint64(bits)).astype(np.int64)
+
+
+def _passes(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys may be in a filter."""
+    place = _place(keys, 8 * len(packed))
+    return (packed[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
+
+
 def _chunk_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of the filter from rows (chunk, bit) sorted by chunk."""
     chunk, bits = None, np.zeros(CHUNK_BITS, bool)
@@ -169,11 +187,11 @@ def _chunk_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close()
 
 
-def _word_filter(frequent: DataFrame) -> np.ndarray:
-    """Packed bits of the frequent words (lang, word); at least 16 bits a word up to FILTER_BITS."""
-    bits = min(max(1 << (16 * max(frequent.count(), 1)).bit_length(), CHUNK_BITS), FILTER_BITS)
+def _filter(keys: DataFrame) -> np.ndarray:
+    """Packed bits of all ``keys`` (key: bigint); at least 16 bits a key up to FILTER_BITS."""
+    bits = min(max(1 << (16 * max(keys.count(), 1)).bit_length(), CHUNK_BITS), FILTER_BITS)
     packed = np.zeros(bits // 8, np.uint8)
-    places = frequent.mapInArrow(_filter_places(bits), "chunk int, bit int").distinct()
+    places = keys.mapInArrow(_filter_places(bits), "chunk int, bit int").distinct()
     chunks = places.repartition(max(bits // CHUNK_BITS // 64, 1), "chunk").sortWithinPartitions("chunk")
     for row in chunks.mapInArrow(_chunk_bytes, "chunk int, bytes binary").toLocalIterator():
         packed[row[0] * (CHUNK_BITS // 8):(row[0] + 1) * (CHUNK_BITS // 8)] = np.frombuffer(row[1], np.uint8)
@@ -183,23 +201,83 @@ def _word_filter(frequent: DataFrame) -> np.ndarray:
 # ---------------------------------------------------------------- second pass
 
 
+def _linked(part: Slice, lead: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Where a frequent word is followed by another one in the same piece."""
+    common = _passes(words, lead[part.lang] + part.hashes)
+    link = part.next & common
+    link[:-1] &= common[1:]
+    return link
+
+
+def _pairs(shared, shards: int):
+    """Hashes of 32 bits of the pairs of frequent words, by ranges of hashes: the first one, the steps to the next ones, and
+    how often each stands (255 for more)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for langs, part in _sliced(batch):
+                lead = _lang_key(langs)
+                keys = (part.leads(lead, 2)[_linked(part, lead, shared.value)] >> np.uint64(32)).astype(np.uint32)
+                keys, n = np.unique(keys, return_counts=True)
+                n = np.minimum(n, 255).astype(np.uint8)
+                shard = ((keys.astype(np.uint64) * np.uint64(shards)) >> np.uint64(32)).astype(np.int32)
+                edges = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(keys)).tolist()
+                steps = [np.diff(keys[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard[edges[:-1]], pa.int32()), pa.array(keys[edges[:-1]].astype(np.int64)),
+                    pa.array([(x.astype(np.uint16) if x.max(initial=0) < 1 << 16 else x).tobytes() for x in steps], pa.binary()),
+                    pa.array([n[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())], names=["shard", "first", "steps", "counts"])
+    return run
+
+
+def _frequent_pairs(least: int):
+    """Keys of the pairs that stand often enough, of shards whose rows come one after another."""
+    def close(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+        keys = []
+        for first, steps, counts in rows:
+            narrow = len(steps) == 2 * (len(counts) - 1)
+            keys.append(first + np.cumsum(np.append(0, np.frombuffer(steps, np.uint16 if narrow else np.uint32).astype(np.int64))))
+        keys, counts = np.concatenate(keys), np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
+        order = np.argsort(keys)
+        keys = keys[order]
+        begin = np.flatnonzero(np.diff(keys, prepend=-1))
+        total = np.add.reduceat(counts[order].astype(np.int64), begin)
+        return pa.RecordBatch.from_arrays([pa.array(keys[begin[total >= min(least, 255)]])], names=["key"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = None, []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                now = batch.column(0)[k].as_py()
+                if now != shard and held:
+                    yield close(held)
+                    held = []
+                shard = now
+                held.append(tuple(batch.column(c)[k].as_py() for c in (1, 2, 3)))
+        if held:
+            yield close(held)
+    return run
+
+
 def _pointers(shared, shards: int):
     """Suffix pointers dealt to shards: for each shard, language and number of words dealt by, the words once, the numbers
     of the words of each pointer one column after another (-1 behind its end), and how often it stands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, many_pairs, many_triples = shared.value
-        bits = np.uint64(len(packed) * 8)
+        words, pairs, many_pairs, many_triples = shared.value
         for batch in batches:
             for langs, part in _sliced(batch):
                 lead = _lang_key(langs)
-                place = mix(lead[part.lang] + part.hashes) % bits
-                common = (packed[(place >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8))) & 1 > 0
-                link = part.next & common
-                link[:-1] &= common[1:]
+                link = _linked(part, lead, words)
+                at = np.flatnonzero(link)
+                link[at] = _passes(pairs, part.leads(lead, 2)[at] >> np.uint64(32))
                 at = np.flatnonzero(link)
                 if not len(at):
                     continue
-                ids, first = exact_ids(part.data, part.hashes, part.starts, part.ends)
+                used = link.copy()
+                used[1:] |= link[:-1]
+                place = np.flatnonzero(used)
+                ids = np.zeros(len(used), np.int64)
+                ids[place], first = exact_ids(part.data, part.hashes[place], part.starts[place], part.ends[place])
+                first = place[first]
                 rows = np.full((DEPTH, len(at)), -1, np.int64)
                 rows[0], rows[1] = ids[at], ids[at + 1]
                 go = np.ones(len(at), bool)
@@ -232,7 +310,8 @@ def _pointers(shared, shards: int):
                     gone = int(used[0] < 0)
                     spelt = part.spelt(first[used[gone:]])
                     values = (shard[mine[0]], langs[part.lang[at[mine[0]]]], whole[mine[0]], _packed_words(spelt),
-                              (number.reshape(rows[:, mine].shape) - gone).astype(np.int32).tobytes(), n[mine].astype(np.int32).tobytes())
+                              (number.reshape(rows[:, mine].shape) - gone).astype(np.int16 if len(used) < 1 << 15 else np.int32).tobytes(),
+                              n[mine].astype(np.int32).tobytes())
                     for column, value in zip(columns, values):
                         column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
@@ -305,8 +384,8 @@ def _mined(least: int):
         number = words.indices.to_numpy()
         base = np.cumsum([0] + [len(x) for x in lists])
         ids = []
-        for k, (_, raw, _) in enumerate(rows):
-            own = np.frombuffer(raw, np.int32).reshape(DEPTH, -1)
+        for k, (_, raw, counts) in enumerate(rows):
+            own = np.frombuffer(raw, np.int16 if len(raw) < DEPTH * len(counts) else np.int32).reshape(DEPTH, -1).astype(np.int64)
             ids.append(np.where(own >= 0, number[base[k]:base[k + 1]][np.maximum(own, 0)], -1))
         ids = np.concatenate(ids, axis=1)
         counts = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows]).astype(np.int64)
@@ -348,7 +427,11 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     heavy = np.zeros((2, LEADS), bool)      # leading words with more than half a shard's share
     for row in counted.where((F.col("kind") > 0) & (2 * F.col("n") * shards > total)).select("kind", "word").toLocalIterator():    # at most 2 LEADS rows
         heavy[row[0] - 2, int(row[1])] = True
-    shared = spark.sparkContext.broadcast((_word_filter(frequent.select("lang", "word")), heavy[0], heavy[1]))
+    word_filter = _filter(stored(frequent.select("lang", "word").mapInArrow(_word_keys, "key bigint")))
+    ranges = max(math.ceil(total / SHARD_WORDS / 4), 1)
+    pairs = base.mapInArrow(_pairs(spark.sparkContext.broadcast(word_filter), ranges), PAIRS).repartition(ranges, "shard").sortWithinPartitions("shard")
+    pair_filter = _filter(stored(pairs.mapInArrow(_frequent_pairs(least), "key bigint")))
+    shared = spark.sparkContext.broadcast((word_filter, pair_filter, heavy[0], heavy[1]))
     dealt = base.mapInArrow(_pointers(shared, shards), POINTERS).repartition(shards, "shard").sortWithinPartitions("shard", "lang", "whole")
     mined = dealt.mapInArrow(_mined(least), "lang string, words int, phrase string, n bigint")
     phrases = mined.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
