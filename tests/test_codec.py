@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tideline.functions.codec import _offsets, _times, delta_decode, delta_encode
+from tideline.functions.codec import _offsets, _times, _within, delta_decode, delta_decode_range, delta_encode
 
 
 def encode_by_rule(times, tolerance):
@@ -118,3 +118,47 @@ def test_negative_tolerance_is_an_error(make_chunks):
         delta_encode(chunks, tolerance=-1)
     with pytest.raises(ValueError):
         delta_decode(chunks, tolerance=-1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 200), st.lists(st.integers(-5, 40), max_size=30)), max_size=6),
+    st.integers(-50, 400), st.integers(-50, 400),
+)
+def test_range_is_decode_then_filter(chunks, first, last):
+    numbers, bounds = flat([offsets for _, offsets in chunks])
+    starts = np.array([start for start, _ in chunks], dtype=np.int64)
+    times = _times(starts, numbers, bounds, 10)
+    kept, cut = _within(times, bounds, first, last)
+    expected = [[t for t in decode_by_rule(start, offsets, 10) if first <= t <= last] for start, offsets in chunks]
+    assert split(times[kept], cut) == expected
+
+
+def test_range_decode(spark):
+    encoded = spark.createDataFrame(
+        [("a", 1000, 121_015, [0, 0, 60_000, 0, 5], [1.0, 2.0, 3.0, 4.0, 5.0]), ("b", 7, 7, [], []), ("c", 5000, 5020, [0, None, 0], [1.0, None]),
+         ("d", 900_000, 900_000, [0], [1.0]), ("e", 2000, 2010, None, None)],
+        "chunk_id string, start bigint, end bigint, offsets array<bigint>, values array<double>",
+    )
+    whole = {r.chunk_id: ([tuple(p) for p in r.points or []], r.start, r.end) for r in delta_decode(encoded).collect()}
+    for first, last in ((1000, 121_015), (1010, 61_010), (0, 10**12), (5005, 5015), (999, 999), (130_000, 899_999), (7, 7)):
+        found = {r.chunk_id: [tuple(p) for p in r.points] for r in delta_decode_range(encoded, first, last).collect()}
+        expected = {k: [p for p in points if first <= p[0] <= last] for k, (points, start, end) in whole.items() if start <= last and end >= first}
+        assert found == expected
+    assert delta_decode_range(encoded, 10, 5).count() == 0
+    for first, last in ((-1, 5), (0, -1)):
+        with pytest.raises(ValueError):
+            delta_decode_range(encoded, first, last)
+    with pytest.raises(ValueError):
+        delta_decode_range(encoded, 0, 1, tolerance=-1)
+    sizes = {r.chunk_id: (r.n_points, len(r.points)) for r in delta_decode_range(encoded, 1010, 61_010).collect()}
+    assert sizes["a"] == (2, 2)
+
+
+def test_range_decode_prunes_chunks(spark, make_chunks, tmp_path):
+    from conftest import scan_text
+
+    path = str(tmp_path / "encoded")
+    delta_encode(make_chunks(({"metric": "m"}, "a", [(10, 1), (20, 2)]), ({"metric": "m"}, "b", [(500, 1)]))).write.parquet(path)
+    plan = scan_text(delta_decode_range(spark.read.parquet(path), 5, 15))
+    assert "LessThanOrEqual(start,15)" in plan and "GreaterThanOrEqual(end,5)" in plan

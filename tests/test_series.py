@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from conftest import scan_text
 from pyspark.sql import functions as F
 
 from tideline.model import DIMENSIONS, FLAT_COLUMNS
@@ -325,3 +326,170 @@ def test_sorted_points_across_rows(make_chunks, skewed_rows, bound):
     got = by_series(joining.sorted_points(joining.join_chunks(make_chunks(*skewed_rows), bound)))
     expected = {k: sorted(v, key=lambda p: p[0]) for k, v in join_by_rule(skewed_rows).items()}
     assert got == expected
+
+
+# Whole series, whatever the bound on their rows
+
+BOUNDS = [1, 3, 50, 100_000]
+
+
+@pytest.mark.parametrize("bound", BOUNDS)
+def test_filter_whole_series_under_any_row_bound(make_chunks, skewed_rows, bound):
+    whole = join_by_rule(skewed_rows)
+    identities = {tuple(d.get(k) for k in DIMENSIONS) for d, *_ in skewed_rows}
+    series = joining.join_chunks(make_chunks(*skewed_rows), bound)
+    cases = [
+        (filters.any_point(lambda p: p["value"] > 270), lambda v: any(x > 270 for _, x in v)),
+        (filters.every_point(lambda p: p["value"] < 299), lambda v: all(x < 299 for _, x in v)),
+        (filters.total_points() > 700, lambda v: len(v) > 700),
+        (filters.total_value(lambda v: v) > 10_000, lambda v: sum(x for _, x in v) > 10_000),
+        (filters.any_point(lambda p: p["value"] > 270) & (filters.total_points() < 700), lambda v: any(x > 270 for _, x in v) and len(v) < 700),
+    ]
+    for predicate, rule in cases:
+        kept = filters.filter_whole_series(series, predicate)
+        assert kept.columns == series.columns
+        expected = {k: v for k in identities if rule(v := whole.get(k, [])) and v}
+        assert 0 < len(expected) and by_series(joining.indexed_points(kept)) == expected
+
+
+def test_filter_whole_series_takes_nulls_for_no(make_chunks):
+    chunks = make_chunks(({"metric": "a"}, "a", [(1, 1)]), ({"metric": "a"}, "b", []), ({"metric": "b", "host": "h"}, "c", []))
+    found = lambda p: sorted(r.chunk_id for r in filters.filter_whole_series(chunks, p).collect())
+    assert found(F.lit(None).cast("boolean")) == []
+    assert found(filters.every_point(lambda p: p["value"] > 5)) == ["c"]
+    assert found(filters.any_point(lambda p: p["value"] > 0)) == ["a", "b"]
+    assert found(filters.any_point(lambda p: F.lit(None).cast("boolean"))) == []
+    assert found(filters.total_points() == 0) == ["c"]
+    missing = chunks.withColumn("points", F.when(F.col("chunk_id") == "b", None).otherwise(F.col("points")))
+    assert sorted(r.chunk_id for r in filters.filter_whole_series(missing, filters.any_point(lambda p: p["value"] > 0)).collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("bound", [None, *BOUNDS])
+def test_points_at_under_any_row_bound(make_chunks, skewed_rows, bound):
+    chunks = make_chunks(*skewed_rows)
+    whole = join_by_rule(skewed_rows)
+    longest = max(map(len, whole.values()))
+    asked = [-1, 0, 1, 17, 40, longest - 1, longest, 10**12, 17]
+    found = joining.points_at(chunks if bound is None else joining.join_chunks(chunks, bound), asked)
+    identities = {tuple(d.get(k) for k in DIMENSIONS) for d, *_ in skewed_rows}
+    expected = {(k, p): whole.get(k, [])[p] if 0 <= p < len(whole.get(k, [])) else (None, None) for k in identities for p in asked}
+    rows = found.collect()
+    assert {(tuple(r[d] for d in DIMENSIONS), r.pos): (r.timestamp, r.value) for r in rows} == expected
+    assert len(rows) == len(expected) and joining.points_at(chunks, []).count() == 0
+
+
+def test_points_at_rows_of_one_id(make_chunks):
+    row = ({"metric": "m"}, "same", [(10, 1), (20, 2)])
+    chunks = make_chunks(row, row, ({"metric": "m"}, "z", [(30, 3)]))
+    joined = [tuple(p) for p in joining.join_chunks(chunks).first().points]
+    found = {r.pos: (r.timestamp, r.value) for r in joining.points_at(chunks, range(6)).collect()}
+    assert found == {**dict(enumerate(joined)), 5: (None, None)}
+
+
+def test_points_at_reads_points_only_where_they_are(spark, sf_small):
+    """The positions come from headers; points are scanned once, without indexing any."""
+    plan = scan_text(joining.points_at(tables.event_chunks(spark, sf_small), [0, 5]))
+    schemas = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert len(schemas) >= 2 and sum("points:array" in line for line in schemas) == 1
+
+
+@pytest.mark.parametrize("periods_ms", [(500, 50), (1000,), (86_400_000, 60_000), ()])
+def test_overlap_counts_against_all_pairs(make_chunks, periods_ms):
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        start = rng.randrange(0, 900)
+        dimensions = {"metric": "hot"} if i % 4 else {"metric": "cold", "host": None}
+        rows.append((dimensions, f"c{i:03d}", [(start, 0), (start + rng.randrange(0, 200), 0)]))
+    expected = {
+        b: sum(1 for d, _, p in rows if d == dims and p[0][0] < points[0][0] <= p[1][0]) for dims, b, points in rows
+    }
+    found = ordering.overlap_counts(make_chunks(*rows), periods_ms).collect()
+    assert {r.chunk_id: r.n_earlier for r in found} == expected and len(found) == len(rows)
+    listed = {r.right_id for r in ordering.chunk_overlaps(make_chunks(*rows), periods_ms).collect()}
+    assert listed == {k for k, n in expected.items() if n}
+
+
+def test_sampled_series_are_whole_and_repeat(make_chunks, skewed_rows):
+    rows = [({"metric": f"m{k % 60}", "host": None if k % 2 else "h"}, f"c{k}", [(k, k)]) for k in range(240)]
+    chunks = make_chunks(*rows)
+    taken = {r.chunk_id for r in identity.sample_series(chunks, 0.4, 3).collect()}
+    assert taken == {r.chunk_id for r in identity.sample_series(chunks.repartition(7), 0.4, 3).collect()}
+    by_identity = {}
+    for d, c, _ in rows:
+        by_identity.setdefault((d["metric"], d["host"]), set()).add(c in taken)
+    assert all(len(v) == 1 for v in by_identity.values())
+    assert 0.2 < sum(v == {True} for v in by_identity.values()) / len(by_identity) < 0.6
+    assert taken != {r.chunk_id for r in identity.sample_series(chunks, 0.4, 4).collect()}
+    assert identity.sample_series(chunks, 0.0).count() == 0 and identity.sample_series(chunks, 1.0).count() == 240
+    with pytest.raises(ValueError):
+        identity.sample_series(chunks, 1.5)
+
+
+@pytest.mark.parametrize("bound", [3, 100_000])
+@pytest.mark.parametrize("ascending", [True, False])
+def test_sort_series(make_chunks, skewed_rows, bound, ascending):
+    series = joining.join_chunks(make_chunks(*skewed_rows), bound)
+    rows = ordering.sort_series(series, F.sum("n_points"), ascending).collect()
+    assert len(rows) == series.count()
+    sizes = [(r.sort_key, tuple(r[d] or "" for d in DIMENSIONS), r.first_pos) for r in rows]
+    assert sizes == sorted(sizes, key=lambda r: (r[0] if ascending else -r[0], *r[1:]))
+    whole = join_by_rule(skewed_rows)
+    assert all(r.sort_key == len(whole.get(tuple(r[d] for d in DIMENSIONS), [])) for r in rows)
+
+
+def test_take_joined(make_chunks, skewed_rows):
+    chunks = make_chunks(*skewed_rows)
+    for bound in (3, 100_000):
+        rows = lambda f: [(*[r[d] for d in DIMENSIONS], r.first_pos, r.points) for r in f.collect()]
+        assert rows(aggregates.take_joined(chunks, 3, bound)) == rows(aggregates.take_series(joining.join_chunks(chunks, bound), 3))
+
+
+def test_sampled_mean_holds_its_interval(make_chunks):
+    """Over many seeds the exact mean lies within the error about as often as 95 in 100 times."""
+    rng = random.Random(9)
+    rows = [({"metric": f"m{k % 7}"}, f"c{k}", [(i, rng.gauss(k % 13, 5)) for i in range(rng.randrange(0, 25))]) for k in range(500)]
+    everything = [v for *_, points in rows for _, v in points]
+    exact = sum(everything) / len(everything)
+    chunks = make_chunks(*rows).cache()
+    inside, shares = 0, []
+    for seed in range(40):
+        r = aggregates.sampled_mean(chunks, 0.3, seed).first()
+        inside += abs(r["mean"] - exact) <= r.error
+        shares.append(r.share_read)
+        assert 0 < r.error < 2 and r.n_chunks < 250
+    assert inside >= 34 and 0.2 < sum(shares) / 40 < 0.4
+    full = aggregates.sampled_mean(chunks, 1.0).first()
+    assert math.isclose(full["mean"], exact) and (full.error, full.share_read) == (0.0, 1.0)
+    tight = aggregates.sampled_mean(chunks, 0.1, 1, most_error=0.0).first()
+    assert math.isclose(tight["mean"], exact) and tight.error == 0.0
+
+
+def test_sampled_mean_falls_back(make_chunks):
+    few = aggregates.sampled_mean(make_chunks(({"metric": "m"}, "a", [(1, 1), (2, 5)]), ({"metric": "m"}, "b", [])), 0.01).first()
+    assert (few["mean"], few.error, few.share_read, few.n_chunks) == (3.0, 0.0, 1.0, 1)
+    none = aggregates.sampled_mean(make_chunks(({"metric": "m"}, "b", [])), 0.5).first()
+    assert (none["mean"], none.error, none.n_chunks) == (None, 0.0, 0)
+    with pytest.raises(ValueError):
+        aggregates.sampled_mean(make_chunks(), 0.0)
+
+
+def test_functions_on_batches(make_chunks):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from tideline.functions.points import values_array
+    from tideline.plans.queries import SPREAD_LIMIT, _spread
+
+    rows = [({"metric": "m"}, "a", [(1, 0), (2, SPREAD_LIMIT + 1)]), ({"metric": "m"}, "b", []), ({"metric": "m"}, "c", [(1, 5)]),
+            ({"metric": "n"}, "d", [(1, 0), (2, SPREAD_LIMIT)]), ({"metric": "n"}, "e", [(3, -SPREAD_LIMIT), (1, 1)])]
+    chunks = make_chunks(*rows)
+    found = filters.filter_rows(chunks.withColumn("_values", values_array()), _spread, "_values")
+    assert sorted(r.chunk_id for r in found.collect()) == ["a", "e"]
+    lists = pa.array([[0.0, 1.0], None, [0.0, None, 99.0], [], [None], [7.0, 90.0], [1.0]], pa.list_(pa.float64()))
+    assert _spread(lists).to_pylist() == [False, False, True, False, False, True, False]
+    assert _spread(lists.slice(2, 3)).to_pylist() == [True, False, False]
+    flat = filters.filter_rows(flatten.observations(chunks), lambda t, v: pc.and_(pc.greater(t, 1), pc.greater(v, 0)), "timestamp", "value")
+    assert sorted((r.timestamp, r.value) for r in flat.collect()) == [(2, SPREAD_LIMIT), (2, SPREAD_LIMIT + 1)]
+    plan = scan_text(flat)
+    assert "ArrowEvalPython" in plan and "BatchEvalPython" not in plan

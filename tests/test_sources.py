@@ -337,3 +337,52 @@ def test_codec_nulls(spark):
     bad = spark.createDataFrame([([(None, 1.0)],)], "points array<struct<timestamp:bigint,value:double>>")
     with pytest.raises(PythonException, match="missing"):
         delta_encode(bad).collect()
+
+
+def test_records_are_read_as_points(spark, make_chunks, tmp_path):
+    """Points, aggregates and empty records of one stored table: none is lost, whether chunks or series are asked for, and the
+    predicate still reaches the scan."""
+    chunks = make_chunks(
+        ({"metric": "m"}, "a", [(10, 1), (20, 2)]), ({"metric": "m"}, "b", []), ({"metric": "m"}, "c", []), ({"metric": "m"}, "d", [(90, 9)]),
+        ({"metric": "n", "host": "h"}, "e", []))
+    bounds = {"b": (30, 51), "c": (60, 70), "e": (5, 5)}
+    chunks = chunks.withColumns({
+        column: F.coalesce(*[F.when(F.col("chunk_id") == k, F.lit(v[i]).cast("bigint")) for k, v in bounds.items()], F.col(column))
+        for i, column in enumerate(("start", "end"))})
+    # A value next to points is not read: the points say more.
+    chunks = chunks.withColumn("function_value", F.when(F.col("chunk_id").isin("a", "b", "e"), 7.5))
+    path = str(tmp_path / "records")
+    sources.write_chunks(chunks, path)
+    stored = sources.read_chunks(spark, path)
+    found = {r.chunk_id: ([tuple(p) for p in r.points], r.start, r.end, r.n_points) for r in sources.query_chunks(stored).collect()}
+    assert found == {"a": ([(10, 1.0), (20, 2.0)], 10, 20, 2), "b": ([(40, 7.5)], 40, 40, 1), "c": ([], 60, 70, 0),
+                     "d": ([(90, 9.0)], 90, 90, 1), "e": ([(5, 7.5)], 5, 5, 1)}
+    series = {r.metric: [tuple(p) for p in r.points] for r in sources.query_series(stored).collect()}
+    assert series == {"m": [(10, 1.0), (20, 2.0), (40, 7.5), (90, 9.0)], "n": [(5, 7.5)]}
+    asked = sources.query_series(stored, (F.col("metric") == "m") & (F.col("start") >= 30))
+    assert [tuple(p) for p in asked.first().points] == [(40, 7.5), (90, 9.0)]
+    plan = scan_text(asked)
+    assert "EqualTo(metric,m)" in plan and "GreaterThanOrEqual(start,30)" in plan
+    again = {r.chunk_id: r.n_points for r in sources.query_chunks(sources.query_chunks(stored)).collect()}
+    assert again == {"a": 2, "b": 1, "c": 0, "d": 1, "e": 1}
+
+
+def test_scan_is_sorted_within_partitions(spark, make_chunks):
+    chunks = make_chunks(*[({"metric": f"m{k % 3}"}, f"c{(k * 37) % 101:03d}", [(k, k)]) for k in range(101)]).repartition(4)
+    found = sources.scan_sorted_by_id(chunks).select("chunk_id", F.spark_partition_id().alias("part")).collect()
+    parts = {}
+    for r in found:
+        parts.setdefault(r.part, []).append(r.chunk_id)
+    assert len(found) == 101 and len(parts) > 1 and all(p == sorted(p) for p in parts.values())
+    assert any(p != sorted(p) for p in ([r.chunk_id for r in chunks.collect()],))
+
+
+def test_local_masters(spark):
+    from tideline.sources.extract import is_local
+
+    class Session:
+        def __init__(self, master):
+            self.conf = {"spark.master": master}
+
+    assert is_local(spark) and is_local(Session("local")) and is_local(Session("local[3]"))
+    assert not any(map(is_local, map(Session, ("local-cluster[3,2,1024]", "yarn", "spark://h:7077", ""))))

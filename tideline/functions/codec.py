@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.points import empty_points, point
@@ -116,6 +116,51 @@ def delta_encode(chunks: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
     )
 
 
+def _within(times: np.ndarray, bounds: np.ndarray, from_ms: int, to_ms: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the points in the range, where each chunk's begin and end among them)."""
+    kept = (times >= from_ms) & (times <= to_ms)
+    return np.flatnonzero(kept), np.concatenate(([0], np.cumsum(kept)))[bounds]
+
+
+def delta_decode_range(encoded: DataFrame, from_ms: int, to_ms: int, tolerance: int = TOLERANCE_MS) -> DataFrame:
+    """``delta_decode`` cut to ``[from_ms, to_ms]``, both ends included, while decoding.
+
+    Chunks that start after the range or end before it are left out by the scan, as are all if the range is inverted; of the
+    others only points inside are built, so neither times nor values outside reach the result. A bound of -1 is an error. A chunk of
+    which no point lies inside stays, without points.
+    """
+    if from_ms == -1 or to_ms == -1:
+        raise ValueError("from_ms and to_ms must not be -1")
+    if tolerance < 0:
+        raise ValueError("tolerance must not be negative")
+
+    @F.arrow_udf("array<struct<timestamp:bigint,value:double>>")
+    def decode(starts: pa.Array, offsets: pa.Array, values: pa.Array) -> pa.Array:
+        numbers, bounds = _flat(offsets)
+        times = _times(np.asarray(starts, dtype=np.int64), numbers, bounds, tolerance)
+        kept, cut = _within(times, bounds, from_ms, to_ms)
+        points = pa.StructArray.from_arrays([pa.array(times[kept]), values.flatten().take(pa.array(kept))], ["timestamp", "value"])
+        return pa.ListArray.from_arrays(pa.array(cut, pa.int32()), points)
+
+    span = (F.col("start") <= to_ms) & (F.col("end") >= from_ms) if "end" in encoded.columns else F.col("start") <= to_ms
+    touched = encoded.where(span if from_ms <= to_ms else F.lit(False))
+    known = _known_offsets()
+    # As many values as offsets, missing ones null, so that both are cut at the same places.
+    values = F.zip_with(known, F.coalesce("values", F.array().cast("array<double>")), lambda o, v: F.when(o.isNotNull(), v))
+    values = F.slice(values, F.lit(1), F.size(known))
+    return (
+        touched.withColumn("points", decode(F.col("start"), known, values))
+        .withColumn("n_points", F.array_size("points").cast("bigint"))
+        .drop("offsets", "values")
+    )
+
+
+def _known_offsets() -> Column:
+    """An absent offset repeats the last one, as 0 does."""
+    nothing = F.array().cast("array<bigint>")
+    return F.transform(F.coalesce("offsets", nothing), lambda o: F.coalesce(o, F.lit(0).cast("bigint")))
+
+
 def delta_decode(encoded: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame:
     """Rebuild ``points`` from ``start``, ``offsets`` and ``values``.
 
@@ -131,10 +176,7 @@ def delta_decode(encoded: DataFrame, tolerance: int = TOLERANCE_MS) -> DataFrame
         firsts = np.asarray(starts, dtype=np.int64)
         return _lists(_times(firsts, numbers, bounds, tolerance), bounds)
 
-    nothing = F.array().cast("array<bigint>")
-    # An absent offset repeats the last one, as 0 does.
-    known = F.transform(F.coalesce("offsets", nothing), lambda o: F.coalesce(o, F.lit(0).cast("bigint")))
-    times = decode(F.coalesce("start", F.lit(0)), known)
+    times = decode(F.coalesce("start", F.lit(0)), _known_offsets())
     return (
         encoded.withColumn("_times", times)
         .withColumn("points", F.zip_with("_times", "values", point))

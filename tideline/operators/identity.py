@@ -6,10 +6,10 @@ name only, so ``distinct``, intersection and subtraction of series collections g
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.model import DIMENSIONS
+from tideline.model import DIMENSIONS, dimension_label
 from tideline.operators.joining import series_summary
 
 
@@ -38,6 +38,21 @@ def distinct_metrics(chunks: DataFrame) -> DataFrame:
     )
 
 
+def share_of(label: Column, share: float, seed: int = 0) -> Column:
+    """Whether a label falls into a share of all labels: the first 32 bits of its MD5, with the seed in front. The same on every run
+    and in every engine."""
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), label)), 1, 8), 16, 10).cast("bigint")
+    return drawn < F.lit(int(share * (1 << 32))).cast("bigint")
+
+
+def sample_series(series: DataFrame, share: float, seed: int = 0) -> DataFrame:
+    """A share of the series, each whole: all rows of a series are taken or none, whichever table they are in. A scan with a
+    filter, without a shuffle."""
+    if not 0 <= share <= 1:
+        raise ValueError("a share is between 0 and 1")
+    return series.where(share_of(dimension_label(), share, seed))
+
+
 def union_series(*collections: DataFrame) -> DataFrame:
     """All rows of all collections; columns one of them lacks are null there."""
     first, *others = collections

@@ -46,6 +46,10 @@ def join_chunks(
     One row per series up to ``max_points`` points. A longer series comes as consecutive rows
     of about that length; ``first_pos`` orders them and no point is lost. The rows are chunks
     again, so joining joined data changes nothing.
+
+    An identity may so have several rows, and what is said of a series must hold for all of them: ``filter_whole_series``,
+    ``points_at``, ``sorted_points``, ``take_series`` and the aggregates give the same for any ``max_points``. Expressions
+    on one array (``functions.points``) see one row.
     """
     rows = with_first_position(chunks, periods_ms).withColumn(
         "_row", F.call_function("div", F.col("first_pos"), F.lit(max_points))
@@ -88,8 +92,8 @@ def sorted_points(series: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) ->
     """One row per point with ``pos``, its position in the series ordered by timestamp; points of equal
     timestamp keep their order.
 
-    ``series`` are rows of ``join_chunks``, however many a series has. Positions are a running count
-    over time, so a long series is not sorted in one row or task.
+    ``series`` are rows of ``join_chunks``, however many a series has, or the chunks themselves ``with_first_position``, which
+    spares forming series rows. Positions are a running count over time, so a long series is not sorted in one row or task.
     """
     points = indexed_points(series).withColumn("_one", F.lit(1))
     counted = running_total(
@@ -98,6 +102,31 @@ def sorted_points(series: DataFrame, periods_ms: Sequence[int] = PERIODS_MS) ->
     return counted.select(*DIMENSIONS, F.col("_sorted").cast("bigint").alias("pos"), "timestamp", "value")
 
 
+def points_at(chunks: DataFrame, positions: Sequence[int], periods_ms: Sequence[int] = PERIODS_MS) -> DataFrame:
+    """The points at some 0-based positions of every joined series: one row per series and position (repeats once), with
+    ``pos``, ``timestamp`` and ``value``, null where the series has no such position, as for negative ones.
+
+    ``chunks`` may be joined rows of any length. A position is looked up in the headers, in the range
+    ``[first_pos, first_pos + n_points)`` of one chunk; only the points of the chunks found are read and moved.
+    """
+    asked = F.array(*[F.lit(p).cast("bigint") for p in sorted(set(positions))]) if positions else F.array().cast("array<bigint>")
+    key = [*DIMENSIONS, "start", "chunk_id"]
+    headers = chunks.drop("first_pos").groupBy(*key).agg(F.sum("n_points").alias("_size"))
+    placed = running_total(headers, DIMENSIONS, "start", ["start", "chunk_id"], "_size", "first_pos", periods_ms)
+    inside = F.filter(asked, lambda p: (p >= F.col("first_pos")) & (p < F.col("first_pos") + F.col("_size")))
+    wanted = placed.withColumn("_inside", inside).where(F.size("_inside") > 0).select(*key, "first_pos", "_inside")
+    # Rows that share identity, start and id are one behind the other, as join_chunks puts them.
+    held = null_safe_join(chunks.select(*key, "end", "points"), wanted.select(*key), key, "left_semi")
+    parts = F.sort_array(F.collect_list(F.struct("end", "points")))
+    whole = held.groupBy(*key).agg(F.flatten(F.filter(parts["points"], lambda p: p.isNotNull())).alias("points"))
+    found = null_safe_join(wanted, whole, key, "inner").select(
+        *DIMENSIONS, F.explode(F.transform("_inside", lambda p: F.struct(
+            p.alias("pos"), F.get(F.col("points"), (p - F.col("first_pos")).cast("int")).alias("point")))).alias("_at")
+    ).select(*DIMENSIONS, "_at.pos", "_at.point.timestamp", "_at.point.value")
+    every = headers.select(*DIMENSIONS).distinct().select(*DIMENSIONS, F.explode(asked).alias("pos"))
+    return null_safe_join(every, found, [*DIMENSIONS, "pos"], "left")
+
+
 def series_summary(chunks: DataFrame) -> DataFrame:
     """One row per series: start, end and size of the joined series, by position.
 

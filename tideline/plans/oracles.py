@@ -117,15 +117,22 @@ FROM {points} p JOIN {chunks} c USING (chunk_id)"""
 
 
 _MIXED = _EVENTS + f""",
-records AS (SELECT *, start // 86400000 % 3 AS kind FROM chunks),
+records AS (
+  SELECT * REPLACE (chunk_id || ['', '|mean', '|none'][kind + 1] AS chunk_id), kind FROM chunks, range(3) AS t(kind)),
 series_points AS (
-  SELECT p.chunk_id, p."timestamp", p.value FROM points p JOIN records r USING (chunk_id)
-  WHERE r.kind = 0
+  SELECT chunk_id, pos, "timestamp", value FROM points
   UNION ALL
-  SELECT chunk_id, start + ("end" - start) // 2, mean_value FROM records WHERE kind = 1),
+  SELECT chunk_id, 0, start + ("end" - start) // 2, mean_value FROM records WHERE kind = 1),
 series AS (
   SELECT r.*, CASE kind WHEN 0 THEN n_points WHEN 1 THEN 1 ELSE 0 END AS size FROM records r)"""
 
+_MIXED_READ = _MIXED + """,
+read_chunks AS (
+  SELECT * REPLACE (CASE kind WHEN 0 THEN start ELSE start + ("end" - start) // 2 END AS start,
+                    CASE kind WHEN 0 THEN "end" ELSE start + ("end" - start) // 2 END AS "end")
+  FROM series WHERE kind < 2),
+read_points AS (SELECT p.*, {dims} FROM series_points p JOIN records r USING (chunk_id))""".format(dims=", ".join(f"r.{_QUOTED.get(d, d)}" for d in DIMENSIONS))
+
 _HALF_BOUNDS = f"""
 SELECT {DIMS}, arg_min("timestamp", pos) AS series_start, arg_max("timestamp", pos) AS series_end
 FROM ({_joined("half_points", "half_chunks")}) GROUP BY {DIMS}"""
@@ -207,6 +214,21 @@ WHERE rn = 1"""
 
 _SLOPE = 'round(regr_slope(value, CAST("timestamp" AS DOUBLE)) * 86400000, 6)'
 
+_LABEL = " || ".join(f"'{d}:' || coalesce({_QUOTED.get(d, d)}, 'null')" for d in DIMENSIONS)
+
+
+def _drawn(label: str) -> str:
+    return f"CAST('0x' || substr(md5('{q.SEED}|' || {label}), 1, 8) AS BIGINT)"
+
+
+def _at_positions(column: str) -> str:
+    same = " AND ".join(f"s.{_QUOTED.get(d, d)} IS NOT DISTINCT FROM j.{_QUOTED.get(d, d)}" for d in DIMENSIONS)
+    return f""",
+joined AS ({_joined("half_points", "half_chunks")}),
+asked AS (SELECT DISTINCT {DIMS}, CAST(unnest({list(q.POSITIONS)}) AS BIGINT) AS pos FROM half_chunks)
+SELECT s.*, j.{column} FROM asked s LEFT JOIN joined j ON {same} AND s.pos = j.pos"""
+
+
 ORACLES: dict[str, str] = {
     # Sources and sinks
     "query_chunks": _EVENTS + f"""
@@ -368,5 +390,52 @@ FROM chunks""",
     # User code
     "udf_filter": _EVENTS + f"""
 SELECT {HEADER} FROM chunks WHERE max_value - min_value > {q.SPREAD_LIMIT}""",
+    "udf_filter_rows": _EVENTS + f"""
+SELECT {DIMS}, "timestamp", value FROM obs WHERE "timestamp" % 3600000 >= 1800000""",
+    # Whole series
+    "query_chunks_records": _MIXED_READ + f"""
+SELECT chunk_id, c.start, c."end", CAST(c.size AS BIGINT) AS n_points, p.pos, p."timestamp", p.value
+FROM read_points p JOIN read_chunks c USING (chunk_id) WHERE c.metric = '{q.METRIC}'""",
+    "query_series_records": _MIXED_READ + f"""
+SELECT * FROM ({_joined("read_points", "read_chunks")}) WHERE metric = '{q.METRIC}'""",
+    "filter_whole_series": _EVENTS + f"""
+SELECT * FROM ({_joined("points", "chunks")})
+QUALIFY max(value) OVER (PARTITION BY {DIMS}) > {q.WHOLE_LIMIT} AND count(*) OVER (PARTITION BY {DIMS}) > {q.WHOLE_SIZE}""",
+    "filter_whole_series_every": _EVENTS + f"""
+SELECT {DIMS}, count(*) AS n_points FROM obs GROUP BY {DIMS} HAVING max(value) <= {q.WHOLE_LIMIT}""",
+    "value_at_series": _INTERLEAVED + _at_positions("value"),
+    "time_at_series": _INTERLEAVED + _at_positions('"timestamp"'),
+    "delta_decode_range": _EVENTS + """,
+steps AS (
+  SELECT p.chunk_id, p.pos, p.value, c.start,
+         coalesce(p."timestamp" - lag(p."timestamp") OVER (PARTITION BY p.chunk_id ORDER BY p.pos), 0) AS step
+  FROM points p JOIN chunks c USING (chunk_id)),
+offsets AS (
+  SELECT chunk_id, pos, value, start, CASE WHEN step % 4 = 0 THEN 0 ELSE step END AS "offset" FROM steps)"""
+    + _DECODE.replace("SELECT chunk_id, pos, CAST(t AS BIGINT)", """,
+cut AS (
+  SELECT chunk_id, d.value, d.t, row_number() OVER (PARTITION BY chunk_id ORDER BY d.pos) - 1 AS pos, count(*) OVER (PARTITION BY chunk_id) AS n_points
+  FROM decoded d JOIN chunks c USING (chunk_id)
+  WHERE d.t BETWEEN {a} AND {b} AND c.start <= {b} AND c."end" >= {a})
+SELECT chunk_id, n_points, pos, CAST(t AS BIGINT)""".format(a=q.RANGE_FROM_MS, b=q.RANGE_TO_MS)).replace("value FROM decoded", "value FROM cut"),
+    "approx_mean_sampled": _EVENTS + f""",
+sums AS (
+  SELECT chunk_id, sum(value) AS y, count(*)::DOUBLE AS x, any_value(metric) AS metric, any_value(host) AS host, any_value(measurement) AS measurement,
+         any_value(process) AS process, any_value(ag) AS ag, any_value("group") AS "group" FROM points GROUP BY chunk_id),
+drawn AS (SELECT * FROM sums WHERE {_drawn(f"{_LABEL} || '|' || chunk_id")} < {int(q.SHARE * 2**32)}),
+r AS (SELECT sum(y) / sum(x) AS mean, count(*) AS m, sum(x) AS n FROM drawn)
+SELECT round(any_value(mean), 6) AS mean,
+       round(1.96 * sqrt((1 - any_value(m) / (SELECT count(*) FROM sums)) * sum((y - mean * x) ** 2) / (any_value(m) - 1) * any_value(m)) / any_value(n), 6) AS error,
+       round(any_value(n) / (SELECT sum(x) FROM sums), 9) AS share_read, any_value(m) AS n_chunks
+FROM drawn, r""",
+    "chunk_overlap_counts": _INTERLEAVED + f"""
+SELECT {", ".join(f"b.{_QUOTED.get(d, d)}" for d in DIMENSIONS)}, b.chunk_id, b.start, b."end", count(a.chunk_id) AS n_earlier
+FROM half_chunks b LEFT JOIN half_chunks a
+  ON {" AND ".join(f"a.{_QUOTED.get(d, d)} IS NOT DISTINCT FROM b.{_QUOTED.get(d, d)}" for d in DIMENSIONS)} AND a.start < b.start AND a."end" >= b.start
+GROUP BY ALL""",
+    "sample_series": _EVENTS + f"""
+SELECT {HEADER} FROM chunks WHERE {_drawn(_LABEL)} < {int(q.SERIES_SHARE * 2**32)}""",
+    "sort_series": _EVENTS + f"""
+SELECT {DIMS}, chunk_id, max(max_value) OVER (PARTITION BY {DIMS}) AS sort_key FROM chunks""",
     "convert_with": _EVENTS + ' SELECT chunk_id, "end" - start AS span FROM chunks',
 }

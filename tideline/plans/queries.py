@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import points as fp
-from tideline.functions.codec import delta_decode, delta_encode
+from tideline.functions.codec import delta_decode, delta_decode_range, delta_encode
 from tideline.model import DIMENSIONS, attribute, dimension_label
 from tideline.operators import aggregates, filters, flatten, identity, joining, ordering
 from tideline.plans import tables
@@ -40,6 +40,12 @@ DAY_MS = tables.DAY_MS
 
 HEADER = (*DIMENSIONS, "chunk_id", "start", "end", "n_points")
 MINUTE_MS = 60_000
+WHOLE_LIMIT = 230.0
+WHOLE_SIZE = 100
+POSITIONS = (-1, 0, 3, 77, 10_000_000)
+SHARE = 0.2         # of the chunks
+SERIES_SHARE = 0.3
+SEED = 7
 ROW_POINTS = 50     # a bound on series rows that many series exceed
 
 
@@ -238,9 +244,8 @@ def sql_select_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sort_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """On joined series of interleaved chunks, whose points are out of order."""
-    series = joining.join_chunks(tables.interleaved_chunks(spark, sf_dir))
-    return joining.sorted_points(series)
+    """On series of interleaved chunks, whose points are out of order once joined."""
+    return joining.sorted_points(joining.with_first_position(tables.interleaved_chunks(spark, sf_dir)))
 
 
 def append_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,8 +331,7 @@ def collect_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def take_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five series of a joined collection, several rows each, point by point."""
-    series = joining.join_chunks(tables.event_chunks(spark, sf_dir), ROW_POINTS)
-    return joining.indexed_points(aggregates.take_series(series, TAKE))
+    return joining.indexed_points(aggregates.take_joined(tables.event_chunks(spark, sf_dir), TAKE, ROW_POINTS))
 
 
 def take_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,12 +468,108 @@ def subtract_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def udf_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A predicate in Python on the values of a chunk: they spread by more than a limit."""
 
-    @F.pandas_udf("boolean")
-    def spread(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: v is not None and len(v) > 0 and bool(v.max() - v.min() > SPREAD_LIMIT))
+    chunks = tables.event_chunks(spark, sf_dir).withColumn("_values", fp.values_array())
+    return _header(filters.filter_rows(chunks, _spread, "_values"))
 
-    chunks = tables.event_chunks(spark, sf_dir)
-    return _header(filters.filter_series(chunks, spread(F.col("points.value"))))
+
+def _spread(lists: pa.Array) -> pa.Array:
+    """Whether the numbers of a list spread by more than the limit; a list without numbers does not."""
+    bounds = lists.offsets.to_numpy().astype(np.int64)
+    numbers = lists.values.fill_null(np.nan).to_numpy()
+    full = np.flatnonzero((np.diff(bounds) > 0) & lists.is_valid().to_numpy(zero_copy_only=False))
+    wide = np.zeros(len(lists), bool)
+    if len(full):
+        # Between the lists taken there may be others, whose numbers then end the list before: cut there as well.
+        cuts = np.unique(np.concatenate((bounds[full], bounds[full + 1])))
+        cuts = cuts[cuts < len(numbers)]
+        at = np.searchsorted(cuts, bounds[full])
+        spread = np.fmax.reduceat(numbers, cuts)[at] - np.fmin.reduceat(numbers, cuts)[at]
+        wide[full] = spread > SPREAD_LIMIT
+    return pa.array(wide)
+
+
+def _off_hour(times: pa.Array) -> pa.Array:
+    """Whether a time lies in the second half of its hour."""
+    return pc.greater_equal(pa.array(np.mod(times.to_numpy(zero_copy_only=False), 60 * MINUTE_MS)), 30 * MINUTE_MS)
+
+
+def udf_filter_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A predicate in Python on single observations, a batch of them at a time."""
+    return filters.filter_rows(flatten.observations(tables.event_chunks(spark, sf_dir)), _off_hour, "timestamp")
+
+
+# Whole series, however many rows each has
+
+
+def query_chunks_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with points, with an aggregate and with neither, as a store hands them over."""
+    return _chunk_points(sources.query_chunks(_stored_records(spark, sf_dir), F.col("metric") == METRIC), "chunk_id", "start", "end", "n_points")
+
+
+def query_series_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records joined into whole series, in rows of few points."""
+    found = sources.query_chunks(_stored_records(spark, sf_dir), F.col("metric") == METRIC)
+    return joining.indexed_points(joining.join_chunks(found, ROW_POINTS))
+
+
+def _stored_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.mixed_records(spark, sf_dir).withColumn("n_points", fp.series_size("points"))
+
+
+def filter_whole_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joined series, several rows each, in which some value is large and the values add up to enough."""
+    series = joining.join_chunks(tables.event_chunks(spark, sf_dir), ROW_POINTS)
+    large = filters.any_point(lambda p: p["value"] > WHOLE_LIMIT)
+    many = filters.total_points() > WHOLE_SIZE
+    return joining.indexed_points(filters.filter_whole_series(series, large & many))
+
+
+def filter_whole_series_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series none of whose values is larger than a bound, by identity."""
+    series = joining.join_chunks(tables.event_chunks(spark, sf_dir), ROW_POINTS)
+    small = filters.every_point(lambda p: p["value"] <= WHOLE_LIMIT)
+    return filters.filter_whole_series(series, small).groupBy(*DIMENSIONS).agg(F.sum("n_points").alias("n_points"))
+
+
+def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    series = joining.join_chunks(tables.interleaved_chunks(spark, sf_dir), ROW_POINTS)
+    return joining.points_at(series, POSITIONS)
+
+
+def value_at_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values at positions of whole joined series, several rows each, some positions outside."""
+    return _positions(spark, sf_dir).select(*DIMENSIONS, "pos", "value")
+
+
+def time_at_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _positions(spark, sf_dir).select(*DIMENSIONS, "pos", "timestamp")
+
+
+def delta_decode_range_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets decoded within a range of time that cuts chunks."""
+    found = delta_decode_range(tables.offset_chunks(spark, sf_dir), RANGE_FROM_MS, RANGE_TO_MS)
+    return _chunk_points(found, "chunk_id", "n_points")
+
+
+def approx_mean_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean of a sample of chunks, with the error to expect and the share of the points read."""
+    found = aggregates.sampled_mean(tables.event_chunks(spark, sf_dir), SHARE, SEED)
+    return found.select(F.round("mean", 6).alias("mean"), F.round("error", 6).alias("error"), F.round("share_read", 9).alias("share_read"), "n_chunks")
+
+
+def chunk_overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordering.overlap_counts(tables.interleaved_chunks(spark, sf_dir))
+
+
+def sample_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share of the series, each whole."""
+    return _header(identity.sample_series(tables.event_chunks(spark, sf_dir), SERIES_SHARE, SEED))
+
+
+def sort_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks by the largest value of their series, the largest first."""
+    chunks = ordering.sort_series(tables.event_chunks(spark, sf_dir), F.max(F.array_max("points.value")), ascending=False)
+    return chunks.select(*DIMENSIONS, "chunk_id", "sort_key")
 
 
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -555,5 +655,18 @@ QUERIES: dict[str, Query] = {
     "intersect_series": intersect_series,
     "subtract_series": subtract_series,
     "udf_filter": udf_filter,
+    "udf_filter_rows": udf_filter_rows,
     "convert_with": convert_with,
+    # Whole series
+    "query_chunks_records": query_chunks_records,
+    "query_series_records": query_series_records,
+    "filter_whole_series": filter_whole_series,
+    "filter_whole_series_every": filter_whole_series_every,
+    "value_at_series": value_at_series,
+    "time_at_series": time_at_series,
+    "delta_decode_range": delta_decode_range_,
+    "approx_mean_sampled": approx_mean_sampled,
+    "chunk_overlap_counts": chunk_overlap_counts,
+    "sample_series": sample_series,
+    "sort_series": sort_series,
 }

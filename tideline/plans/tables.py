@@ -165,14 +165,18 @@ def function_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored records of all three kinds, by day: with points, with an aggregate, with neither.
+    """Stored records of all three kinds: every day chunk with its points, and for each one record that holds its mean and
+    one that holds nothing.
 
     They carry a field that is no dimension, and no JSON text.
     """
-    kind = F.pmod(whole_div("start", DAY_MS), F.lit(3))
+    kind = F.col("_kind")
     nothing = F.filter("points", lambda p: F.lit(False))
-    return event_chunks(spark, sf_dir).select(
-        *DIMENSIONS, "chunk_id", "start", "end",
+    records = event_chunks(spark, sf_dir).withColumn("_kind", F.explode(F.array(*map(F.lit, (0, 1, 2)))))
+    return records.select(
+        *DIMENSIONS,
+        F.when(kind == 0, F.col("chunk_id")).when(kind == 1, F.concat("chunk_id", F.lit("|mean"))).otherwise(F.concat("chunk_id", F.lit("|none"))).alias("chunk_id"),
+        "start", "end",
         F.when(kind == 0, F.col("points")).otherwise(nothing).alias("points"),
         F.when(kind == 1, mean_value()).alias("function_value"),
         F.lit(None).cast("string").alias("data_as_json"),
@@ -183,9 +187,8 @@ def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offset_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day chunks as offsets; offsets divisible by four are left out as a repeat of the last."""
     times = F.col("points.timestamp")
-    steps = F.transform(
-        times, lambda t, i: F.when(i == 0, F.lit(0)).otherwise(t - F.get(times, i - 1))
-    )
+    before = F.concat(F.slice(times, 1, 1), times)      # one longer than the times: its last one is cut off again
+    steps = F.slice(F.zip_with(times, before, lambda t, b: t - b), F.lit(1), F.array_size(times))
     return event_chunks(spark, sf_dir).select(
         *DIMENSIONS, "chunk_id", "start", "end",
         F.transform(steps, lambda s: F.when(s % 4 == 0, F.lit(0)).otherwise(s)).alias("offsets"),

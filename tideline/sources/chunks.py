@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tideline.functions.points import (
     empty_points,
     function_point,
+    mid_time,
     points_between,
     replace_points,
     series_size,
@@ -58,8 +59,26 @@ def _completed(stored: DataFrame) -> DataFrame:
 
 
 def query_chunks(chunks: DataFrame, predicate: Column | str | None = None) -> DataFrame:
-    """Chunks that match a predicate on dimensions or time, not joined. None matches all."""
-    return chunks if predicate is None else chunks.where(predicate)
+    """Chunks that match a predicate on dimensions or time, not joined. None matches all.
+
+    A record that holds an aggregate and no points is read as its one point. The predicate is on what
+    is stored and reaches the scan.
+    """
+    return with_function_points(chunks if predicate is None else chunks.where(predicate))
+
+
+def with_function_points(chunks: DataFrame) -> DataFrame:
+    """Chunks in which a record with a function value and no points holds that value as one point in the middle of its time
+    span. Chunks without ``function_value`` stay as they are."""
+    if not {"function_value", "n_points"} <= set(chunks.columns):
+        return chunks
+    stands = (F.coalesce("n_points", F.lit(0)) == 0) & F.col("function_value").isNotNull()
+
+    def instead(column: str, other: Column) -> Column:
+        return F.when(stands, other.cast(chunks.schema[column].dataType)).otherwise(F.col(column))
+
+    replaced = {"points": F.array(function_point()), "n_points": F.lit(1), "start": mid_time(), "end": mid_time()}
+    return chunks.withColumns({column: instead(column, other) for column, other in replaced.items()})
 
 
 def query_series(chunks: DataFrame, predicate: Column | str | None = None) -> DataFrame:

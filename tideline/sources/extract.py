@@ -20,6 +20,12 @@ def read_extract(spark: SparkSession, path: str) -> DataFrame:
     return read_chunks(spark, path).select(*CHUNK_COLUMNS)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process: ``local-cluster[...]`` starts several."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
@@ -28,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str | None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if is_local(spark):
         return tempfile.mkdtemp(prefix="tideline-")
     return None
 
