@@ -36,13 +36,13 @@ LEAST = 30               # occurrences of a candidate
 TOP = 2000               # phrases reported per language
 DEPTH = 4                # words of the longest phrase
 CONTAINED = 80           # percent of a candidate's occurrences inside one longer candidate that drop it
-SLICE = 8 << 20          # bytes of text whose pointers are put together
+SLICE = 4 << 20          # bytes of text whose pointers are put together
 SHARD_WORDS = 1 << 20    # words per shard, about
 SMALL = 512              # pointers of a partition that is sorted as it is
 LEADS = 1 << 16          # buckets of a histogram of leading words
 FILTER_BITS = 1 << 28    # most bits of a filter: 32 MB
 CHUNK_BITS = 1 << 19
-PENDING = 1_000_000        # counted words held before they are added up
+PENDING = 400_000        # counted words held before they are added up
 
 _CUTS = np.zeros(256, bool)
 _CUTS[[*b".,;:!?", 10, 11, 12, 13]] = True
