@@ -7,11 +7,11 @@ piece's length are exploded and equi-joined with the piece table, edges are grou
 the best path is folded with Spark's higher-order ``aggregate``: the largest sum of piece scores; of
 equal sums the edge that starts first. A character that no piece covers is an edge of its UTF-8 bytes.
 
-Words repeat, so the commonest ones (at most COMMON_WORDS) are encoded once, by a grouped join, and
-broadcast. All other words go through the same lattice in the task that reads their document,
-once per batch: the rows of a word stay together there, so nothing is shuffled, however many
-rare words there are. Which words are common decides speed only, not results. Words over STRETCH
-characters take the same best path, found in the task that needs it in time and memory linear in the word.
+Every distinct word goes through the lattice once. The paths of the commonest COMMON_WORDS are broadcast, a
+bounded table, and looked up where documents are read. Only where there are more words, documents are dealt to places
+by their hash, and the paths of the rarer words of a place are joined to it by the word. Which words are common decides speed only,
+not results. Words over STRETCH characters take the same best path, found in the task that needs it in time and memory
+linear in the word.
 """
 
 from __future__ import annotations
@@ -25,12 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.shared import stored
-from tideline.llm.words import BASE, _BYTES, _power_tables, list_array, mix, slices, text_buffers
+from tideline.llm.words import BASE, SLICE_BYTES, list_array, mix, slices, span_hashes, text_buffers, word_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-COMMON_WORDS = 1_000_000
-TASK_SLICE = 1 << 18       # bytes hashed at once beside the lattice, where several workers share the memory
+COMMON_WORDS = 4_000_000   # words whose paths are broadcast at most, some 20 bytes each
+PENDING = 300_000          # counted words held before they are added up
+PLACES = 4                 # groups of documents per shuffle partition, where words are left that are not broadcast
 STRETCH = 512              # longer words go through ``best_ids`` instead of rows of edges
 BYTE_PENALTY = 1e12        # what an edge of bytes costs, more than any piece
 WORD_FIELDS = "hash bigint, part int, word string"
@@ -66,7 +67,7 @@ def _with_edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     joined = exploded.withColumn("__piece", text).join(table, "__piece", "left")
     bare = F.col("piece_id").isNull() & (stop - start == 1)
     kept = joined.where(F.col("piece_id").isNotNull() | F.coalesce(bare, F.lit(True)))
-    return kept.select(*words.columns, "start", "stop", F.when(bare, -1 - start).otherwise(F.col("piece_id")).alias("id"),
+    return kept.select(*words.columns, "stop", "start", F.when(bare, -1 - start).otherwise(F.col("piece_id")).alias("id"),
                        F.when(bare, F.lit(-BYTE_PENALTY)).otherwise(F.col("score")).alias("score"))
 
 
@@ -97,9 +98,11 @@ def _best_path(matched: Column, size: Column) -> Column:
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """Ids of distinct words (hash, part, word) as ``path``: explode, equi-join, group by word, fold."""
     edges = _with_edges(words.repartition("hash", "part"), pieces, longest)
-    into = edges.groupBy("hash", "part", "word", "stop").agg(F.collect_list(F.struct("start", "id", "score")).alias("edges"))
-    grouped = into.groupBy("hash", "part", "word").agg(F.sort_array(F.collect_list(F.struct("stop", "edges")))["edges"].alias("matched"))
-    return grouped.select("hash", "part", "word", _best_path(F.col("matched"), F.length("word")).alias("path"))
+    grouped = edges.groupBy("hash", "part", "word").agg(F.collect_list(F.struct("stop", "start", "id", "score")).alias("edges"))
+    size = F.length("word")
+    into = F.transform(F.sequence(F.lit(1), size), lambda stop: F.filter("edges", lambda e: e["stop"] == stop))
+    path = F.when(size > 0, _best_path(into, size)).otherwise(F.array().cast("array<int>"))
+    return grouped.select("hash", "part", "word", path.alias("path"))
 
 
 # ---------------------------------------------------------------- words of texts
@@ -134,21 +137,12 @@ def _words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> tuple[np
     order = np.argsort(start, kind="stable")
     start, marked = start[order], marked[order]
     stop = np.sort(np.concatenate((space, offsets[full + 1], cut)), kind="stable")
-    powers, inverse = _power_tables(len(data) + 2)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers[:len(data)], out=sums[1:])
     size = (stop - start).astype(np.uint64) * np.uint64(2) + marked
-    hashes = mix((sums[stop] - sums[start]) * inverse[start] + size * np.uint64(BASE))
+    hashes = mix(span_hashes(data, start, stop) + size * np.uint64(BASE))
     many = sum(np.diff(np.concatenate((np.searchsorted(at, offsets[full]), [len(at)]))) for at in (space, cut)) + 1
     return hashes, np.repeat(full, many), start, stop, marked
 
 
-def _word_rows(hashes: np.ndarray, texts: list[str], marked: list[bool]) -> list[tuple[int, int, str]]:
-    """(hash, part, word) of the words of at most STRETCH characters; part is 0 only where a space goes before."""
-    rows = zip(hashes.view(np.int64).tolist(), texts, marked)
-    return [(value, 0 if mark else 1, " " + text if mark else text) for value, text, mark in rows if len(text) + mark <= STRETCH]
-
-
 def piece_prefixes(rows: list[tuple[str, int, float, int]]) -> dict[str, tuple[int, float] | None]:
     """(id, score) of every piece, None of what only begins one; with spaces for marks."""
     spelt = {piece.replace(MARK, " "): (k, score) for piece, k, score, byte in rows if byte < 0}
@@ -197,44 +191,71 @@ def _texts(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[str]:
     return [blob[a:b].decode("utf-8", "replace") for a, b in zip(start.tolist(), stop.tolist())]
 
 
-def _repeated_words(shared):
-    """Words that a slice has more than once: hash, part, word, n."""
+COUNTED = pa.schema([("hash", pa.int64()), ("part", pa.int32()), ("word", pa.large_string()), ("n", pa.int64())])
+
+
+def _spelt(data: np.ndarray, start: np.ndarray, stop: np.ndarray, marked: np.ndarray) -> pa.Array:
+    """The words themselves, a space in front of the marked ones."""
+    offsets = np.concatenate(([0], np.cumsum(stop - start)))
+    bare = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[word_bytes(start, stop)].tobytes()))
+    return pc.binary_join_element_wise(pc.if_else(pa.array(marked), " ", "").cast(pa.large_string()), bare, pa.scalar("", pa.large_string()))
+
+
+def _short(data: np.ndarray, start: np.ndarray, stop: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Which words have at most STRETCH characters."""
+    begins = np.concatenate(([0], np.cumsum(data & 0xC0 != 0x80)))
+    return begins[stop] - begins[start] + marked <= STRETCH
+
+
+def _distinct_words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) -> pa.Table:
+    """Words of some texts of at most STRETCH characters, once each with their number; part is 0 where a space goes before."""
+    found = []
+    for first, last in slices(offsets, SLICE_BYTES):
+        low = offsets[first]
+        part = data[low:offsets[last]]
+        hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, pairs)
+        value, at, n = np.unique(hashes, return_index=True, return_counts=True)
+        keep = _short(part, start[at], stop[at], marked[at])
+        at, n = at[keep], n[keep]
+        found.append(pa.table([pa.array(value[keep].view(np.int64)), pa.array(np.where(marked[at], 0, 1).astype(np.int32)),
+                               _spelt(part, start[at], stop[at], marked[at]), pa.array(n)], schema=COUNTED))
+    return pa.concat_tables(found) if found else COUNTED.empty_table()
+
+
+def _added_up(table: pa.Table) -> pa.Table:
+    return table.group_by(["hash", "part", "word"]).aggregate([("n", "sum")]).rename_columns(COUNTED.names).cast(COUNTED)
+
+
+def _counted_words(shared):
+    """Words with their number, added up over what a task reads as far as PENDING rows go: hash, part, word, n."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = COUNTED.empty_table()
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
-            for first, last in slices(offsets, 1 << 23):
-                low = offsets[first]
-                part = data[low:offsets[last]]
-                # Hashing holds arrays of many times the bytes: it goes by smaller slices, counting by the whole one.
-                found = []
-                for a, b in slices(offsets[first:last + 1]):
-                    base, end = offsets[first + a] - low, offsets[first + b] - low
-                    hashes, _, start, stop, marked = _words(part[base:end], offsets[first + a:first + b + 1] - low - base, shared.value)
-                    found.append((hashes, start + base, stop + base, marked))
-                hashes, start, stop, marked = (np.concatenate(x) for x in zip(*found))
-                value, at, n = np.unique(hashes, return_index=True, return_counts=True)
-                keep = (n > 1) & (stop[at] - start[at] < STRETCH)
-                at, n = at[keep], n[keep]
-                rows = _word_rows(value[keep], _texts(part, start[at], stop[at]), marked[at].tolist())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.string()), pa.array(n, pa.int64())], names=["hash", "part", "word", "n"])
+            for first, last in slices(offsets, 1 << 22):
+                held = pa.concat_tables([held, _distinct_words(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], shared.value)])
+                if held.num_rows > PENDING:
+                    held = _added_up(held)
+                    if held.num_rows > PENDING // 2:
+                        yield from held.to_batches(max_chunksize=50_000)
+                        held = COUNTED.empty_table()
+        yield from _added_up(held).to_batches(max_chunksize=50_000)
     return run
 
 
-def common_words(texts: DataFrame, pairs, limit: int = COMMON_WORDS) -> DataFrame:
-    """Up to ``limit`` words of most occurrences: hash, part, word."""
-    counted = stored(texts.select("text").mapInArrow(_repeated_words(pairs), f"{WORD_FIELDS}, n bigint")
-                     .groupBy("hash", "part", "word").agg(F.sum("n").alias("n")))
+def _chosen(counted: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """(up to ``limit`` words of most occurrences, all others or None): hash, part, word."""
+    words = counted.select("hash", "part", "word")
+    if counted.count() <= limit:
+        return words, None
     levels = counted.groupBy(F.least("n", F.lit(100_000)).alias("level")).count().orderBy(F.desc("level")).collect()
-    least, held = None, 0
+    least, held = 100_001, 0
     for row in levels:       # at most 100,000 levels
         held += row["count"]
         if held > limit:
             break
         least = row["level"]
-    chosen = counted.where(F.col("n") >= least) if least is not None else counted.limit(0)
-    return chosen.select("hash", "part", "word")
+    return (counted.where(F.col("n") >= least).select("hash", "part", "word"), counted.where(F.col("n") < least).select("hash", "part", "word"))
 
 
 class Paths:
@@ -255,7 +276,7 @@ class Paths:
         hashes = np.concatenate((self.hashes, other.hashes))
         order = np.argsort(hashes)
         many = np.concatenate((np.diff(self.ends), np.diff(other.ends)))
-        flat = np.concatenate((self.ids, other.ids))
+        flat = np.concatenate((self.ids.astype(np.int32), other.ids.astype(np.int32)))
         end = np.cumsum(many[order])
         begin = (np.cumsum(many) - many)[order] - (end - many[order])
         ids = flat[np.repeat(begin, many[order]) + np.arange(len(flat))]
@@ -278,19 +299,6 @@ def _with_bytes(words: pa.Array, lists: pa.ListArray, byte_ids: np.ndarray) -> t
     return out, np.bincount(owner, weights=width, minlength=len(many)).astype(np.int64)
 
 
-def _paths(rows: pa.Table | None, byte_ids: np.ndarray) -> Paths:
-    """From (hash, part, word, path) in any order."""
-    if rows is None or not rows.num_rows:
-        return Paths(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
-    hashes = rows.column(0).to_numpy().view(np.uint64)
-    order = np.lexsort((rows.column(1).to_numpy(), hashes))
-    rows = rows.take(pa.array(order)).combine_chunks()
-    ids, many = _with_bytes(rows.column(2).combine_chunks(), rows.column(3).combine_chunks(), byte_ids)
-    hashes, end = hashes[order], np.cumsum(many)
-    last = np.append(hashes[1:] != hashes[:-1], True)
-    return Paths(hashes[last], np.concatenate(([0], end[last])), ids.astype(np.int32))
-
-
 def _finished(byte_ids: np.ndarray):
     """Paths (hash, part, word, path) of words of one part as ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,118 +308,110 @@ def _finished(byte_ids: np.ndarray):
     return run
 
 
-# ---------------------------------------------------------------- the stream of one task: words, then their documents
+def _flat_paths(rows: pa.Table) -> Paths:
+    """From (hash, ids) in any order."""
+    rows = rows.combine_chunks()
+    hashes = rows.column(0).to_numpy().view(np.uint64)
+    lists = rows.column(1).combine_chunks() if isinstance(rows.column(1), pa.ChunkedArray) else rows.column(1)
+    order = np.argsort(hashes)
+    many = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    end = np.cumsum(many[order])
+    begin = (np.cumsum(many) - many)[order] - (end - many[order])
+    ids = flat[np.repeat(begin, many[order]) + np.arange(len(flat))]
+    return Paths(hashes[order], np.concatenate(([0], end)), ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32))
+
+
+# ---------------------------------------------------------------- documents
+
+
+class _Encoder:
+    """Encodes the documents of a task: words are looked up by hash, those over STRETCH characters take their path here."""
+
+    def __init__(self, shared, exact: bool):
+        *flat, self.byte_ids, self.pairs, self.table = shared.value
+        self.common = Paths(*flat)
+        self.decode = _decoder(piece_bytes(self.table)) if exact else None
+        self.longest = max(len(p) for p, _, _, byte in self.table if byte < 0)
+        self.prefixes = None
+
+    def missing(self, text: pa.Array) -> pa.Table:
+        """Words that are not common."""
+        data, offsets = text_buffers(text)
+        words = _distinct_words(data, offsets, self.pairs)
+        return words.filter(pa.array(~self.common.find(words.column(0).to_numpy().view(np.uint64))[1]))
+
+    def documents(self, rows: pa.Array, text: pa.Array, rare: Paths) -> Iterator[pa.RecordBatch]:
+        data, offsets = text_buffers(text)
+        for first, last in slices(offsets, SLICE_BYTES):
+            low = offsets[first]
+            sliced = data[low:offsets[last]]
+            hashes, row, start, stop, marked = _words(sliced, offsets[first:last + 1] - low, self.pairs)
+            left = np.flatnonzero(~self.common.find(hashes)[1])
+            left = left[~rare.find(hashes[left])[1]]
+            own = rare
+            if len(left):
+                if _short(sliced, start[left], stop[left], marked[left]).any():
+                    raise ValueError("a word has no path")
+                self.prefixes = self.prefixes or piece_prefixes(self.table)
+                value, at = np.unique(hashes[left], return_index=True)
+                at = left[at]
+                spelt = zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())
+                found = [best_ids(" " + t if m else t, self.prefixes, self.longest, self.byte_ids) for t, m in spelt]
+                own = rare.joined(Paths(value, np.cumsum([0, *map(len, found)]), np.concatenate(found)))
+            got, count = _looked_up(hashes, self.common, own)
+            ids = list_array(pa.array(got.astype(np.int32), pa.int32()), np.bincount(row, weights=count, minlength=last - first))
+            columns = [rows.slice(first, last - first), ids]
+            if self.decode:
+                texts = text.slice(first, last - first).cast(pa.string()).fill_null("")
+                columns.append(pc.equal(self.decode(ids), texts))
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "exact"][:len(columns)])
+
+
+NO_PATHS = Paths(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
 
 
-def _stream(shared):
-    """For each batch of documents a row for every word that is not common, then the documents."""
+def _encoded(shared, exact: bool):
+    """Documents (row, text) with their ids, all of whose words are common or long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pairs = Paths(*shared.value[:3]), shared.value[4]
+        encoder = _Encoder(shared, exact)
         for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
-            rare: dict[int, tuple[str, bool]] = {}
-            for first, last in slices(offsets, TASK_SLICE):
-                low = offsets[first]
-                part = data[low:offsets[last]]
-                hashes, _, start, stop, marked = _words(part, offsets[first:last + 1] - low, pairs)
-                left = np.flatnonzero(~known.find(hashes)[1])
-                value, at = np.unique(hashes[left], return_index=True)
-                at = left[at]
-                rare.update(zip(value.tolist(), zip(_texts(part, start[at], stop[at]), marked[at].tolist())))
-            rows = _word_rows(np.array(list(rare), np.uint64), [r[0] for r in rare.values()], [r[1] for r in rare.values()])
-            none = pa.nulls(len(rows), batch.column(0).type)
-            if rows:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.string()), none, pa.nulls(len(rows), pa.string())],
-                    names=["hash", "part", "word", "row", "text"])
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), batch.column(0), batch.column(1).cast(pa.string())],
-                names=["hash", "part", "word", "row", "text"])
+            yield from encoder.documents(batch.column(0), batch.column(1), NO_PATHS)
     return run
 
 
-_EDGE = pa.struct([("start", pa.int32()), ("id", pa.int32()), ("score", pa.float64())])
-
-
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (hash, part, word, row, text, stop, start, id, score) of one word together as one row, its edges
-    by stop. A word begins with its only edge of stop 1; rows without a stop are documents."""
-    names = ["hash", "part", "word", "row", "text", "matched"]
-    held: list[pa.RecordBatch] = []
-
-    def close(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        for batch in table.combine_chunks().to_batches():
-            stop = batch.column(5).fill_null(0).to_numpy(zero_copy_only=False)
-            head, hit = stop <= 1, stop > 0
-            owner, into = (np.cumsum(head) - 1)[hit], stop[hit]
-            begin = np.flatnonzero(np.concatenate(([True], (into[1:] != into[:-1]) | (owner[1:] != owner[:-1])))[:len(into)])
-            edges = batch.filter(pa.array(hit))
-            flat = pa.StructArray.from_arrays([edges.column(k).cast(t.type) for k, t in zip((6, 7, 8), _EDGE)], fields=list(_EDGE))
-            per_stop = list_array(flat, np.diff(np.append(begin, len(into))))
-            heads = batch.filter(pa.array(head))
-            matched = list_array(per_stop, np.bincount(owner[begin], minlength=heads.num_rows))
-            yield pa.RecordBatch.from_arrays([*heads.columns[:5], matched], names=names)
-
-    for batch in batches:
-        heads = np.flatnonzero(batch.column(5).fill_null(0).to_numpy(zero_copy_only=False) <= 1)
-        cut = int(heads[-1]) if len(heads) else 0      # what begins last may go on in the next batch
-        if cut or len(heads):
-            before = pa.Table.from_batches([*held, batch.slice(0, cut)])
-            if before.num_rows:
-                yield from close(before)
-            held = []
-        held.append(batch.slice(cut))
-    if held and (rest := pa.Table.from_batches(held)).num_rows:
-        yield from close(rest)
+def _rare_words(shared):
+    """Words (place, hash) of documents (place, text) that are not common, once per place of a batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(shared, False)
+        for batch in batches:
+            place = batch.column(0).to_numpy()
+            order = np.argsort(place, kind="stable")
+            edges = np.append(np.flatnonzero(np.diff(place[order], prepend=-1)), len(order)).tolist()
+            for a, b in zip(edges[:-1], edges[1:]):
+                words = encoder.missing(batch.column(1).take(pa.array(order[a:b])))
+                hashes = pc.unique(words.column(0).combine_chunks())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), place[order[a]], np.int32)), hashes], names=["place", "hash"])
+    return run
 
 
-def _encoded(shared, exact: bool):
-    """Documents with their ids: the words of a batch come first and are kept until its documents are done.
-    With ``exact`` also whether the ids decode to the text, told here as one more worker would hold its own buffers."""
+def _encoded_places(shared, exact: bool):
+    """Rows (place, kind, hash, ids, row, text) by place, in each first the paths of its rare words, then its documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *flat, byte_ids, pairs, table = shared.value
-        decode = _decoder(piece_bytes(table)) if exact else None
-        prefixes, longest = None, max(len(p) for p, _, _, byte in table if byte < 0)
-        common, held, rare, documents = Paths(*flat), [], None, False
+        encoder, place, held, rare = _Encoder(shared, exact), None, [], NO_PATHS
         for batch in batches:
-            is_word = np.asarray(batch.column(0).is_valid())
-            cut = [0, *(np.flatnonzero(is_word[1:] != is_word[:-1]) + 1).tolist(), len(is_word)]
-            for a, b in zip(cut[:-1], cut[1:]):
-                if a == b:
-                    continue
+            key = batch.column(0).to_numpy().astype(np.int64) * 2 + batch.column(1).to_numpy()
+            edges = np.append(np.flatnonzero(np.diff(key, prepend=-1)), len(key)).tolist()
+            for a, b in zip(edges[:-1], edges[1:]):
                 part = batch.slice(a, b - a)
-                if is_word[a]:
-                    if documents:
-                        held, documents = [], False
-                    rare = None
-                    held.append(part.select([0, 1, 2, 5]))
+                if key[a] // 2 != place:
+                    place, held, rare = key[a] // 2, [], NO_PATHS
+                if key[a] % 2 == 0:
+                    held.append(part.select([2, 3]))
                     continue
-                documents = True
-                if rare is None:
-                    rare, held = _paths(pa.Table.from_batches(held) if held else None, byte_ids), []
-                data, offsets = text_buffers(part.column(4))
-                for first, last in slices(offsets, TASK_SLICE):
-                    low = offsets[first]
-                    sliced = data[low:offsets[last]]
-                    hashes, row, start, stop, marked = _words(sliced, offsets[first:last + 1] - low, pairs)
-                    left = np.flatnonzero(~common.find(hashes)[1])
-                    left = left[~rare.find(hashes[left])[1]]        # words over STRETCH characters
-                    if len(left):
-                        prefixes = prefixes or piece_prefixes(table)
-                        value, at = np.unique(hashes[left], return_index=True)
-                        at = left[at]
-                        spelt = zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())
-                        found = [best_ids(" " + t if m else t, prefixes, longest, byte_ids) for t, m in spelt]
-                        long = Paths(value, np.cumsum([0, *map(len, found)]), np.concatenate(found))
-                    got, count = _looked_up(hashes, common, rare.joined(long) if len(left) else rare)
-                    ids = list_array(pa.array(got, pa.int32()), np.bincount(row, weights=count, minlength=last - first))
-                    columns = [part.column(3).slice(first, last - first), ids]
-                    if exact:
-                        texts = part.column(4).slice(first, last - first).cast(pa.string()).fill_null("")
-                        columns.append(pc.equal(decode(ids), texts))
-                    yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "exact"][:len(columns)])
+                if held:
+                    rare, held = _flat_paths(pa.Table.from_batches(held)), []
+                yield from encoder.documents(part.column(4), part.column(5), rare)
     return run
 
 
@@ -444,31 +444,32 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
         if byte >= 0:
             byte_ids[byte] = k
     pairs = pair_table(table)
-    words = stored(common_words(docs.select(F.col("text").cast("string").alias("text")), spark.sparkContext.broadcast(pairs)))
-    found = encode_words(words, pieces, longest).mapInArrow(_finished(byte_ids), "hash bigint, ids array<int>")
-    best = stored(found).toArrow().combine_chunks()     # at most COMMON_WORDS rows
-    hashes, lists = best.column(0).to_numpy().view(np.uint64), best.column(1).combine_chunks()
-    order = np.argsort(hashes)
-    many = np.diff(lists.offsets.to_numpy())
-    flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int32)
-    end = np.cumsum(many[order])
-    ids = flat[np.repeat((np.cumsum(many) - many)[order] - (end - many[order]), many[order]) + np.arange(len(flat))]
-    shared = spark.sparkContext.broadcast((hashes[order], np.concatenate(([0], end)), ids, byte_ids, pairs, table))
-
     added = ["ids", "exact"] if exact else ["ids"]
     kept = [c for c in docs.columns if c not in added]
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("string").alias("text"))
     kind = base.schema["row"].dataType.simpleString()
-    stream = base.mapInArrow(_stream(shared), f"{WORD_FIELDS}, row {kind}, text string")
-    # Only the first edge of a word carries the word itself.
-    first = F.coalesce(F.col("stop") == 1, F.lit(True))
-    own = [F.when(first, F.col(c)).alias(c) for c in ("hash", "part", "word")]
-    lattice = _with_edges(stream, pieces, longest).select(*own, "row", "text", "stop", "start", "id", "score")
-    grouped = lattice.mapInArrow(_gathered, f"{WORD_FIELDS}, row {kind}, text string, "
-                                 "matched array<array<struct<start:int,id:int,score:double>>>")
-    path = F.when(F.col("hash").isNotNull(), _best_path(F.col("matched"), F.length("word")))
-    folded = grouped.select("hash", "part", "word", "row", "text", path.alias("path"))
-    done = folded.mapInArrow(_encoded(shared, exact), f"row {kind}, ids array<int>" + (", exact boolean" if exact else ""))
+    result = f"row {kind}, ids array<int>" + (", exact boolean" if exact else "")
+
+    counted = stored(base.select("text").mapInArrow(_counted_words(spark.sparkContext.broadcast(pairs)), f"{WORD_FIELDS}, n bigint")
+                     .groupBy("hash", "part", "word").agg(F.sum("n").alias("n")))
+    common, others = _chosen(counted, COMMON_WORDS)
+
+    def paths(words: DataFrame) -> DataFrame:
+        return stored(encode_words(words, pieces, longest).mapInArrow(_finished(byte_ids), "hash bigint, ids array<int>"))
+
+    best = _flat_paths(paths(common).toArrow())     # at most COMMON_WORDS rows
+    shared = spark.sparkContext.broadcast((best.hashes, best.ends, best.ids, byte_ids, pairs, table))
+    if others is None:
+        done = base.mapInArrow(_encoded(shared, exact), result)
+    else:
+        # All other words: documents are dealt to places by what they are, and meet the paths of their rare words there.
+        places = PLACES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = base.select(F.pmod(F.xxhash64("row"), F.lit(places)).cast("int").alias("place"), "row", "text")
+        asked = dealt.select("place", "text").mapInArrow(_rare_words(shared), "place int, hash bigint").distinct()
+        rare = asked.join(paths(others), "hash").select("place", F.lit(0).alias("kind"), "hash", "ids", F.lit(None).cast(kind).alias("row"), F.lit(None).cast("string").alias("text"))
+        own = dealt.select("place", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("hash"), F.lit(None).cast("array<int>").alias("ids"), "row", "text")
+        both = rare.unionByName(own).repartition(places, "place").sortWithinPartitions("place", "kind")
+        done = both.mapInArrow(_encoded_places(shared, exact), result)
     return done.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], *added)
 
 

@@ -1,7 +1,7 @@
 """Words of whole texts as 64-bit hashes, computed on whole Arrow columns.
 
-A word is a run of bytes other than space and 0x09-0x0D, letters A-Z lower-cased on request. Its hash is a
-polynomial over random byte values modulo 2^64, read off running sums, and then mixed; so the
+A word is a run of bytes other than space and 0x09-0x0D, letters A-Z lower-cased on request. Its hash comes from
+polynomials over random byte values, read off running sums, and then mixed; so the
 cost is a few vector operations per byte and no Python object per word.
 """
 
@@ -20,6 +20,10 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
+BASES = (1_103_515_245, 1_583_458_089)
+_SMALL = np.random.Generator(np.random.PCG64(31)).permutation(4095)[:256].astype(np.uint64) + np.uint64(1)      # of 12 bits
+_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -50,6 +54,43 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[room]
 
 
+def _prime_tables(size: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one of PRIMES, modulo it."""
+    room = 1 << max(int(size - 1).bit_length(), 20)
+    if len(_prime_powers.get(which, ((),))[0]) != room:
+        prime, base = PRIMES[which], BASES[which]
+        tables = []
+        for step in (base, pow(base, -1, prime)):
+            powers = np.ones(room, np.uint32)
+            filled = 1
+            while filled < room:
+                powers[filled:2 * filled] = powers[:filled].astype(np.uint64) * np.uint64(pow(step, filled, prime)) % np.uint64(prime)
+                filled *= 2
+            tables.append(powers)
+        _prime_powers[which] = (tables[0], tables[1])
+    return _prime_powers[which]
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every span of bytes: three polynomials, modulo 2^64 and two primes, mixed. Structured words can meet in
+    the first, whatever its base; the primes part them."""
+    size = len(data)
+    powers, inverse = _power_tables(size + 1)
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(_BYTES[data] * powers[:size], out=sums[1:])
+    whole = (sums[ends] - sums[starts]) * inverse[starts]
+    narrow = []
+    value = _SMALL[data]
+    for which, prime in enumerate(PRIMES):
+        powers, inverse = _prime_tables(size + 1, which)
+        terms = value * powers[:size]              # below 2^43, so 2^20 of them fit a sum
+        if size > 1 << 20:
+            terms %= np.uint64(prime)
+        np.cumsum(terms, out=sums[1:])
+        narrow.append((sums[ends] - sums[starts]) % np.uint64(prime) * inverse[starts] % np.uint64(prime))
+    return mix(whole + mix((narrow[0] << np.uint64(31)) | narrow[1]))
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string or binary column and the offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -94,10 +135,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, betwe
     last[:-1] &= space[1:] | border[1:-1]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
-    powers, inverse = _power_tables(size)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum(_BYTES[low] * powers[:size], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
+    hashes = span_hashes(low, starts, ends)
     return hashes, np.searchsorted(offsets, starts, "right") - 1, starts, ends
 
 
