@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import components, stored
+from tideline.llm.shared import components, small_batches, stored
 from tideline.llm.words import BASE, list_array, mix, ngrams, slices, text_buffers, word_hashes
 
 FUNCTIONS = 80
@@ -165,6 +165,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     (n_shingles 0) and are linked with nothing; a null doc_id is its own component (null).
     Returns doc_id, n_shingles, component_id, kept: one row per input row.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(base.mapInArrow(_signatures(size), SIGNATURES))
     filled = signed.where("n_shingles > 0 and doc_id is not null")

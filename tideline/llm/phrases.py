@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import stored
+from tideline.llm.shared import small_batches, stored
 from tideline.llm.words import _LOWER, BASE, SLICE_BYTES, exact_ids, mix, slices, text_buffers, word_bytes, word_hashes
 
 LEAST = 30               # occurrences of a candidate
@@ -416,6 +416,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     """(phrases, words, sizes) of ``docs`` (text, lang): lang, phrase, words and n of every phrase of two to four words with at
     least ``least`` occurrences; lang, word and n of every word with as many; lang and n, all words of a language."""
     spark = docs.sparkSession
+    small_batches(spark)
     base = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     counted = stored(base.mapInArrow(_counted, "kind int, lang string, word string, n bigint").groupBy("kind", "lang", "word").agg(F.sum("n").alias("n")))
     words = counted.where(F.col("kind") == 0).select("lang", "word", "n")

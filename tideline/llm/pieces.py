@@ -16,6 +16,7 @@ linear in the word.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,12 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import stored
+from tideline.llm.shared import small_batches, stored
 from tideline.llm.words import BASE, SLICE_BYTES, list_array, mix, slices, span_hashes, text_buffers, word_bytes
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 COMMON_WORDS = 4_000_000   # words whose paths are broadcast at most, some 20 bytes each
+TASK_SLICE = 1 << 18       # bytes of text encoded at once
 PENDING = 300_000          # counted words held before they are added up
 PLACES = 4                 # groups of documents per shuffle partition, where words are left that are not broadcast
 STRETCH = 512              # longer words go through ``best_ids`` instead of rows of edges
@@ -95,13 +97,51 @@ def _best_path(matched: Column, size: Column) -> Column:
     return F.aggregate(F.sequence(size, F.lit(1), F.lit(-1)), start, walk, lambda s: s["ids"])
 
 
+_EDGE = pa.struct([("start", pa.int32()), ("id", pa.int32()), ("score", pa.float64())])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (hash, part, word, stop, start, id, score) of one word together as one row, its edges by stop. The edges of a word
+    come one after another, by stop, the first of them with the word; a word begins with its only edge of stop 1."""
+    names = ["hash", "part", "word", "matched"]
+    held: list[pa.RecordBatch] = []
+
+    def close(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        for batch in table.combine_chunks().to_batches():
+            stop = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False)
+            head, hit = stop <= 1, stop > 0
+            owner, into = (np.cumsum(head) - 1)[hit], stop[hit]
+            begin = np.flatnonzero(np.concatenate(([True], (into[1:] != into[:-1]) | (owner[1:] != owner[:-1])))[:len(into)])
+            edges = batch.filter(pa.array(hit))
+            flat = pa.StructArray.from_arrays([edges.column(k).cast(t.type) for k, t in zip((4, 5, 6), _EDGE)], fields=list(_EDGE))
+            heads = batch.filter(pa.array(head))
+            per_stop = list_array(flat, np.diff(np.append(begin, len(into))))
+            matched = list_array(per_stop, np.bincount(owner[begin], minlength=heads.num_rows))
+            yield pa.RecordBatch.from_arrays([*heads.columns[:3], matched], names=names)
+
+    for batch in batches:
+        heads = np.flatnonzero(batch.column(3).fill_null(0).to_numpy(zero_copy_only=False) <= 1)
+        cut = int(heads[-1]) if len(heads) else 0      # what begins last may go on in the next batch
+        if cut or len(heads):
+            before = pa.Table.from_batches([*held, batch.slice(0, cut)])
+            if before.num_rows:
+                yield from close(before)
+            held = []
+        held.append(batch.slice(cut))
+    if held and (rest := pa.Table.from_batches(held)).num_rows:
+        yield from close(rest)
+
+
 def encode_words(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """Ids of distinct words (hash, part, word) as ``path``: explode, equi-join, group by word, fold."""
+    """Ids of distinct words (hash, part, word) as ``path``: explode, equi-join, group by word, fold. The edges of a word are
+    made in one task and come one after another, so they are grouped where they are."""
     edges = _with_edges(words.repartition("hash", "part"), pieces, longest)
-    grouped = edges.groupBy("hash", "part", "word").agg(F.collect_list(F.struct("stop", "start", "id", "score")).alias("edges"))
+    first = F.coalesce(F.col("stop") == 1, F.lit(True))       # only the first edge carries the word
+    own = [F.when(first, F.col(c)).alias(c) for c in ("hash", "part", "word")]
+    grouped = edges.select(*own, "stop", "start", "id", "score").mapInArrow(
+        _gathered, f"{WORD_FIELDS}, matched array<array<struct<start:int,id:int,score:double>>>")
     size = F.length("word")
-    into = F.transform(F.sequence(F.lit(1), size), lambda stop: F.filter("edges", lambda e: e["stop"] == stop))
-    path = F.when(size > 0, _best_path(into, size)).otherwise(F.array().cast("array<int>"))
+    path = F.when(size > 0, _best_path(F.col("matched"), size)).otherwise(F.array().cast("array<int>"))
     return grouped.select("hash", "part", "word", path.alias("path"))
 
 
@@ -223,7 +263,11 @@ def _distinct_words(data: np.ndarray, offsets: np.ndarray, pairs: np.ndarray) ->
 
 
 def _added_up(table: pa.Table) -> pa.Table:
-    return table.group_by(["hash", "part", "word"]).aggregate([("n", "sum")]).rename_columns(COUNTED.names).cast(COUNTED)
+    """Rows of one hash as one."""
+    hashes, n = table.column("hash").to_numpy(), table.column("n").to_numpy()
+    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    kept = table.take(pa.array(first))
+    return kept.set_column(3, "n", pa.array(np.bincount(number, weights=n, minlength=len(first)).astype(np.int64))).cast(COUNTED)
 
 
 def _counted_words(shared):
@@ -232,7 +276,7 @@ def _counted_words(shared):
         held = COUNTED.empty_table()
         for batch in batches:
             data, offsets = text_buffers(batch.column(0))
-            for first, last in slices(offsets, 1 << 22):
+            for first, last in slices(offsets, 1 << 21):
                 held = pa.concat_tables([held, _distinct_words(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], shared.value)])
                 if held.num_rows > PENDING:
                     held = _added_up(held)
@@ -259,28 +303,36 @@ def _chosen(counted: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None
 
 
 class Paths:
-    """Ids per word hash, in flat arrays."""
+    """Ids per word hash, in flat arrays: hashes in order, how many ids each has, all ids one after another."""
 
-    def __init__(self, hashes: np.ndarray, ends: np.ndarray, ids: np.ndarray):
-        self.hashes, self.ends, self.ids = hashes, ends, ids
+    def __init__(self, hashes: np.ndarray, many: np.ndarray, ids: np.ndarray):
+        self.hashes, self.many, self.ids = hashes, many, ids
+        self.ends = np.zeros(len(many) + 1, np.int32 if len(ids) < 1 << 31 else np.int64)
+        np.cumsum(many, out=self.ends[1:])
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, many: np.ndarray, ids: np.ndarray) -> Paths:
+        """From paths in any order, as narrow as they go."""
+        order = np.argsort(hashes)
+        end = np.cumsum(many[order], dtype=np.int64)
+        begin = (np.cumsum(many, dtype=np.int64) - many)[order] - (end - many[order])
+        ids = ids[np.repeat(begin, many[order]) + np.arange(len(ids))]
+        return cls(hashes[order], many[order].astype(np.uint16 if many.max(initial=0) < 1 << 16 else np.int64),
+                   ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32))
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is there) of each hash."""
+        hashes = hashes.view(np.int64)
         if not len(self.hashes):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
-    def joined(self, other: Paths) -> Paths:
-        """Paths of both; no hash may be in both."""
-        hashes = np.concatenate((self.hashes, other.hashes))
-        order = np.argsort(hashes)
-        many = np.concatenate((np.diff(self.ends), np.diff(other.ends)))
-        flat = np.concatenate((self.ids.astype(np.int32), other.ids.astype(np.int32)))
-        end = np.cumsum(many[order])
-        begin = (np.cumsum(many) - many)[order] - (end - many[order])
-        ids = flat[np.repeat(begin, many[order]) + np.arange(len(flat))]
-        return Paths(hashes[order], np.concatenate(([0], end)), ids)
+    def of_places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of some places one after another, how many each has)."""
+        many = self.many[at].astype(np.int64)
+        end = np.cumsum(many)
+        return self.ids[np.repeat(self.ends[at] - (end - many), many) + np.arange(int(end[-1]) if len(end) else 0)].astype(np.int32), many
 
 
 def _with_bytes(words: pa.Array, lists: pa.ListArray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,15 +363,29 @@ def _finished(byte_ids: np.ndarray):
 def _flat_paths(rows: pa.Table) -> Paths:
     """From (hash, ids) in any order."""
     rows = rows.combine_chunks()
-    hashes = rows.column(0).to_numpy().view(np.uint64)
-    lists = rows.column(1).combine_chunks() if isinstance(rows.column(1), pa.ChunkedArray) else rows.column(1)
-    order = np.argsort(hashes)
-    many = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    end = np.cumsum(many[order])
-    begin = (np.cumsum(many) - many)[order] - (end - many[order])
-    ids = flat[np.repeat(begin, many[order]) + np.arange(len(flat))]
-    return Paths(hashes[order], np.concatenate(([0], end)), ids.astype(np.uint16 if ids.max(initial=0) < 1 << 16 else np.int32))
+    lists = rows.column(1).combine_chunks()
+    return Paths.of(rows.column(0).to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64),
+                    lists.flatten().to_numpy(zero_copy_only=False))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths (hash, ids) as flat arrays, in rows of many."""
+    for batch in batches:
+        paths = _flat_paths(pa.Table.from_batches([batch]))
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (paths.hashes, paths.many.astype(np.uint16), paths.ids.astype(np.int32))],
+                                         names=["hashes", "many", "ids"])
+
+
+def _collected(paths: DataFrame, count: int) -> Paths:
+    """At most COMMON_WORDS paths (hash, ids) on the driver, sorted by the tasks and brought over one of them after another."""
+    parts = max(math.ceil(count / 100_000), 1)
+    rows = paths.repartitionByRange(parts, "hash").sortWithinPartitions("hash").mapInArrow(_packed, "hashes binary, many binary, ids binary")
+    found: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], [np.zeros(0, np.uint16)]]
+    for row in rows.toLocalIterator():
+        ids = np.frombuffer(row[2], np.int32)
+        for held, part in zip(found, (np.frombuffer(row[0], np.int64), np.frombuffer(row[1], np.uint16), ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids)):
+            held.append(part)
+    return Paths(*map(np.concatenate, found))
 
 
 # ---------------------------------------------------------------- documents
@@ -331,7 +397,7 @@ class _Encoder:
     def __init__(self, shared, exact: bool):
         *flat, self.byte_ids, self.pairs, self.table = shared.value
         self.common = Paths(*flat)
-        self.decode = _decoder(piece_bytes(self.table)) if exact else None
+        self.names = _Names(piece_bytes(self.table)) if exact else None
         self.longest = max(len(p) for p, _, _, byte in self.table if byte < 0)
         self.prefixes = None
 
@@ -343,32 +409,64 @@ class _Encoder:
 
     def documents(self, rows: pa.Array, text: pa.Array, rare: Paths) -> Iterator[pa.RecordBatch]:
         data, offsets = text_buffers(text)
-        for first, last in slices(offsets, SLICE_BYTES):
+        for first, last in slices(offsets, TASK_SLICE):
             low = offsets[first]
             sliced = data[low:offsets[last]]
-            hashes, row, start, stop, marked = _words(sliced, offsets[first:last + 1] - low, self.pairs)
-            left = np.flatnonzero(~self.common.find(hashes)[1])
-            left = left[~rare.find(hashes[left])[1]]
-            own = rare
+            bounds = offsets[first:last + 1] - low
+            hashes, row, start, stop, marked = _words(sliced, bounds, self.pairs)
+            value, at, number = np.unique(hashes, return_index=True, return_inverse=True)
+            # Ids of the distinct words, those of the common ones first.
+            place, there = self.common.find(value)
+            found = [self.common.of_places(place[there])]
+            order = [np.flatnonzero(there)]
+            left = np.flatnonzero(~there)
             if len(left):
-                if _short(sliced, start[left], stop[left], marked[left]).any():
+                place, there = rare.find(value[left])
+                found.append(rare.of_places(place[there]))
+                order.append(left[there])
+                left = left[~there]
+            if len(left):
+                at = at[left]
+                if _short(sliced, start[at], stop[at], marked[at]).any():
                     raise ValueError("a word has no path")
                 self.prefixes = self.prefixes or piece_prefixes(self.table)
-                value, at = np.unique(hashes[left], return_index=True)
-                at = left[at]
-                spelt = zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())
-                found = [best_ids(" " + t if m else t, self.prefixes, self.longest, self.byte_ids) for t, m in spelt]
-                own = rare.joined(Paths(value, np.cumsum([0, *map(len, found)]), np.concatenate(found)))
-            got, count = _looked_up(hashes, self.common, own)
-            ids = list_array(pa.array(got.astype(np.int32), pa.int32()), np.bincount(row, weights=count, minlength=last - first))
-            columns = [rows.slice(first, last - first), ids]
-            if self.decode:
-                texts = text.slice(first, last - first).cast(pa.string()).fill_null("")
-                columns.append(pc.equal(self.decode(ids), texts))
+                paths = [best_ids(" " + t if m else t, self.prefixes, self.longest, self.byte_ids)
+                         for t, m in zip(_texts(sliced, start[at], stop[at]), marked[at].tolist())]
+                found.append((np.concatenate(paths), np.array([len(p) for p in paths])))
+                order.append(left)
+            flat, many = (np.concatenate(x) for x in zip(*found))
+            spot = np.empty(len(value), np.int64)
+            spot[np.concatenate(order)] = np.arange(len(value))
+            spot = spot[number]
+            count = many[spot]
+            end = np.cumsum(count)
+            begin = np.cumsum(many) - many
+            got = flat[np.repeat(begin[spot] - (end - count), count) + np.arange(int(end[-1]) if len(end) else 0)]
+            sizes = np.bincount(row, weights=count, minlength=last - first).astype(np.int64)
+            columns = [rows.slice(first, last - first), list_array(pa.array(got, pa.int32()), sizes)]
+            if self.names:
+                columns.append(pa.array(self._exact(got, sizes, sliced, bounds)))
             yield pa.RecordBatch.from_arrays(columns, names=["row", "ids", "exact"][:len(columns)])
 
+    def _exact(self, ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether the ids of each document decode to its bytes, with the space that begins every text that is not empty."""
+        blob, width = self.names.decode(ids)
+        ends = np.concatenate(([0], np.cumsum(width)))[np.concatenate(([0], np.cumsum(sizes)))]
+        full = np.diff(bounds) > 0
+        same = np.diff(ends) == np.diff(bounds) + full
+        if same.all():
+            own = np.ones(len(blob), bool)
+            own[ends[:-1][full]] = False
+            equal = blob[own] == data
+            if equal.all() and (blob[~own] == 32).all():
+                return same
+        parts = blob.tobytes()
+        raw = data.tobytes()
+        return np.array([parts[a:b] == (b" " if c < d else b"") + raw[c:d] for a, b, c, d in zip(
+            ends[:-1].tolist(), ends[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist())], bool)
+
 
-NO_PATHS = Paths(np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32))
+NO_PATHS = Paths(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32))
 
 
 def _encoded(shared, exact: bool):
@@ -415,18 +513,6 @@ def _encoded_places(shared, exact: bool):
     return run
 
 
-def _looked_up(hashes: np.ndarray, common: Paths, rare: Paths) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words one after another, ids per word)."""
-    at, there = common.find(hashes)
-    other, _ = rare.find(hashes)
-    ends = np.concatenate((common.ends if len(common.ends) else [0], (rare.ends if len(rare.ends) else np.zeros(1, np.int64)) + len(common.ids)))
-    place = np.where(there, at, len(common.ends) + other)
-    start, count = ends[place], ends[place + 1] - ends[place]
-    flat = np.concatenate((common.ids, rare.ids)) if len(rare.ids) else common.ids
-    end = np.cumsum(count)
-    return flat[np.repeat(start - (end - count), count) + np.arange(int(end[-1]) if len(end) else 0)], count
-
-
 def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> DataFrame:
     """``docs`` with a column ``ids``: piece ids of the whole text; all other columns are kept. With ``exact``
     also a column ``exact``: whether the ids decode to the text, a null text being empty.
@@ -436,6 +522,7 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
     Columns of these names that are there already are replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     table = piece_rows(model_path)
     pieces = spark.createDataFrame(table, "piece string, piece_id int, score double, byte int")
     longest = max(len(p) for p, _, _, byte in table if byte < 0)
@@ -457,8 +544,8 @@ def encoded(docs: DataFrame, model_path: str = MODEL, exact: bool = False) -> Da
     def paths(words: DataFrame) -> DataFrame:
         return stored(encode_words(words, pieces, longest).mapInArrow(_finished(byte_ids), "hash bigint, ids array<int>"))
 
-    best = _flat_paths(paths(common).toArrow())     # at most COMMON_WORDS rows
-    shared = spark.sparkContext.broadcast((best.hashes, best.ends, best.ids, byte_ids, pairs, table))
+    best = _collected(paths(common), common.count())
+    shared = spark.sparkContext.broadcast((best.hashes, best.many, best.ids, byte_ids, pairs, table))
     if others is None:
         done = base.mapInArrow(_encoded(shared, exact), result)
     else:
@@ -481,20 +568,31 @@ def piece_bytes(table: list[tuple[str, int, float, int]]) -> list[bytes]:
     return names
 
 
+class _Names:
+    """What ids decode to, as flat bytes."""
+
+    def __init__(self, names: list[bytes]):
+        self.width = np.array([len(n) for n in names])
+        self.first = np.cumsum(self.width) - self.width
+        self.flat = np.frombuffer(b"".join(names), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids, bytes of each)."""
+        ids = np.where((ids >= 0) & (ids < len(self.width)), ids, 0)
+        size = self.width[ids]
+        end = np.cumsum(size)
+        return self.flat[np.repeat(self.first[ids] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)], size
+
+
 def _decoder(names: list[bytes]) -> Callable[[pa.ListArray], pa.Array]:
     """A function from lists of ids to their texts."""
-    width = np.array([len(n) for n in names])
-    first = np.cumsum(width) - width
-    flat = np.frombuffer(b"".join(names), np.uint8)
+    known = _Names(names)
 
     def decode(lists: pa.ListArray) -> pa.Array:
         ends = lists.offsets.to_numpy()
-        ids = lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]]
-        ids = np.where((ids >= 0) & (ids < len(names)), ids, 0)
-        size = width[ids]
-        end = np.cumsum(size)
-        blob = flat[np.repeat(first[ids] - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)].tobytes()
-        bounds = np.concatenate(([0], end))[ends - ends[0]].tolist()
+        blob, size = known.decode(lists.values.to_numpy(zero_copy_only=False)[ends[0]:ends[-1]])
+        blob = blob.tobytes()
+        bounds = np.concatenate(([0], np.cumsum(size)))[ends - ends[0]].tolist()
         texts = [blob[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         return pa.array([(t[1:] if t[:1] == b" " else t).decode("utf-8", "replace") for t in texts], pa.string())
     return decode

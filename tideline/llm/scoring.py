@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import stored
+from tideline.llm.shared import small_batches, stored
 from tideline.llm.words import BASE, mix, slices, text_buffers, word_hashes
 
 BACKOFF = 0.4
@@ -359,6 +359,7 @@ def backoff_scores(docs: DataFrame) -> DataFrame:
     looked up less its backed-off occurrences in the same document.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63) + 1)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = base.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = max(math.ceil(size / SHARD_BYTES), 1)

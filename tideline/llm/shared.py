@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,6 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """From now on Arrow batches that the session hands to Python hold at most ``size`` bytes, or one row: whole texts of ten thousand
+    rows would take many times their size in every worker and beside it. A smaller bound that is set already stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = re.match(r"\d+$", spark.conf.get(name).removesuffix("b"))
+    if not held or not 0 < int(held[0]) <= size:
+        spark.conf.set(name, str(size))
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read back: lineage ends there, and a lost
     executor loses nothing of it."""

@@ -23,7 +23,6 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (1_103_515_245, 1_583_458_089)
 _SMALL = np.random.Generator(np.random.PCG64(31)).permutation(4095)[:256].astype(np.uint64) + np.uint64(1)      # of 12 bits
-_prime_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,39 +35,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and BASE^-i modulo 2^64 for i below a power of two that is at least ``size``."""
-    room = 1 << max(int(size - 1).bit_length(), 20)
-    if room not in _powers:
-        _powers.clear()
+def _power_tables(size: int, base: int = BASE, prime: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """base^i and base^-i modulo 2^64, or modulo a prime, for i below a power of two that is at least ``size``. Tables are kept;
+    larger ones serve as well, and give way to smaller ones once they are out of proportion."""
+    held = _powers.get(base)
+    if held is None or not size <= len(held[0]) <= 64 * max(size, 1 << 18):
+        room = 1 << max(int(size - 1).bit_length(), 18)
+        modulus, kind = (1 << 64, np.uint64) if prime is None else (prime, np.uint32)
         tables = []
-        for base in (BASE, pow(BASE, -1, 1 << 64)):
-            powers = np.ones(room, np.uint64)
+        for step in (base, pow(base, -1, modulus)):
+            powers = np.ones(room, kind)
             filled = 1
             while filled < room:
-                step = np.uint64(pow(base, filled, 1 << 64))
-                powers[filled:2 * filled] = powers[:filled] * step
+                more = powers[:filled].astype(np.uint64) * np.uint64(pow(step, filled, modulus))
+                powers[filled:2 * filled] = more if prime is None else more % np.uint64(prime)
                 filled *= 2
             tables.append(powers)
-        _powers[room] = (tables[0], tables[1])
-    return _powers[room]
-
-
-def _prime_tables(size: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same for one of PRIMES, modulo it."""
-    room = 1 << max(int(size - 1).bit_length(), 20)
-    if len(_prime_powers.get(which, ((),))[0]) != room:
-        prime, base = PRIMES[which], BASES[which]
-        tables = []
-        for step in (base, pow(base, -1, prime)):
-            powers = np.ones(room, np.uint32)
-            filled = 1
-            while filled < room:
-                powers[filled:2 * filled] = powers[:filled].astype(np.uint64) * np.uint64(pow(step, filled, prime)) % np.uint64(prime)
-                filled *= 2
-            tables.append(powers)
-        _prime_powers[which] = (tables[0], tables[1])
-    return _prime_powers[which]
+        held = _powers[base] = (tables[0], tables[1])
+    return held
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -81,8 +65,8 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     whole = (sums[ends] - sums[starts]) * inverse[starts]
     narrow = []
     value = _SMALL[data]
-    for which, prime in enumerate(PRIMES):
-        powers, inverse = _prime_tables(size + 1, which)
+    for prime, base in zip(PRIMES, BASES):
+        powers, inverse = _power_tables(size + 1, base, prime)
         terms = value * powers[:size]              # below 2^43, so 2^20 of them fit a sum
         if size > 1 << 20:
             terms %= np.uint64(prime)
