@@ -108,6 +108,32 @@ def test_near_duplicates(docs, texts, no_docs, size):
     assert near_duplicates(no_docs, size).count() == 0
 
 
+def test_near_duplicates_of_structured_words_and_repeated_ids(spark):
+    one, other = twisted(2048)
+    a, b = prose(40), prose(40)
+    rows = [(1, one), (2, other), (3, "x " + one), (4, "x " + other), (7, a), (7, b), (9, b + " more"), (20, a + " word"), (30, a), (31, "y")]
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    parts = {i: c for (i, _), (c, _) in got.items()}
+    assert parts == {1: 1, 2: 2, 3: 3, 4: 4, 7: 7, 9: 7, 20: 7, 30: 7, 31: 31}
+
+
+def test_near_duplicates_lose_no_link(spark, sf_dir):
+    """Links of documents of a real table, all pairs compared, against those found."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r["doc_id"], words(r["text"])) for r in docs.select("doc_id", "text").collect()]
+    sets = {i: frozenset(zip(w, w[1:])) if len(w) > 1 else frozenset([tuple(w)] if w else []) for i, w in rows}
+    holders = {}
+    for i, grams in sets.items():
+        for g in grams:
+            holders.setdefault(g, []).append(i)
+    shared = Counter((i, j) for ids in holders.values() if len(ids) < 400 for k, i in enumerate(ids) for j in ids[k + 1:])
+    edges = [(i, j) for (i, j), n in shared.items() if n > 0.3 * len(sets[i] | sets[j]) and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    label = joined(edges, sets)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(docs, 2).collect()}
+    assert len(edges) > 20 and sum(got[i] == got[j] for i, j in edges) >= 0.99 * len(edges)
+    assert all(label[i] == label[c] for i, c in got.items())
+
+
 def test_near_vectors(spark):
     base = rng.standard_normal((12, 16))
     close = np.concatenate([base + 0.05 * rng.standard_normal(base.shape) for _ in range(4)] + [base, base])
@@ -347,6 +373,17 @@ def test_html():
         assert isinstance(html.extract(odd, trees), str)
 
 
+def test_malformed_pages_take_linear_time():
+    import time
+    for unit in ('<a b="x ', "<a b='x ", "<a b=\"x' ", "<", "<a ", "<!x ", "</a "):
+        for end in ("", ">", '">', "'>"):
+            start = time.perf_counter()
+            html.Page(unit * (1_000_000 // len(unit)) + end)
+            assert time.perf_counter() - start < 5, (unit, end)
+    page = html.Page('a <b c="1>2">x</b> < y <i d=\'>\'>z</i> <u "open')
+    assert page.tags == ["#root", "b", "i"] and "".join(t for _, t in page.pieces) == 'a x < y z <u "open'
+
+
 def test_html_decoding_never_contradicts():
     for _ in range(50):
         p = html.Page("<div><p>a<b>b</b></p><div><p>c</p></div></div>" * 3)
@@ -393,6 +430,7 @@ def test_one_label_rejects_nothing():
 def test_warc(spark, tmp_path, size):
     big, fake = prose(400), "x" * 1200 + "\x1f\x8b\x08"
     rows = [(1, "http://a", big), (2, "http://b", big), (3, None, None), (4, "u\r\nv", ""), (5, "http://c", "small"), (6, "http://d", "small"),
+            (9, "http://i/" + "".join(rng.choice(list("abcdefghijklmnop0123456789"), 1_000_000 if size > 97 else 3_000)), "after a long address"),
             (7, "http://e", fake), (7, "http://e", fake), (None, "http://f", big), (8, "http://g", "\r\n\r\nWARC/1.1\r\n\r\n")]
     frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("same", F.lit(1)).repartition(2)
     manifest = warc.write_warc(frame, str(tmp_path / "w"))
@@ -403,6 +441,9 @@ def test_warc(spark, tmp_path, size):
         revisit = page_id == 1
         expected[page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", 2 if revisit else None] += 1
     assert got == expected
+    records = warc.read_warc(manifest, size)
+    assert warc.incomplete_files(manifest, records).count() == 0
+    assert warc.incomplete_files(manifest, records.where("page_id <> 9 or page_id is null")).count() == 1
     assert warc.read_warc(warc.write_warc(frame.limit(0), str(tmp_path / "e"))).count() == 0
 
 

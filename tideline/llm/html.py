@@ -50,11 +50,34 @@ AWAY_TAGS = frozenset("nav header footer aside form script style noscript head t
 #: Elements that hold the parts of a page; the others hold one part.
 HOLDERS = BLOCK - frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote address hr ul ol li dl dt dd figure figcaption".split())
 
-_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|(!|\?)[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.S)
+_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|(!|\?)[^>]*>?|(/?)([a-zA-Z][^\s/>]*))", re.S)
+_EDGE = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _TOKEN = re.compile(r"[a-z]+|[0-9]+", re.I)
 
 
+def _tag_end(html: str, at: int, known: dict[int, int]) -> int:
+    """Where the tag whose attributes begin at ``at`` is closed, outside quotes; -1 if it never is. ``known`` holds the answers of
+    a page by the quote they were found from, and under -1 and -2 the last stretch without quote or end, so a page is gone through once."""
+    path, end = [], -1
+    while True:
+        if not known.get(-1, len(html) + 1) <= at <= known.get(-2, -1):
+            hit = _EDGE.search(html, at)
+            known[-1], known[-2] = at, hit.start() if hit else len(html)
+        at = known[-2]
+        if at >= len(html):
+            break
+        if at in known or html[at] == ">":
+            end = known.get(at, at)
+            break
+        path.append(at)
+        at = html.find(html[at], at + 1) + 1
+        if not at:
+            break
+    known.update(dict.fromkeys(path, end))
+    return end
+
+
 class Page:
     """Elements of a page in document order: tag, parent, attribute tokens, and text pieces.
 
@@ -65,16 +88,24 @@ class Page:
 
     def __init__(self, html: str):
         self.tags, self.parents, self.tokens, self.pieces = ["#root"], [-1], [frozenset()], []
-        stack, at, size = [0], 0, len(html)
+        stack, at, size, known = [0], 0, len(html), {}
+        search = 0
         while at < size:
-            hit = _TAG.search(html, at)
+            hit = _TAG.search(html, search)
             if hit is None:
                 self._text(stack[-1], html[at:])
                 break
+            closing, name = hit.group(2), hit.group(3)
+            end = hit.end()
+            if name is not None:
+                closed = _tag_end(html, end, known)
+                if closed < 0:      # no tag: text up to the next one
+                    search = hit.start() + 1
+                    continue
+                attributes, end = html[end:closed], closed + 1
             if hit.start() > at:
                 self._text(stack[-1], html[at:hit.start()])
-            at = hit.end()
-            closing, name = hit.group(2), hit.group(3)
+            at = search = end
             if name is None:
                 continue
             name = name.lower()
@@ -82,7 +113,6 @@ class Page:
                 self._close(stack, name)
                 continue
             self._implied(stack, name)
-            attributes = hit.group(4)
             self.tags.append(name)
             self.parents.append(stack[-1])
             self.tokens.append(self._tokens(attributes) if attributes.strip(" /\n\t") else frozenset())
@@ -92,7 +122,7 @@ class Page:
                 continue
             if name in RAW and name not in ("noscript", "select", "svg", "math", "object", "template"):
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
-                at = end.end() if end else size
+                at = search = end.end() if end else size
                 continue
             stack.append(len(self.tags) - 1)
 

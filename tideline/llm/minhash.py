@@ -141,8 +141,8 @@ def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     fit = stored(fit.distinct())
     ids = fit.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
-    sets = stored(sets.mapInArrow(_sets(size), "id bigint, shingles binary")
-                  .groupBy("id").agg(F.max("shingles").alias("shingles")))
+    # A document with several texts has several sets, and is linked by any of them.
+    sets = stored(sets.mapInArrow(_sets(size), "id bigint, shingles binary").distinct())
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("one"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("two"))
     joined = fit.join(one, "a").join(two, "b").select("a", "b", "one", "two")
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     """Component of every document under similarity of word-shingle sets.
 
     ``docs`` needs doc_id and text; other columns are ignored. Rows that repeat a doc_id are one
-    document; should their texts differ, candidates are confirmed on the largest set. Null and blank texts have no shingles
+    document; should their texts differ, it is linked by each of them. Null and blank texts have no shingles
     (n_shingles 0) and are linked with nothing; a null doc_id is its own component (null).
     Returns doc_id, n_shingles, component_id, kept: one row per input row.
     """
@@ -171,15 +171,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     filled = signed.where("n_shingles > 0 and doc_id is not null")
     classes = stored(filled.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep")))
     # A doc_id may repeat with other texts: a class is known by its own set, not by the id alone.
-    reps = filled.join(classes, ["n_shingles", "set_a", "set_b"]).where("doc_id = rep")
+    placed = filled.join(classes, ["n_shingles", "set_a", "set_b"])
+    reps = placed.where("doc_id = rep")
+    # Classes that share a document are linked by it.
+    owners = placed.select("doc_id", "rep").distinct()
+    several = owners.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a < most")
+    same = owners.join(several, "doc_id").where("a < rep").select("a", F.col("rep").alias("b"))
     banded = reps.select(F.col("rep").alias("doc"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("doc").alias("leader"), F.max("doc").alias("other")).where("leader < other")
     members = stored(banded.join(shared.select("band", "leader"), "band").distinct())
 
-    sizes = members.select(F.col("doc").alias("a"), F.col("n").alias("n_a")).groupBy("a").agg(F.max("n_a").alias("n_a"))
+    sizes = members.select(F.col("doc").alias("a"), F.col("n").alias("n_a")).distinct()
     first = (members.where("leader < doc").groupBy(F.col("doc").alias("b"), F.col("n").alias("n_b"))
              .agg(F.min("leader").alias("a")).join(sizes, "a"))
-    links = _links(base, first, size, percent)
+    links = stored(_links(base, first, size, percent).unionByName(same))
     for turn in range(LEADER_TURNS):
         open_ = _open(members, components(links))
         leaders = open_.groupBy("band").agg(F.array(*[

@@ -26,7 +26,6 @@ from tideline.llm.shared import shared_dir, stored, table
 LEAST_BYTES = 1000          # payloads from this size on may be revisited
 RANGE_BYTES = 8 << 20
 MAGIC = b"\x1f\x8b\x08"
-HEAD_BYTES = 1 << 16        # inflated bytes in which a header must end
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 WRITTEN = "file string, bytes bigint, records bigint"
@@ -138,9 +137,8 @@ def _header(raw: bytes) -> tuple[dict[str, str], int] | None:
 
 def _inflate(window: _Window, at: int, piece: int = 1 << 18) -> tuple[dict[str, str], bytes, int] | None:
     """(header, block, offset behind the member) of a record at ``at``; None if there is none."""
-    inflater, raw, where = zlib.decompressobj(31), [], at
-    head = None
-    length = 0
+    inflater, raw, where = zlib.decompressobj(31), bytearray(), at
+    head, end = None, -1
     while not inflater.eof:
         part = window.read(where, piece if raw else 1 << 14)
         if not part:
@@ -150,20 +148,21 @@ def _inflate(window: _Window, at: int, piece: int = 1 << 18) -> tuple[dict[str,
             got = inflater.decompress(part)
         except zlib.error:
             return None
-        raw.append(got)
-        length += len(got)
-        if head is None:
-            joined = b"".join(raw)
-            raw = [joined]
-            head = _header(joined)
-            if head is None and (length > HEAD_BYTES or not joined.startswith(b"WARC/1."[:len(joined)])):
+        seen = len(raw)
+        raw += got
+        if end < 0:
+            if not raw.startswith(b"WARC/1."[:len(raw)]):
                 return None
+            # A header ends where it ends, however long an address in it.
+            end = raw.find(b"\r\n\r\n", max(seen - 3, 0))
+            if end >= 0:
+                head = _header(bytes(raw[:end + 4]))
+                if head is None:
+                    return None
     if head is None:
         return None
     fields, start = head
-    whole = b"".join(raw)
-    block = whole[start:start + int(fields["content-length"])]
-    return fields, block, where - len(inflater.unused_data)
+    return fields, bytes(raw[start:start + int(fields["content-length"])]), where - len(inflater.unused_data)
 
 
 def _records(path: str, start: int, stop: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -228,6 +227,13 @@ def read_warc(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     return ranges.repartition(int(min(tasks, 100_000)), "file", "start").mapInArrow(_reader, RECORD)
 
 
+def incomplete_files(manifest: DataFrame, records: DataFrame) -> DataFrame:
+    """Files of which another number of records was read than was written: file, records, found."""
+    found = records.groupBy("file").agg(F.count(F.lit(1)).alias("found"))
+    return manifest.select("file", "records").join(found, "file", "left").select(
+        "file", "records", F.coalesce("found", F.lit(0)).alias("found")).where("records <> found")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     records = read_warc(write_warc(table(spark, sf_dir, "pages"), folder))
