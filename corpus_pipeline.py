@@ -53,7 +53,7 @@ STAGES = [
     ("tokenize", tokenize),
 ]
 
-#: Fitting, connected components and Viterbi have no SQL; the tests hold the stages against brute force.
+#: Fitting, connected components and Viterbi have no SQL; the tests hold the operators of the stages against brute force, but not ``run`` as a whole.
 ORACLE_SQL = None
 
 
