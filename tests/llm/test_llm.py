@@ -10,12 +10,13 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from tideline.llm import html, pieces, quality, suffix, warc  # noqa: E402
+from tideline.llm import html, minhash, pieces, quality, suffix, warc  # noqa: E402
 from tideline.llm.decontaminate import decontaminated, overlaps  # noqa: E402
 from tideline.llm.embeddings import near_vectors  # noqa: E402
 from tideline.llm.minhash import near_duplicates  # noqa: E402
@@ -134,6 +135,37 @@ def test_near_duplicates_lose_no_link(spark, sf_dir):
     assert all(label[i] == label[c] for i, c in got.items())
 
 
+@pytest.mark.parametrize("cell", [1, 5, 1024])
+def test_near_duplicates_in_cells(spark, cell, monkeypatch):
+    """Families of copies around the threshold, and longer and longer ones, whose leader links few: every link is
+    found whatever a cell holds, also between cells, and between texts of one id."""
+    monkeypatch.setattr(minhash, "CELL_SETS", cell)
+    monkeypatch.setattr(minhash, "COLUMNS", 64)
+    monkeypatch.setattr(minhash, "LEADER_TURNS", 0)
+    draw = np.random.default_rng(8)
+    rows = []
+    for family in range(4):
+        base = [f"w{family}x{k}" for k in range(60 + 40 * family)]
+        for _ in range(30):
+            text = [w if draw.random() > 0.05 else f"new{draw.integers(10**9)}" for w in base]
+            rows.append((len(rows), " ".join(text + base[:draw.integers(0, len(base) // 4)])))
+    rows += [(7, rows[40][1] + " more"), (7, rows[7][1] + " more")]
+    sets = [(i, frozenset(zip(words(t), words(t)[1:]))) for i, t in rows]
+    edges = [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 80 * len(x | y)]
+    label = joined(edges, [i for i, _ in rows])
+    assert 8 < len(set(label.values())) < 110
+    got = {(r["doc_id"], r["component_id"]) for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), 2).collect()}
+    assert got == set(label.items())
+
+
+def test_cells_compare_only_unlinked_sets():
+    """One link for each pair of components, none within a component or within a side."""
+    table = pa.table({"doc": [1, 2, 3, 4, 5], "part": [1, 2, 3, 3, 5], "side": pa.array([0, 0, 1, 1, 1], pa.int32()),
+                      "shingles": [np.arange(n, dtype=np.uint64).tobytes() for n in (100, 90, 95, 96, 50)]})
+    got = minhash._compared(80)(table)
+    assert sorted((min(p), max(p)) for p in zip(got["a"].to_pylist(), got["b"].to_pylist())) in ([(1, 3), (2, 3)], [(1, 4), (2, 3)], [(1, 3), (2, 4)], [(1, 4), (2, 4)])
+
+
 def test_near_vectors(spark):
     base = rng.standard_normal((12, 16))
     close = np.concatenate([base + 0.05 * rng.standard_normal(base.shape) for _ in range(4)] + [base, base])

@@ -9,14 +9,17 @@ joined to connected components.
 Steps: one pass over the texts makes signatures; equal sets collapse into classes; a band bucket
 names its smallest member as leader, and every class is checked against its smallest leader;
 then every bucket that still holds several components names a few members at random, and the others
-are checked against those outside their own component; last, all pairs of one bucket that
-still lie in different components are. Copies so cost no pair at all and near copies a few pairs per
-member: a large family is one component before its pairs could be listed.
+are checked against those outside their own component. Copies so cost no pair at all and near copies
+a few pairs per member: a large family is one component by then. What is left are members of one
+bucket that are mostly just not similar enough. They are dealt to cells of bounded size, two cells
+meet where a bucket holds members of both, and a task compares the sets of two cells as bits: no
+pair becomes a row unless it is a link.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,10 @@ BANDS = 32
 ROWS = 2 * FUNCTIONS // BANDS
 PERCENT = 80
 LEADERS = 4          # members of a bucket that a turn compares with its other components
-LEADER_TURNS = 2
+LEADER_TURNS = 1
+CELL_SETS = 1024     # sets and shingles that a cell holds at about the most; one larger set is a cell of its own
+CELL_SHINGLES = 1 << 20
+COLUMNS = 1 << 14    # shingles whose bits are compared at once
 _random = np.random.Generator(np.random.PCG64(411))
 _A = _random.integers(0, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _random.integers(0, 2**63, FUNCTIONS, dtype=np.uint64)
@@ -150,11 +156,107 @@ def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components: band, doc, n, part."""
+    """Members of the buckets that still hold several components: band, doc, n, part, low (the bucket's smallest part)."""
     placed = members.join(labels, members.doc == labels.id, "left").select(
         "band", "doc", "n", F.coalesce("component_id", "doc").alias("part"))
     split = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    return stored(placed.join(split.select("band"), "band", "left_semi"))
+    return stored(placed.join(split.select("band", "low"), "band"))
+
+
+def _cells(open_: DataFrame, percent: int) -> DataFrame:
+    """The cell of every open set (doc, n, part): those that meet the same smallest component, where they are too many parted by
+    size, so that only neighbouring sizes can be similar enough, and then by hash."""
+    homes = open_.groupBy("doc", "n", "part").agg(F.min("low").alias("family"))
+    step = 1.001 * math.log(max(100 / percent, 1.01))
+    load = (F.sum("n").alias("weight"), F.count("*").alias("sets"))
+    families = homes.groupBy("family").agg(*load).select(
+        "family", ((F.col("weight") > CELL_SHINGLES) | (F.col("sets") > CELL_SETS)).alias("large"))
+    sized = homes.join(families, "family").withColumn("class", F.when(F.col("large"), F.floor(F.log("n") / step)))
+    # Beside its key a cell without a class carries -1: null is equal to nothing in a join.
+    sized = stored(sized.drop("large").withColumn("key", F.coalesce("class", F.lit(-1))))
+    blocks = sized.groupBy("family", "key").agg(*load).select(
+        "family", "key", F.greatest(F.ceil(F.col("weight") / CELL_SHINGLES), F.ceil(F.col("sets") / CELL_SETS)).alias("blocks"))
+    block = F.pmod(F.xxhash64("doc", "n"), "blocks")
+    return stored(sized.join(blocks, ["family", "key"]).select(
+        "doc", "n", "part", "class", F.xxhash64("family", "key", block).alias("cell")))
+
+
+def _meetings(open_: DataFrame, cells: DataFrame) -> DataFrame:
+    """Pairs of cells (low, high, maybe one cell twice) with members of different components in one bucket."""
+    spread = (open_.select("band", "doc", "n").join(cells, ["doc", "n"]).groupBy("band", "cell", "class")
+              .agg(F.min("part").alias("least"), F.max("part").alias("most")))
+    one, two = (spread.select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("cell", "class", "least", "most"))) for side in "ab")
+    near = F.coalesce(F.abs(F.col("class_a") - F.col("class_b")) <= 1, F.lit(True))
+    return (one.join(two, "band").where((F.col("cell_a") <= F.col("cell_b")) & near)
+            .where(F.least("least_a", "least_b") < F.greatest("most_a", "most_b"))
+            .select(F.col("cell_a").alias("low"), F.col("cell_b").alias("high")).distinct())
+
+
+def _overlaps(grams: np.ndarray, owner: np.ndarray, upto: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For every row i, the shingles it shares with each of the rows i + 1 .. upto[i] - 1."""
+    count = len(upto)
+    shared = [np.zeros(max(int(upto[i]) - i - 1, 0), np.int64) for i in range(count)]
+    names, column = np.unique(grams, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for low in range(0, len(names), COLUMNS):
+        part = slice(*np.searchsorted(column, (low, low + COLUMNS)))
+        dense = np.zeros((count, COLUMNS), bool)
+        dense[owner[part], column[part] - low] = True
+        bits = np.packbits(dense, axis=1).view(np.uint64)
+        bits = bits[:, :-(-min(COLUMNS, len(names) - low) // 64)]
+        for i in range(count):
+            if len(shared[i]):
+                shared[i] += np.bitwise_count(bits[i] & bits[i + 1:upto[i]]).sum(axis=1, dtype=np.int64)
+    yield from enumerate(shared)
+
+
+def _compared(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between the sets of one cell, or of two: one for each pair of components."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        grams, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        # A shingle of one set alone is in no intersection; a set with too many of them is similar to none here.
+        _, column, times = np.unique(grams, return_inverse=True, return_counts=True)
+        common = times[column] > 1
+        usable = np.bincount(owner[common], minlength=len(sets))
+        fit = np.flatnonzero(100 * usable >= percent * sizes)
+        fit = fit[np.argsort(sizes[fit], kind="stable")]
+        place = np.full(len(sets), -1)
+        place[fit] = np.arange(len(fit))
+        kept = common & (place[owner] >= 0)
+        sizes = sizes[fit]
+        doc, part, side = (table[c].to_numpy()[fit] for c in ("doc", "part", "side"))
+        upto = np.searchsorted(percent * sizes, 100 * sizes, "right")
+        found: dict[tuple[int, int], tuple[int, int]] = {}
+        two = len(np.unique(table["side"].to_numpy())) > 1
+        for i, both in _overlaps(grams[kept], place[owner[kept]], upto):
+            others = slice(i + 1, i + 1 + len(both))
+            linked = (100 * both >= percent * (sizes[i] + sizes[others] - both)) & (part[others] != part[i])
+            if two:
+                linked &= side[others] != side[i]
+            for j in np.flatnonzero(linked).tolist():
+                j += i + 1
+                found.setdefault((min(part[i], part[j]), max(part[i], part[j])), (doc[i], doc[j]))
+        ends = np.array(list(found.values()), np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(ends[:, 0]), "b": pa.array(ends[:, 1])})
+    return run
+
+
+def _across(docs: DataFrame, open_: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of one bucket in different components."""
+    cells = _cells(open_, percent)
+    meetings = _meetings(open_, cells)
+    sides = F.when(F.col("low") == F.col("high"), F.array(F.struct(F.col("low").alias("cell"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(F.col("low").alias("cell"), F.lit(0).alias("side")), F.struct(F.col("high").alias("cell"), F.lit(1).alias("side"))))
+    sent = (meetings.select("low", "high", F.explode(sides).alias("s")).select("low", "high", "s.cell", "s.side")
+            .join(cells, "cell").select("low", "high", "side", "doc", "n", "part"))
+    texts = docs.join(cells.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(_sets(size), "id bigint, shingles binary").distinct()
+    sets = stored(sets.select(F.col("id").alias("doc"), (F.length("shingles") / 8).cast("bigint").alias("n"), "shingles"))
+    return stored(sent.join(sets, ["doc", "n"]).groupBy("low", "high").applyInArrow(_compared(percent), "a bigint, b bigint"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -195,12 +297,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
                          F.col("n").alias("n_a"), F.col("l.n").alias("n_b")).dropDuplicates(["a", "b"]))
         links = stored(links.unionByName(_links(base, pairs, size, percent)))
     open_ = _open(members, components(links))
-    left = open_.select("band", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("part_a"))
-    right = open_.select("band", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("part_b"))
-    across = (left.join(right, "band").where("a < b and part_a <> part_b")
-              .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-              .select("a", "b", "n_a", "n_b").distinct())
-    labels = components(links.unionByName(_links(base, across, size, percent)))
+    labels = components(links.unionByName(_across(base, open_, size, percent)))
 
     ranked = classes.join(labels, classes.rep == labels.id, "left").select(
         "n_shingles", "set_a", "set_b", F.coalesce("component_id", "rep").alias("component_id"))
