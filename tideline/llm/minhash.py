@@ -8,9 +8,9 @@ joined to connected components.
 
 Steps: one pass over the texts makes signatures; equal sets collapse into classes; a band bucket
 names its smallest member as leader, and every class is checked against its smallest leader;
-then every bucket that still holds several components names a few members at random, and the others
-are checked against those outside their own component. Copies so cost no pair at all and near copies
-a few pairs per member: a large family is one component by then. What is left are members of one
+then every bucket that still holds several components names a few members at random, and every other
+one is checked against one of those outside its own component. Copies so cost no pair at all and near
+copies two pairs per member: a large family is one component by then. What is left are members of one
 bucket that are mostly just not similar enough. They are dealt to cells of bounded size, two cells
 meet where a bucket holds members of both, and a task compares the sets of two cells as bits: no
 pair becomes a row unless it is a link.
@@ -23,7 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.shared import components, small_batches, stored
@@ -33,7 +33,7 @@ FUNCTIONS = 80
 BANDS = 32
 ROWS = 2 * FUNCTIONS // BANDS
 PERCENT = 80
-LEADERS = 4          # members of a bucket that a turn compares with its other components
+LEADERS = 4          # members that a bucket names in a turn; every other member is compared with one of those that its buckets name
 LEADER_TURNS = 1
 CELL_SETS = 1024     # sets and shingles that a cell holds at about the most; one larger set is a cell of its own
 CELL_SHINGLES = 1 << 20
@@ -148,7 +148,8 @@ def _links(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
     ids = fit.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = docs.join(ids, "doc_id", "left_semi").select("doc_id", "text")
     # A document with several texts has several sets, and is linked by any of them.
-    sets = stored(sets.mapInArrow(_sets(size), "id bigint, shingles binary").distinct())
+    # Dealt by id once, for dropping repeated rows and for both joins.
+    sets = sets.mapInArrow(_sets(size), "id bigint, shingles binary").repartition("id").distinct()
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("one"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("two"))
     joined = fit.join(one, "a").join(two, "b").select("a", "b", "one", "two")
@@ -254,8 +255,9 @@ def _across(docs: DataFrame, open_: DataFrame, size: int, percent: int) -> DataF
     sent = (meetings.select("low", "high", F.explode(sides).alias("s")).select("low", "high", "s.cell", "s.side")
             .join(cells, "cell").select("low", "high", "side", "doc", "n", "part"))
     texts = docs.join(cells.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(_sets(size), "id bigint, shingles binary").distinct()
-    sets = stored(sets.select(F.col("id").alias("doc"), (F.length("shingles") / 8).cast("bigint").alias("n"), "shingles"))
+    sets = texts.mapInArrow(_sets(size), "id bigint, shingles binary").select(
+        F.col("id").alias("doc"), (F.length("shingles") / 8).cast("bigint").alias("n"), "shingles")
+    sets = sets.repartition("doc", "n").distinct()
     return stored(sent.join(sets, ["doc", "n"]).groupBy("low", "high").applyInArrow(_compared(percent), "a bigint, b bigint"))
 
 
@@ -274,7 +276,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     classes = stored(filled.groupBy("n_shingles", "set_a", "set_b").agg(F.min("doc_id").alias("rep")))
     # A doc_id may repeat with other texts: a class is known by its own set, not by the id alone.
     placed = filled.join(classes, ["n_shingles", "set_a", "set_b"])
-    reps = placed.where("doc_id = rep")
+    reps = stored(placed.where("doc_id = rep").select("rep", "n_shingles", "bands"))
     # Classes that share a document are linked by it.
     owners = placed.select("doc_id", "rep").distinct()
     several = owners.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a < most")
@@ -287,14 +289,19 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = PERCENT) -> D
     first = (members.where("leader < doc").groupBy(F.col("doc").alias("b"), F.col("n").alias("n_b"))
              .agg(F.min("leader").alias("a")).join(sizes, "a"))
     links = stored(_links(base, first, size, percent).unionByName(same))
+
+    def alike(n: Column, m: Column) -> Column:
+        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
     for turn in range(LEADER_TURNS):
         open_ = _open(members, components(links))
         leaders = open_.groupBy("band").agg(F.array(*[
             F.min(F.struct(F.xxhash64(F.lit(turn), F.lit(k), "doc").alias("order"), "doc", "n", "part")) for k in range(LEADERS)
         ]).alias("leaders")).select("band", F.explode(F.array_distinct("leaders")).alias("l"))
-        pairs = (open_.join(leaders, "band").where(F.col("part") != F.col("l.part"))
-                 .select(F.least("doc", "l.doc").alias("a"), F.greatest("doc", "l.doc").alias("b"),
-                         F.col("n").alias("n_a"), F.col("l.n").alias("n_b")).dropDuplicates(["a", "b"]))
+        drawn = F.struct(F.xxhash64(F.lit(turn), "doc", "l.doc").alias("order"), "l.doc", "l.n")
+        pairs = (open_.join(leaders, "band").where((F.col("part") != F.col("l.part")) & alike(F.col("n"), F.col("l.n")))
+                 .groupBy("doc", "n").agg(F.min(drawn).alias("l"))
+                 .select(F.col("doc").alias("a"), F.col("l.doc").alias("b"), F.col("n").alias("n_a"), F.col("l.n").alias("n_b")))
         links = stored(links.unionByName(_links(base, pairs, size, percent)))
     open_ = _open(members, components(links))
     labels = components(links.unionByName(_across(base, open_, size, percent)))
