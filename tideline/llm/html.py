@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import numpy as np
@@ -25,6 +25,7 @@ TRAIN_PAGES, TRAIN_NODES = 400, 1000     # pages, and elements of each, that the
 TEMPLATE_SLOTS = 4096                    # pages of a template that stand for it when the sample is drawn
 MAIN_CHARS = 80                          # text outside links from which a page without main markup says where its main text is
 TREES, DEPTH, RATE = 40, 4, 0.3
+SCORED_NODES = 1 << 13                   # elements of consecutive pages that go through the trees at once
 SEED = 2
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -416,11 +417,38 @@ def fit(pages: DataFrame) -> Trees:
 
 def extract(html: str | None, trees: Trees) -> str:
     """Main text of one page; without trees, all that its own markup does not call boilerplate."""
-    if not html:
-        return ""
-    page = Page(html)
-    odds = trees.odds(node_features(page)) if trees.trees else np.where(markup_label(page) == 1, 1.0, -1.0)
-    return main_text(page, decode(page, odds))
+    return next(_extracted([html], trees))
+
+
+def _extracted(htmls: Iterable[str | None], trees: Trees) -> Iterator[str]:
+    """Main text of each page, in order. Elements of consecutive pages are scored together, as most pages are small."""
+    held, rows, nodes = [], [], 0
+
+    def scored() -> Iterator[str]:
+        odds = trees.odds(np.concatenate(rows)) if rows else np.zeros(0)
+        first = 0
+        for page in held:
+            last = first + (len(page.tags) if page else 0)
+            yield main_text(page, decode(page, odds[first:last])) if page else ""
+            first = last
+
+    for html in htmls:
+        page = Page(html) if html else None
+        held.append(page)
+        if not page:
+            continue
+        if not trees.trees:
+            held.pop()
+            yield from scored()
+            held.clear()
+            yield main_text(page, decode(page, np.where(markup_label(page) == 1, 1.0, -1.0)))
+            continue
+        rows.append(node_features(page))
+        nodes += len(page.tags)
+        if nodes >= SCORED_NODES:
+            yield from scored()
+            held, rows, nodes = [], [], 0
+    yield from scored()
 
 
 def main_texts(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
@@ -437,7 +465,7 @@ def main_texts(pages: DataFrame, trees: Trees | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Trees(*shared.value)
         for batch in batches:
-            texts = [extract(cell.as_py(), model) for cell in batch.column(2)]
+            texts = list(_extracted((cell.as_py() for cell in batch.column(2)), model))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                 pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
