@@ -165,9 +165,9 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _cells(open_: DataFrame, percent: int) -> DataFrame:
-    """The cell of every open set (doc, n, part): those that meet the same smallest component, where they are too many parted by
-    size, so that only neighbouring sizes can be similar enough, and then by hash."""
-    homes = open_.groupBy("doc", "n", "part").agg(F.min("low").alias("family"))
+    """The cell of every open set (doc, n, part, and its open bands): those that meet the same smallest component, where they are
+    too many parted by size, so that only neighbouring sizes can be similar enough, and then by hash."""
+    homes = open_.groupBy("doc", "n", "part").agg(F.min("low").alias("family"), F.collect_set("band").alias("bands"))
     step = 1.001 * math.log(max(100 / percent, 1.01))
     load = (F.sum("n").alias("weight"), F.count("*").alias("sets"))
     families = homes.groupBy("family").agg(*load).select(
@@ -179,12 +179,12 @@ def _cells(open_: DataFrame, percent: int) -> DataFrame:
         "family", "key", F.greatest(F.ceil(F.col("weight") / CELL_SHINGLES), F.ceil(F.col("sets") / CELL_SETS)).alias("blocks"))
     block = F.pmod(F.xxhash64("doc", "n"), "blocks")
     return stored(sized.join(blocks, ["family", "key"]).select(
-        "doc", "n", "part", "class", F.xxhash64("family", "key", block).alias("cell")))
+        "doc", "n", "part", "class", "bands", F.xxhash64("family", "key", block).alias("cell")))
 
 
-def _meetings(open_: DataFrame, cells: DataFrame) -> DataFrame:
+def _meetings(cells: DataFrame) -> DataFrame:
     """Pairs of cells (low, high, maybe one cell twice) with members of different components in one bucket."""
-    spread = (open_.select("band", "doc", "n").join(cells, ["doc", "n"]).groupBy("band", "cell", "class")
+    spread = (cells.select(F.explode("bands").alias("band"), "part", "class", "cell").groupBy("band", "cell", "class")
               .agg(F.min("part").alias("least"), F.max("part").alias("most")))
     one, two = (spread.select("band", *(F.col(c).alias(f"{c}_{side}") for c in ("cell", "class", "least", "most"))) for side in "ab")
     near = F.coalesce(F.abs(F.col("class_a") - F.col("class_b")) <= 1, F.lit(True))
@@ -249,7 +249,7 @@ def _compared(percent: int) -> Callable[[pa.Table], pa.Table]:
 def _across(docs: DataFrame, open_: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between members of one bucket in different components."""
     cells = _cells(open_, percent)
-    meetings = _meetings(open_, cells)
+    meetings = _meetings(cells)
     sides = F.when(F.col("low") == F.col("high"), F.array(F.struct(F.col("low").alias("cell"), F.lit(0).alias("side")))).otherwise(
         F.array(F.struct(F.col("low").alias("cell"), F.lit(0).alias("side")), F.struct(F.col("high").alias("cell"), F.lit(1).alias("side"))))
     sent = (meetings.select("low", "high", F.explode(sides).alias("s")).select("low", "high", "s.cell", "s.side")
