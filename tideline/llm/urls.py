@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.llm.shared import stored
+
 #: Fixed values of the task: host suffix, path start, verdict.
 RULES = (
     ("org", "/", "allow"),
@@ -61,51 +63,61 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _weight(counts: DataFrame, rate: Column) -> DataFrame:
-    """One row, ``weight``: outcomes a prior is worth, from how rates vary within a level.
+def host_counts(own: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Every host of ``own`` (page_id, host) once: host, domain, suffix, n outcomes (0 if none), good ones.
+
+    ``outcomes``: page_id and good (0 or 1; null is no outcome). They are added up per page before
+    the join and per host behind it, so neither a hot page nor a hot host gathers rows.
+    """
+    per_page = outcomes.groupBy("page_id").agg(F.count("good").alias("n"), F.sum(F.col("good").cast("double")).alias("good"))
+    hosts = own.join(per_page, "page_id", "left").groupBy("host").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"))
+    return hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+
+
+def _weight(level: DataFrame) -> float:
+    """Outcomes a prior is worth, from how rates vary around ``prior`` within a level: one number.
 
-    With n outcomes each, rates around ``rate`` vary by m(1-m)(1/n + (1-1/n)/(weight+1)); summing
+    With n outcomes each, rates around m vary by m(1-m)(1/n + (1-1/n)/(weight+1)); summing
     n(rate-m)^2 over the level and solving gives the weight.
     """
-    n, m = F.col("n"), rate
+    n, m = F.col("n"), F.col("prior")
     spread = F.sum(n * F.pow(F.col("good") / n - m, F.lit(2)))
     unit = F.sum(m * (1 - m))
     many = F.sum(m * (1 - m) * (n - 1))
     share = (spread - unit) / many
-    weight = F.when((many > 0) & (share > 0), 1 / share - 1).otherwise(F.lit(WEIGHTS[1]))
-    return counts.agg(F.least(F.greatest(F.coalesce(weight, F.lit(WEIGHTS[1])), F.lit(WEIGHTS[0])), F.lit(WEIGHTS[1])).alias("weight"))
+    weight = F.when((many > 0) & (share > 0), 1 / share - 1)
+    found = level.where("n > 0").agg(weight.alias("weight")).first()[0]
+    return min(max(WEIGHTS[1] if found is None else found, WEIGHTS[0]), WEIGHTS[1])
 
 
-def _shrunk(counts: DataFrame, weight: DataFrame) -> DataFrame:
-    """alpha and beta of the posterior, from counts and the prior mean ``prior``."""
-    return (counts.crossJoin(F.broadcast(weight))   # one row: a number that Spark computed
-            .withColumn("alpha", F.col("weight") * F.col("prior") + F.col("good"))
-            .withColumn("beta", F.col("weight") * (1 - F.col("prior")) + F.col("n") - F.col("good")))
+def _judged(level: DataFrame, key: str) -> DataFrame:
+    """key, mean and reputation of a level's rows (key, n, good, and of what is above: prior, above)."""
+    weight = _weight(level)
+    alpha = weight * F.col("prior") + F.col("good")
+    beta = weight * (1 - F.col("prior")) + F.col("n") - F.col("good")
+    seen = F.col("n") > 0
+    return level.select(key, F.when(seen, alpha / (alpha + beta)).otherwise(F.col("prior")).alias("mean"),
+                        F.when(seen, bound(alpha, beta)).otherwise(F.col("above")).alias("reputation"))
 
 
-def host_reputation(outcomes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Posteriors (alpha, beta) per host, domain and suffix, and of everything (one row).
+def host_reputation(counts: DataFrame) -> DataFrame:
+    """host and reputation, the lower posterior bound, of every host of ``counts`` (see ``host_counts``).
 
-    ``outcomes``: host and good (0 or 1; null rows are no outcome).
+    Every level is stored once, with the mean and bound of the level above beside its counts; only
+    single numbers (totals, weights) come to the driver.
     """
-    seen = outcomes.where("good is not null and host is not null").select("host", F.col("good").cast("double").alias("good"))
-    hosts = seen.groupBy("host").agg(F.count("*").alias("n"), F.sum("good").alias("good"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    total = hosts.agg(F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-    total = total.select((F.col("good") + 1).alias("alpha"), (F.col("n") - F.col("good") + 1).alias("beta"))
-    mean = F.col("alpha") / (F.col("alpha") + F.col("beta"))
-
-    suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    suffixes = suffixes.crossJoin(F.broadcast(total.select(mean.alias("prior"))))
-    suffixes = _shrunk(suffixes, _weight(suffixes, F.col("prior"))).select("suffix", "alpha", "beta")
+    counts = stored(counts)
+    good, n = counts.agg(F.coalesce(F.sum("good"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    alpha, beta = F.lit(good + 1.0), F.lit(n - good + 1.0)
+    sums = F.sum("n").alias("n"), F.sum("good").alias("good")
+    above = lambda level, key: level.select(key, F.col("mean").alias("prior"), F.col("reputation").alias("above"))
 
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    domains = domains.join(suffixes.select("suffix", mean.alias("prior")), "suffix")
-    domains = _shrunk(domains, _weight(domains, F.col("prior"))).select("domain", "alpha", "beta")
-
-    hosts = hosts.join(domains.select("domain", mean.alias("prior")), "domain")
-    hosts = _shrunk(hosts, _weight(hosts, F.col("prior"))).select("host", "alpha", "beta")
-    return hosts, domains, suffixes, total
+    suffixes = counts.groupBy("suffix").agg(*sums).withColumn("prior", alpha / (alpha + beta)).withColumn("above", bound(alpha, beta))
+    suffixes = _judged(stored(suffixes), "suffix")
+    domains = counts.groupBy("domain", "suffix").agg(*sums).join(above(suffixes, "suffix"), "suffix")
+    domains = _judged(stored(domains), "domain")
+    return _judged(stored(counts.join(above(domains, "domain"), "domain")), "host").select("host", "reputation")
 
 
 def bound(alpha: Column, beta: Column) -> Column:
@@ -124,16 +136,8 @@ def url_verdicts(pages: DataFrame, outcomes: DataFrame, rules=RULES, good_rate:
     Without any outcomes the prior is even odds: the bound is under one half, so all else is blocked.
     """
     own = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    good = outcomes.select("page_id", "good")
-    hosts, domains, suffixes, total = host_reputation(own.join(good, "page_id").select("host", "good"))
-
     # Every distinct host gets its bound once; pages only look it up.
-    known = own.select("host").distinct()
-    known = known.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    for level, key in ((hosts, "host"), (domains, "domain"), (suffixes, "suffix")):
-        known = known.join(level.select(key, bound(F.col("alpha"), F.col("beta")).alias(f"{key}_bound")), key, "left")
-    known = known.crossJoin(F.broadcast(total.select(bound(F.col("alpha"), F.col("beta")).alias("any_bound"))))
-    known = known.select("host", F.coalesce("host_bound", "domain_bound", "suffix_bound", "any_bound").alias("reputation"))
+    known = host_reputation(host_counts(own.select("page_id", "host"), outcomes.select("page_id", "good")))
 
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     judged = own.join(known, "host").withColumn("rule", rule)
