@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from tideline.llm import html, minhash, pieces, quality, suffix, warc  # noqa: E402
+from tideline.llm import html, minhash, pieces, quality, suffix, urls, warc  # noqa: E402
 from tideline.llm.decontaminate import decontaminated, overlaps  # noqa: E402
 from tideline.llm.embeddings import near_vectors  # noqa: E402
 from tideline.llm.minhash import near_duplicates  # noqa: E402
@@ -253,6 +253,40 @@ def test_overlaps(spark, docs, no_docs):
     assert overlaps(no_docs, bench).count() == 0 and overlaps(frame, bench.limit(0)).count() == 0
 
 
+def _spans(rows, items):
+    """Spans of windows of 12 words with at most two substituted, of whole short items, all windows compared."""
+    found = Counter()
+    for doc_id, text in set(rows):
+        for item_id, item in set(items):
+            d, t = words(text), words(item)
+            size, most = (12, 2) if len(t) >= 12 else (len(t), 0)
+            for shift in range(-len(t), len(d) + 1) if t else ():
+                spans = []
+                for k in range(max(0, shift), min(len(d), len(t) + shift) - size + 1):
+                    if sum(x != y for x, y in zip(d[k:k + size], t[k - shift:k - shift + size])) <= most:
+                        if spans and k <= spans[-1][1] + 1:
+                            spans[-1] = (spans[-1][0], k + size - 1, spans[-1][2] + 1)
+                        else:
+                            spans.append((k, k + size - 1, 1))
+                found.update((doc_id, item_id, shift, a, b, b - a + 1, n) for a, b, n in spans)
+    return found
+
+
+def test_overlaps_of_repeated_words(spark):
+    """Stretches of one word, broken or not, in items and documents, one-word items among them."""
+    items = [(1, "no " * 40), (2, "no " * 20 + "yes " + "no " * 15), (3, "no"), (4, "ha ho " * 12), (5, "no no no"), (6, prose(13)), (6, prose(13))]
+    rows = [(1, "no " * 60), (2, "a " + "no " * 14 + "b " + "no " * 30 + "c d"), (3, "ho ha " * 20), (4, items[5][1] + " no no"), (5, "yes " * 30), (6, "no")]
+    got = Counter(map(tuple, overlaps(spark.createDataFrame(rows + rows[:1], "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+                      .select("doc_id", "item_id", "shift", "first_word", "last_word", "n_words", "n_windows").collect()))
+    assert len(got) > 300 and got == _spans(rows, items)
+
+
+def test_overlaps_of_long_repetition(spark):
+    docs = spark.createDataFrame([(k, "no " * 2000) for k in range(5)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(k, "no " * 300) for k in range(20)], "item_id bigint, text string")
+    assert overlaps(docs, items).count() == 100 * (2000 - 12 + 300 - 12 + 1)
+
+
 @pytest.mark.parametrize("common", [4_000_000, 40, 0])
 def test_pieces(spark, docs, texts, no_docs, common, monkeypatch):
     monkeypatch.setattr(pieces, "COMMON_WORDS", common)
@@ -368,15 +402,41 @@ def test_kth_largest(spark):
         assert quality.kth_largest(keys, k, bins=8) == sorted(values, reverse=True)[k - 1]
 
 
+def _reputations(hosts, outcomes):
+    """Lower posterior bound of every host, by plain loops."""
+    two = lambda h: ".".join(h.split(".")[-2:])
+    suffix = lambda h: two(h) if two(h) in urls.TWO_PART_SUFFIXES else h.split(".")[-1]
+    domain = lambda h: ".".join(h.split(".")[-3:]) if two(h) in urls.TWO_PART_SUFFIXES else two(h)
+    low = lambda a, b: a / (a + b) - math.sqrt(a * b / (a + b) ** 2 / (a + b + 1))
+    good, n = sum(g for _, g in outcomes) + 1, len(outcomes) + 2
+    above = {h: (good / n, low(good, n - good)) for h in hosts}
+    for key in (suffix, domain, lambda h: h):
+        seen = {}
+        for h, g in outcomes:
+            seen.setdefault(key(h), []).append((g, above[h][0]))
+        rows = [(len(v), sum(g for g, _ in v), v[0][1]) for v in seen.values()]
+        many = sum(m * (1 - m) * (k - 1) for k, _, m in rows)
+        share = (sum(k * (g / k - m) ** 2 - m * (1 - m) for k, g, m in rows) / many) if many > 0 else 0
+        weight = min(max(1 / share - 1 if share > 0 else 1000.0, 2.0), 1000.0)
+        now = {}
+        for h in hosts:
+            values = seen.get(key(h))
+            a = weight * above[h][0] + sum(g for g, _ in values or [])
+            b = weight + len(values or []) - a
+            now[h] = (a / (a + b), low(a, b)) if values else above[h]
+        above = now
+    return {h: v for h, (_, v) in above.items()}
+
+
 def test_urls(spark):
-    urls = ["http://a.org/x", "https://WWW.Example.ORG/es/1?q#f", "http://example.org/en/12", "http://notexample.org/en/1", "http://b.com/fr/", "http://b.com/de/x",
+    sites = ["http://a.org/x", "https://WWW.Example.ORG/es/1?q#f", "http://example.org/en/12", "http://notexample.org/en/1", "http://b.com/fr/", "http://b.com/de/x",
             "http://b.com/en/", "nourl", None, "http://", "http://h.net?x=/fr/", "ftp://u.co.uk/p#z", "x://y.net/a\nb"]
-    pages = spark.createDataFrame(list(enumerate(urls)) + [(6, urls[6])], "page_id bigint, url string").withColumn("host", F.lit("z"))
+    pages = spark.createDataFrame(list(enumerate(sites)) + [(6, sites[6])], "page_id bigint, url string").withColumn("host", F.lit("z"))
     outcomes = spark.createDataFrame([(6, 1), (6, 1), (10, 0), (11, 1), (12, None)], "page_id bigint, good int")
     got = url_verdicts(pages, outcomes).collect()
-    assert len(got) == len(urls) + 1
+    assert len(got) == len(sites) + 1
     for r in got:
-        url = urls[r["page_id"]] or ""
+        url = sites[r["page_id"]] or ""
         rest = url.split("://", 1)[1] if "://" in url else ""
         host = re.split(r"[/?#]", rest, maxsplit=1)[0]
         path = re.split(r"[?#]", rest[len(host):], maxsplit=1)[0]
@@ -385,9 +445,14 @@ def test_urls(spark):
         rule = max(fits, key=lambda x: len(x[0] + x[1]), default=None)
         assert (r["host"], r["path"], r["rule"]) == (host, path, rule and rule[0] + rule[1])
         assert r["verdict"] == rule[2] if rule else r["verdict"] in ("allow", "block")
+    # The reputation behind every verdict, level by level.
+    hosts = {r["host"]: r["reputation"] for r in got}
+    judged = _reputations(hosts, [(r["host"], g) for r in got for p, g in [(6, 1), (6, 1), (10, 0), (11, 1)] if p == r["page_id"]])
+    assert hosts == {h: pytest.approx(v, rel=1e-12) for h, v in judged.items()}
+    assert all(r["verdict"] == ("allow" if r["reputation"] >= 0.5 else "block") for r in got if r["rule"] is None)
     plan = url_verdicts(pages, outcomes)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-    assert url_verdicts(pages.limit(0), outcomes).count() == 0 and url_verdicts(pages, outcomes.limit(0)).count() == len(urls) + 1
+    assert url_verdicts(pages.limit(0), outcomes).count() == 0 and url_verdicts(pages, outcomes.limit(0)).count() == len(sites) + 1
 
 
 def test_html():

@@ -6,6 +6,10 @@ three, a mask is a pair of blocks. Mask hashes of the benchmark are joined with
 documents, and around every hit the whole window is compared: it counts as an overlap if at most
 two words differ. Windows of one alignment are merged to spans.
 
+Equal windows at consecutive words, as a repeated word makes them, are one stretch, and two different
+windows are compared once, wherever and however often they stand; two stretches meet in one interval
+per alignment. So the work follows the different windows and the spans, not the pairs of places.
+
 A bit array of the benchmark's hashes, of a fixed size, keeps the documents' other hashes from being
 shuffled at all; it only spares work, the join decides.
 """
@@ -30,8 +34,8 @@ MASKS = list(combinations(range(BLOCKS), BLOCKS - SUBSTITUTED))
 FILTER_BITS = 24           # bits of the array: 2 MB
 _STEP = WINDOW // BLOCKS
 
-ITEMS = "item_id bigint, item_at bigint, seed bigint, words binary"
-HITS = "doc_id bigint, doc_at bigint, seed bigint, words binary"
+ITEMS = "item_id bigint, item_at bigint, item_run bigint, seed bigint, words binary"
+HITS = "doc_id bigint, doc_at bigint, doc_run bigint, seed bigint, words binary"
 
 
 def _seeds(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,35 +64,50 @@ def _rank_in_row(rows: np.ndarray) -> np.ndarray:
     return np.arange(len(rows)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(rows)]))))
 
 
-def _table(ids, at, seeds, hashes, first, width, names) -> pa.RecordBatch:
+def _stretches(hashes: np.ndarray, rows: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``first``, windows) of stretches of equal windows at consecutive words of a row."""
+    if not len(first):
+        return first, first
+    like = np.concatenate(([0], np.cumsum(hashes[1:] == hashes[:-1])))      # words equal to the one before, up to each
+    before = first[:-1]
+    same = (first[1:] == before + 1) & (rows[first[1:]] == rows[before])
+    same &= like[np.minimum(before + width, len(hashes) - 1)] - like[before] == width
+    begin = np.flatnonzero(np.concatenate(([True], ~same)))
+    return begin, np.diff(np.append(begin, len(first)))
+
+
+def _table(ids, at, runs, seeds, hashes, first, width, names) -> pa.RecordBatch:
     blob = hashes[first[:, None] + np.arange(width)].tobytes() if len(first) else b""
     offsets = np.arange(len(first) + 1, dtype=np.int32) * (8 * width)
     words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(blob)])
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(at.astype(np.int64)), pa.array(seeds.view(np.int64)), words], names=names)
+        [ids, pa.array(at.astype(np.int64)), pa.array(runs.astype(np.int64)), pa.array(seeds.view(np.int64)), words], names=names)
 
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Seeds of the benchmark; an item shorter than a window is one seed of all its words."""
-    names = ["item_id", "item_at", "seed", "words"]
+    names = ["item_id", "item_at", "item_run", "seed", "words"]
     for batch in batches:
         data, offsets = text_buffers(batch.column(1))
         hashes, rows, _, _ = word_hashes(data, offsets)
         rank = _rank_in_row(rows)
         seeds, first = _seeds(hashes, rows)
+        begin, runs = _stretches(hashes, rows, first, WINDOW)
+        seeds, first = seeds[begin], first[begin]
         for m in range(len(MASKS)):
-            yield _table(batch.column(0).take(pa.array(rows[first])), rank[first], seeds[:, m].copy(), hashes, first, WINDOW, names)
+            yield _table(batch.column(0).take(pa.array(rows[first])), rank[first], runs, seeds[:, m].copy(), hashes, first, WINDOW, names)
         words = np.bincount(rows, minlength=batch.num_rows)
         for size in range(1, WINDOW):
             grams, at = ngrams(hashes, rows, size)
             whole = words[rows[at]] == size
             grams, at = grams[whole], at[whole]
             if len(at):
-                yield _table(batch.column(0).take(pa.array(rows[at])), rank[at], mix(grams + np.uint64(size)), hashes, at, size, names)
+                once = np.ones(len(at), np.int64)
+                yield _table(batch.column(0).take(pa.array(rows[at])), rank[at], once, mix(grams + np.uint64(size)), hashes, at, size, names)
 
 
 def _document_seeds(shared, short: list[int]):
-    names = ["doc_id", "doc_at", "seed", "words"]
+    names = ["doc_id", "doc_at", "doc_run", "seed", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -103,17 +122,19 @@ def _document_seeds(shared, short: list[int]):
                 low = offsets[low_row]
                 hashes, rows, _, _ = word_hashes(data[low:offsets[high_row]], offsets[low_row:high_row + 1] - low)
                 seeds, first = _seeds(hashes, rows)
-                parts = [(seeds[:, m], first, WINDOW) for m in range(len(MASKS))]
+                begin, runs = _stretches(hashes, rows, first, WINDOW)
+                parts = [(seeds[begin, m], first[begin], runs, WINDOW) for m in range(len(MASKS))]
                 for size in short:
                     grams, at = ngrams(hashes, rows, size)
-                    parts.append((mix(grams + np.uint64(size)), at, size))
+                    begin, runs = _stretches(hashes, rows, at, size)
+                    parts.append((mix(grams[begin] + np.uint64(size)), at[begin], runs, size))
                 rank = None
-                for seed, at, width in parts:
+                for seed, at, runs, width in parts:
                     hit = np.flatnonzero(maybe(seed))
                     if len(hit):
                         rank = _rank_in_row(rows) if rank is None else rank
                         at = at[hit]
-                        yield _table(batch.column(0).take(pa.array(rows[at] + low_row)), rank[at], seed[hit].copy(), hashes, at, width, names)
+                        yield _table(batch.column(0).take(pa.array(rows[at] + low_row)), rank[at], runs[hit], seed[hit].copy(), hashes, at, width, names)
     return run
 
 
@@ -137,18 +158,15 @@ def _batches(spots: DataFrame) -> Iterator[np.ndarray]:
 
 
 def _same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of windows with the number of equal words; the last two columns are the words."""
+    """Pairs of windows with the number of words and of equal words; windows of unequal length have none equal."""
     for batch in batches:
-        n = batch.num_rows
-        size = np.zeros(n, np.int64)
-        same = np.zeros(n, np.int64)
-        for k in range(n):
-            a = np.frombuffer(batch.column(4)[k].as_buffer(), np.uint64)
-            b = np.frombuffer(batch.column(5)[k].as_buffer(), np.uint64)
-            size[k] = len(a)
-            same[k] = int((a == b).sum()) if len(a) == len(b) else 0
-        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(size), pa.array(same)],
-                                         names=["doc_id", "doc_at", "item_id", "item_at", "size", "same"])
+        (one, a), (two, b) = (text_buffers(batch.column(k)) for k in (0, 1))
+        size, same = np.diff(a), np.zeros(batch.num_rows, np.int64)
+        for width in np.unique(size).tolist():
+            at = np.flatnonzero((size == width) & (np.diff(b) == width))
+            equal = one[a[at][:, None] + np.arange(width)] == two[b[at][:, None] + np.arange(width)]
+            same[at] = equal.reshape(len(at), -1, 8).all(axis=2).sum(axis=1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(size // 8), pa.array(same)], names=["words", "item_words", "size", "same"])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -159,7 +177,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     whole and unchanged. Rows without an id are skipped in neither table: the id stays null.
     Returns doc_id, item_id, shift (document word less item word), first_word, last_word of the
     document, n_words, n_windows: one row per span, a span being consecutive or overlapping
-    windows of one alignment.
+    windows of one alignment; windows are counted by their first word, also where an id repeats.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -167,26 +185,34 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     short = [r[0] for r in seeds.select((F.octet_length("words") / 8).cast("int").alias("n")).distinct().collect() if r[0] < WINDOW]
     shared = spark.sparkContext.broadcast(_filter(seeds))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hits = texts.mapInArrow(_document_seeds(shared, sorted(short)), HITS)
+    hits = stored(texts.mapInArrow(_document_seeds(shared, sorted(short)), HITS))
 
-    pairs = (hits.join(seeds.withColumnRenamed("words", "item_words"), "seed")
-             .select("doc_id", "doc_at", "item_id", "item_at", "words", "item_words")
-             .mapInArrow(_same, "doc_id bigint, doc_at bigint, item_id bigint, item_at bigint, size bigint, same bigint"))
+    # Different windows are compared once, wherever they stand.
+    kinds = hits.select("seed", "words").distinct().join(seeds.select("seed", F.col("words").alias("item_words")).distinct(), "seed")
+    same = kinds.select("words", "item_words").mapInArrow(_same, "words binary, item_words binary, size bigint, same bigint")
     most = F.when(F.col("size") == WINDOW, F.lit(SUBSTITUTED)).otherwise(F.lit(0))
-    found = (pairs.where((F.col("same") > 0) & (F.col("size") - F.col("same") <= most))
-             .select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"), "doc_at", "size").distinct())
-    # Windows of one alignment of one item in one document: as many as the item has words at most.
-    spans = found.groupBy("doc_id", "item_id", "shift").agg(F.array_sort(F.collect_list(F.struct("doc_at", "size"))).alias("windows"))
+    alike = same.where((F.col("same") > 0) & (F.col("size") - F.col("same") <= most)).select("words", "item_words", "size").distinct()
+    places = seeds.select("item_id", "item_at", "item_run", F.col("words").alias("item_words")).distinct()
+    known = stored(alike.join(places, "item_words").drop("item_words"))
+    met = hits.select("doc_id", "doc_at", "doc_run", "words").distinct().join(known, "words")
+    # Two stretches of equal windows overlap in one interval for each of their alignments.
+    shift = F.explode(F.sequence(F.col("doc_at") - F.col("item_at") - F.col("item_run") + 1, F.col("doc_at") + F.col("doc_run") - 1 - F.col("item_at")))
+    found = met.select("*", shift.alias("shift")).select(
+        "doc_id", "item_id", "shift", F.greatest("doc_at", F.col("item_at") + F.col("shift")).alias("first"),
+        F.least(F.col("doc_at") + F.col("doc_run"), F.col("item_at") + F.col("item_run") + F.col("shift")).alias("after"), "size").distinct()
+    # Intervals of one alignment of one item in one document: as many as the item has words at most.
+    spans = found.groupBy("doc_id", "item_id", "shift").agg(F.array_sort(F.collect_list(F.struct("first", "after", "size"))).alias("windows"))
     merged = F.aggregate(
-        "windows", F.array().cast("array<struct<first:bigint,last:bigint,n:bigint>>"),
+        "windows", F.array().cast("array<struct<first:bigint,last:bigint,after:bigint,n:bigint>>"),
         lambda done, w: F.when(
-            (F.size(done) > 0) & (w["doc_at"] <= F.element_at(done, -1)["last"] + 1),
+            (F.size(done) > 0) & (w["first"] <= F.element_at(done, -1)["last"] + 1),
             F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
                 F.element_at(done, -1)["first"].alias("first"),
-                F.greatest(F.element_at(done, -1)["last"], w["doc_at"] + w["size"] - 1).alias("last"),
-                (F.element_at(done, -1)["n"] + 1).alias("n")))),
+                F.greatest(F.element_at(done, -1)["last"], w["after"] + w["size"] - 2).alias("last"),
+                F.greatest(F.element_at(done, -1)["after"], w["after"]).alias("after"),
+                (F.element_at(done, -1)["n"] + F.greatest(F.lit(0), w["after"] - F.greatest(w["first"], F.element_at(done, -1)["after"]))).alias("n")))),
         ).otherwise(F.concat(done, F.array(F.struct(
-            w["doc_at"].alias("first"), (w["doc_at"] + w["size"] - 1).alias("last"), F.lit(1).cast("bigint").alias("n"))))))
+            w["first"].alias("first"), (w["after"] + w["size"] - 2).alias("last"), w["after"].alias("after"), (w["after"] - w["first"]).alias("n"))))))
     return (spans.select("doc_id", "item_id", "shift", F.explode(F.when(F.size("windows") > 0, merged)).alias("s"))
             .select("doc_id", "item_id", "shift", F.col("s.first").alias("first_word"), F.col("s.last").alias("last_word"),
                     (F.col("s.last") - F.col("s.first") + 1).alias("n_words"), F.col("s.n").alias("n_windows")))
