@@ -20,6 +20,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+KEPT_POWERS = 2 * SLICE_BYTES   # longest tables kept between calls, enough for a slice
 PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
 BASES = (1_103_515_245, 1_583_458_089)
 _SMALL = np.random.Generator(np.random.PCG64(31)).permutation(4095)[:256].astype(np.uint64) + np.uint64(1)      # of 12 bits
@@ -36,25 +37,33 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(size: int, base: int = BASE, prime: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """base^i and base^-i modulo 2^64, or modulo a prime, for i below a power of two that is at least ``size``. Tables are kept;
-    larger ones serve as well, and give way to smaller ones once they are out of proportion."""
+    """base^i and base^-i modulo 2^64, or modulo a prime, for i below a power of two that is at least ``size``. Tables up to
+    KEPT_POWERS are kept; larger ones serve as well, and give way to smaller ones once they are out of proportion. Larger
+    tables are built for the call only: a reused worker would hold them through every later stage."""
     held = _powers.get(base)
-    if held is None or not size <= len(held[0]) <= 64 * max(size, 1 << 18):
-        room = 1 << max(int(size - 1).bit_length(), 18)
-        modulus, kind = (1 << 64, np.uint64) if prime is None else (prime, np.uint32)
-        tables = []
-        for step in (base, pow(base, -1, modulus)):
-            powers = np.ones(room, kind)
-            filled = 1
-            while filled < room:
-                more = powers[:filled].astype(np.uint64) * np.uint64(pow(step, filled, modulus))
-                powers[filled:2 * filled] = more if prime is None else more % np.uint64(prime)
-                filled *= 2
-            tables.append(powers)
-        held = _powers[base] = (tables[0], tables[1])
+    if held is not None and size <= len(held[0]) <= 64 * max(size, 1 << 18):
+        return held
+    room = 1 << max(int(size - 1).bit_length(), 18)
+    if room > KEPT_POWERS:
+        return _built_powers(room, base, prime)
+    held = _powers[base] = _built_powers(room, base, prime)
     return held
 
 
+def _built_powers(room: int, base: int, prime: int | None) -> tuple[np.ndarray, np.ndarray]:
+    modulus, kind = (1 << 64, np.uint64) if prime is None else (prime, np.uint32)
+    tables = []
+    for step in (base, pow(base, -1, modulus)):
+        powers = np.ones(room, kind)
+        filled = 1
+        while filled < room:
+            more = powers[:filled].astype(np.uint64) * np.uint64(pow(step, filled, modulus))
+            powers[filled:2 * filled] = more if prime is None else more % np.uint64(prime)
+            filled *= 2
+        tables.append(powers)
+    return tables[0], tables[1]
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every span of bytes: three polynomials, modulo 2^64 and two primes, mixed. Structured words can meet in
     the first, whatever its base; the primes part them."""
