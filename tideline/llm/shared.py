@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,16 @@ def small_batches(spark: SparkSession, size: int = 4 << 20) -> None:
         spark.conf.set(name, str(size))
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that hands back to the system what Arrow's pool holds unused, before and after its
+    task: a reused worker keeps the memory that earlier tasks and stages freed."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return wrapped
+
+
 def stored(frame: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read back: lineage ends there, and a lost
     executor loses nothing of it."""

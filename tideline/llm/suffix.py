@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import stored
+from tideline.llm.shared import released, stored
 from tideline.llm.words import BASE, _power_tables, list_array, mix, slices, text_buffers
 
 LENGTH = 50
@@ -501,9 +501,9 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bits = min(max(int(total // 8).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
     shards = max(total // SHARD_BYTES, 1)
 
-    counted = base.mapInArrow(_anchor_counts(length), "shard int, anchors binary, shared binary, many binary")
+    counted = base.mapInArrow(released(_anchor_counts(length)), "shard int, anchors binary, shared binary, many binary")
     counted = counted.repartition(COUNT_SHARDS, "shard").sortWithinPartitions("shard")
-    marked = stored(counted.mapInArrow(_marked(bits), "shard int, bits binary, hot binary"))
+    marked = stored(counted.mapInArrow(released(_marked(bits)), "shard int, bits binary, hot binary"))
     marks, hot = bytearray(1 << (bits - 3)), []
     for row in marked.toLocalIterator():     # at most 2^30 bits, however long the documents
         part = row["bits"]
@@ -512,16 +512,16 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     hot = np.sort(np.concatenate(hot)) if hot else np.zeros(0, np.uint64)
     shared = spark.sparkContext.broadcast((bytes(marks), bits, hot.tobytes()))
 
-    sent = base.mapInArrow(_sent(shared, length, shards),
+    sent = base.mapInArrow(released(_sent(shared, length, shards)),
                            "shard int, ids binary, docs binary, times binary, lengths binary, texts binary")
     sent = sent.repartition(max(shards // SHARDS_TASK, 1), "shard").sortWithinPartitions("shard")
-    resolved = stored(sent.mapInArrow(_resolved(length), "id bigint, first int, stop int, least bigint"))
+    resolved = stored(sent.mapInArrow(released(_resolved(length)), "id bigint, first int, stop int, least bigint"))
 
-    places = base.mapInArrow(_occurrences(shared, length), "id bigint, doc_id bigint, at bigint")
+    places = base.mapInArrow(released(_occurrences(shared, length)), "id bigint, doc_id bigint, at bigint")
     runs = (places.join(resolved, "id").where("least < doc_id")
             .select("doc_id", F.struct((F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("stop")).alias("stop")).alias("run")))
     listed = runs.groupBy("doc_id").agg(F.collect_list("run").alias("runs"))
-    return stored(listed.mapInArrow(_merged, "doc_id bigint, first array<bigint>, stop array<bigint>"))
+    return stored(listed.mapInArrow(released(_merged), "doc_id bigint, first array<bigint>, stop array<bigint>"))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -590,7 +590,7 @@ def removal_digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     narrow = docs.select("doc_id", "text")
     runs = repeated_runs(narrow, length)
     return _with_runs(narrow, runs).mapInArrow(
-        _digests, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        released(_digests), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def _cut(text: memoryview, runs: list[tuple[int, int]]) -> str:
@@ -622,5 +622,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(4), pa.array(texts, pa.string())], names=["row", "cut"])
 
     kind = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r")).schema["r"].dataType.simpleString()
-    cut = _with_runs(docs, runs).mapInArrow(run, f"row {kind}, cut string")
+    cut = _with_runs(docs, runs).mapInArrow(released(run), f"row {kind}, cut string")
     return cut.select(*[F.col("cut").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
